@@ -237,6 +237,7 @@ def publish_file(spark: SparkSession, src_dir: str, dest: str) -> str:
         fs.mkdirs(parent)
     if len(parts) == 1:
         ok = fs.rename(jvm.org.apache.hadoop.fs.Path(parts[0]), d)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(src_dir), True)
     else:
         ok = fs.rename(jvm.org.apache.hadoop.fs.Path(src_dir), d)
     if not ok or not fs.exists(d):

@@ -1,0 +1,119 @@
+"""B3-B11, D5-D7, H7, A14 on hand-made values, incl. NULL / '' / boundaries."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
+
+from cargomart.functions import measures as M
+from cargomart.functions import predicates as P
+
+
+def _one(spark, col, rows, schema):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(col).collect()]
+
+
+S1 = StructType([StructField("x", StringType())])
+
+
+def test_exclude_value_drops_null(spark):
+    out = _one(spark, P.exclude_value("x", "TEST"), [("RAW",), ("TEST",), (None,)], S1)
+    assert out == [True, False, None]
+
+
+def test_include_values(spark):
+    out = _one(spark, P.include_values("x", ["A", "B"]), [("A",), ("C",), (None,)], S1)
+    assert out == [True, False, None]
+
+
+def test_at_least_decimal_inclusive(spark):
+    s = StructType([StructField("v", DecimalType(15, 2))])
+    rows = [(Decimal("10.00"),), (Decimal("9.99"),), (Decimal("-25.00"),), (None,)]
+    assert _one(spark, P.at_least("v", Decimal("10.00")), rows, s) == [True, False, False, None]
+
+
+def test_is_present_and_missing(spark):
+    rows = [("a",), ("",), (None,)]
+    assert _one(spark, P.is_present("x"), rows, S1) == [True, False, False]
+    assert _one(spark, P.is_missing("x"), rows, S1) == [False, True, True]
+
+
+@pytest.mark.parametrize(
+    "status,eff,exp,expected",
+    [
+        ("A", "2025-01-01", None, True),
+        ("A", "2024-06-01", "", True),
+        ("I", "2020-01-01", "2025-12-31", False),
+        ("A", "2099-01-01", None, False),
+        ("A", "2018-01-01", "2020-12-31", False),
+        ("A", "2026-05-10", None, True),  # eff = load_dt kept
+        ("A", "2020-01-01", "2026-05-10", True),  # exp = load_dt kept
+        ("A", "2020-01-01", "2026-05-09", False),
+        ("A", "2026-05-11", None, False),
+        (None, "2020-01-01", None, False),
+    ],
+)
+def test_active_as_of(spark, status, eff, exp, expected):
+    s = StructType([StructField(n, StringType()) for n in ("status", "eff_dt", "exp_dt")])
+    out = _one(spark, P.active_as_of("2026-05-10"), [(status, eff, exp)], s)
+    assert bool(out[0]) is expected
+
+
+def test_month_slice_with_partition(spark):
+    s = StructType([StructField("report_date", StringType()), StructField("report_month", StringType())])
+    rows = [("2026-04-01", "2026-04"), ("2026-04-30", "2026-04"), ("2026-05-01", "2026-05"), ("2026-041", "2026-04")]
+    out = _one(spark, P.month_slice("report_date", "2026-04", "report_month"), rows, s)
+    assert out == [True, True, False, False]
+
+
+def test_any_negative_three_valued(spark):
+    s = StructType([StructField("a", DecimalType(15, 2)), StructField("b", DecimalType(15, 2))])
+    rows = [(Decimal("-1"), None), (None, Decimal("1")), (Decimal("1"), Decimal("2")), (Decimal("1"), Decimal("-2"))]
+    assert _one(spark, P.any_negative("a", "b"), rows, s) == [True, None, False, True]
+
+
+def test_any_missing(spark):
+    s = StructType([StructField("t", StringType()), StructField("w", DecimalType(10, 2))])
+    rows = [("x", Decimal("1")), ("", Decimal("1")), (None, Decimal("1")), ("x", None)]
+    assert _one(spark, P.any_missing(["t"], ["w"]), rows, s) == [False, True, True, True]
+
+
+@pytest.mark.parametrize(
+    "n,d,text",
+    [(1, 2, "50.00%"), (2, 3, "66.67%"), (10, 10, "100.00%"), (0, 0, "0.00%"), (1, 32, "3.13%"),
+     (1, 3, "33.33%"), (0, 5, "0.00%"), (1, 8, "12.50%"), (1, 200, "0.50%"), (1, 400, "0.25%")],
+)
+def test_percent_string(spark, n, d, text):
+    s = StructType([StructField("n", LongType()), StructField("d", LongType())])
+    assert _one(spark, M.percent_string("n", "d"), [(n, d)], s) == [text]
+
+
+@pytest.mark.parametrize("e,b,rate", [(2, 100, 2), (8, 100, 8), (5, 100, 5), (4, 99, 4), (3, 0, 0), (10874, 26025, 41)])
+def test_int_percent(spark, e, b, rate):
+    s = StructType([StructField("e", LongType()), StructField("b", LongType())])
+    assert _one(spark, M.int_percent("e", "b"), [(e, b)], s) == [rate]
+
+
+def test_render_cell(spark):
+    s = StructType([StructField("s", StringType()), StructField("n", LongType()), StructField("d", DecimalType(18, 2))])
+    df = spark.createDataFrame([(None, 0, Decimal("1750.00")), ("", None, Decimal("0.00"))], s)
+    out = [tuple(r) for r in df.select(M.render_cell("s"), M.render_cell("n"), M.render_cell("d")).collect()]
+    assert out == [("", "0", "1750.00"), ("", "", "0.00")]
+
+
+def test_count_where_and_sum_or_zero(spark):
+    s = StructType([StructField("st", StringType()), StructField("v", DecimalType(15, 2))])
+    df = spark.createDataFrame([("DELIVERED", Decimal("1.10")), ("BOOKED", None), (None, Decimal("2.20"))], s)
+    r = df.agg(M.count_where(F.col("st") == "DELIVERED").alias("c"), M.sum_or_zero("v").alias("t")).first()
+    assert r["c"] == 1 and r["t"] == Decimal("3.30")
+    assert df.agg(M.sum_or_zero("v").alias("t")).schema["t"].dataType == DecimalType(18, 2)
+    empty = df.where("false").agg(M.count_where(F.col("st") == "X").alias("c")).first()
+    assert empty["c"] is None  # SUM over no rows is NULL, as in SQL
+
+
+def test_truncate_and_run_stamp(spark):
+    df = spark.range(1).select(M.truncate_text(F.lit("x" * 5000)).alias("t"), M.run_stamp().alias("s"),
+                               M.run_stamp("2026-05-10 02:00:00").alias("f"))
+    r = df.first()
+    assert len(r["t"]) == 4000 and len(r["s"]) == 19 and r["f"] == "2026-05-10 02:00:00"

@@ -119,34 +119,43 @@ PARTITIONS = {
 }
 
 
-def conform(df: DataFrame, schema: StructType, exprs: dict[str, Column] | None = None) -> DataFrame:
+def _sql_type(t: DataType) -> str:
+    return t.simpleString()
+
+
+def conform(df: DataFrame, schema: StructType, exprs: dict[str, Column | str] | None = None) -> DataFrame:
     """B1: select exactly ``schema``'s columns, in order, cast to its types.
 
-    ``exprs`` supplies a Column for target columns that are computed or renamed;
-    every other target column is taken by name from ``df``.  A target column
-    that is neither in ``exprs`` nor in ``df`` is an error, not a silent NULL.
+    ``exprs`` supplies the target columns that are computed or renamed, as a
+    Column or as SQL expression text; every other target column is taken by
+    name from ``df``.  A target column that is neither in ``exprs`` nor in
+    ``df`` is an error, not a silent NULL.  The projection is built in one
+    call (Catalyst drops casts to the type a column already has).
     """
-    exprs = exprs or {}
+    exprs = dict(exprs or {})
+    cols = {k: v for k, v in exprs.items() if isinstance(v, Column)}
+    if cols:
+        df = df.withColumns(cols)
     have = set(df.columns)
-    cols = []
+    out = []
     for f in schema.fields:
-        if f.name in exprs:
-            c = exprs[f.name]
+        if isinstance(exprs.get(f.name), str):
+            src = f"({exprs[f.name]})"
         elif f.name in have:
-            c = F.col(f.name)
+            src = f"`{f.name}`"
         else:
             raise KeyError(f"conform: no source for target column {f.name!r}")
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        out.append(f"CAST({src} AS {_sql_type(f.dataType)}) AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def pad_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Like ``conform`` but fills columns the input lacks with typed NULLs."""
     have = set(df.columns)
-    return df.select(
-        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-          for f in schema.fields]
-    )
+    return df.selectExpr(*[
+        f"CAST({'`' + f.name + '`' if f.name in have else 'NULL'} AS {_sql_type(f.dataType)}) AS `{f.name}`"
+        for f in schema.fields
+    ])
 
 
 def without(schema: StructType, *names: str) -> StructType:

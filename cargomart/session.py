@@ -18,6 +18,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from file-size estimates: a side is broadcast only when a
+    # probe has measured it (operators.joins.bounded_broadcast) or when AQE
+    # has measured the materialised shuffle output at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Keep partition values (dates as 'YYYY-MM-DD') typed as STRING on path reads.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

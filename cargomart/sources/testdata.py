@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,37 +35,131 @@ from cargomart.schemas import conform
 LOAD_DT = "2026-05-10"
 RUN_STAMP = "2026-05-10 02:00:00"
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def _s(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
-def _code(prefix: str, c: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), width, "0"))
-
-
-def _day(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver's parquet table; the read (listing + footer) is reused per session."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _day_range(col: str, day: str) -> Column:
     start = _dt.date.fromisoformat(check_day(day))
     end = start + _dt.timedelta(days=1)
-    c = F.col(col)
-    return (c >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz")) & (
-        c < F.lit(f"{end} 00:00:00").cast("timestamp_ntz")
+    return F.expr(
+        f"{col} >= TIMESTAMP_NTZ'{start} 00:00:00' AND {col} < TIMESTAMP_NTZ'{end} 00:00:00'"
     )
 
 
+# Column mappings as SQL expressions (each applied in one projection).
+_DAY = "CAST(CAST({c} AS DATE) AS STRING)"
+_SHIPMENT_MAP = {
+    "shipment_id": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
+    "tracking_number": "NULLIF(CAST(l_partkey % 50 AS STRING), '7')",
+    "origin_facility_cd": "'FAC' || lpad(CAST(c_nationkey AS STRING), 2, '0')",
+    "destination_facility_cd": "'FAC' || lpad(CAST(l_partkey % 25 AS STRING), 2, '0')",
+    "carrier_id": "CAST(l_suppkey AS STRING)",
+    "route_id": "CAST(c_nationkey AS STRING)",
+    "record_type": """CASE WHEN l_returnflag = 'N' THEN 'RAW' WHEN l_returnflag = 'A' THEN 'MANIFEST'
+                           WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'TEST'
+                           WHEN l_returnflag = 'R' THEN 'INTERNAL' END""",
+    "shipment_status_code": """CASE WHEN l_linenumber = 7 THEN 'CANCELLED' WHEN l_linenumber = 6 THEN 'RETURNED'
+                                    WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderstatus = 'O' THEN 'BOOKED'
+                                    WHEN o_orderstatus = 'P' THEN 'IN_TRANSIT' END""",
+    "service_level": "o_orderpriority",
+    "booking_channel": "c_mktsegment",
+    "customer_id": "CAST(o_custkey AS STRING)",
+    "weight_kg": "NULLIF(CAST(l_quantity AS DECIMAL(10,2)), 1.00BD)",
+    "volume_cbm": "CAST(CAST(l_quantity AS BIGINT) AS DECIMAL(10,4)) / 100",
+    "declared_value": "CAST(l_extendedprice AS DECIMAL(15,2))",
+    "shipping_charge": """CAST(l_extendedprice AS DECIMAL(15,2))
+                          * (CAST(l_tax AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)) + 0.05BD)""",
+    "pickup_dt": _DAY.format(c="o_orderdate"),
+    "expected_delivery_dt": _DAY.format(c="l_shipdate"),
+    "delivery_dt": f"CASE WHEN l_linestatus = 'F' THEN {_DAY.format(c='l_shipdate')} ELSE '' END",
+    "source_system_cd": "'ORDERS'",
+    "trans_dt": _DAY.format(c="l_shipdate"),
+}
+
+_EVENT_MAP = {
+    "event_id": "lpad(CAST(event_id AS STRING), 12, '0')",
+    "shipment_id": "CAST(user_id AS STRING)",
+    "event_type_cd": "event_type",
+    "event_facility_cd": "'FAC' || lpad(CAST(event_id % 25 AS STRING), 2, '0')",
+    "event_ts": "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    "event_status": "'RECORDED'",
+    "exception_flag": "CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END",
+    "scanner_user_id": "NULL",
+    "carrier_id": "NULL",
+    "comments": "props",
+    "source_system_cd": "'EVENTS'",
+    "event_dt": _DAY.format(c="ts"),
+}
+
+
+def _validity(k: str, inactive: str) -> dict[str, str]:
+    """status / eff_dt / exp_dt such that B8 (as of LOAD_DT) is false exactly
+    when ``inactive``; inactive rows fail for one of three reasons (status,
+    future start, past end); active rows cover the boundaries eff = load_dt,
+    exp = load_dt and exp NULL or ''."""
+    return {
+        "status": f"CASE WHEN ({inactive}) AND {k} % 3 = 0 THEN 'I' ELSE 'A' END",
+        "eff_dt": f"""CASE WHEN ({inactive}) AND {k} % 3 = 0 THEN '2020-01-01'
+                           WHEN ({inactive}) AND {k} % 3 = 1 THEN '2099-01-01'
+                           WHEN ({inactive}) THEN '2018-01-01'
+                           WHEN {k} % 4 = 0 THEN '2024-06-01'
+                           WHEN {k} % 4 = 1 THEN '{LOAD_DT}'
+                           WHEN {k} % 4 = 2 THEN '2025-01-01'
+                           ELSE '2019-03-15' END""",
+        "exp_dt": f"""CASE WHEN ({inactive}) AND {k} % 3 = 0 THEN '2025-12-31'
+                           WHEN ({inactive}) AND {k} % 3 = 1 THEN NULL
+                           WHEN ({inactive}) THEN '2020-12-31'
+                           WHEN {k} % 5 = 1 THEN ''
+                           WHEN {k} % 5 = 2 THEN '{LOAD_DT}'
+                           WHEN {k} % 5 = 3 THEN '2030-12-31'
+                           ELSE NULL END""",
+    }
+
+
+_CARRIER_MAP = {
+    "carrier_id": "CAST(s_suppkey AS STRING)",
+    "carrier_code": "'CRR' || lpad(CAST(s_suppkey AS STRING), 5, '0')",
+    "carrier_name": "s_name",
+    "carrier_type": "CASE WHEN s_suppkey % 2 = 0 THEN 'LTL' ELSE 'PARCEL' END",
+    "country_cd": "'N' || CAST(s_nationkey AS STRING)",
+    "region_cd": "'R' || CAST(s_nationkey % 5 AS STRING)",
+    "service_tier": "CASE WHEN s_suppkey % 3 = 0 THEN 'GOLD' WHEN s_suppkey % 3 = 1 THEN 'SILVER' ELSE 'BRONZE' END",
+    "contract_number": "'K' || lpad(CAST(s_suppkey AS STRING), 6, '0')",
+    "contact_phone": "NULL",
+    "contact_email": "NULL",
+    "max_weight_kg": "1000 + s_suppkey % 100",
+    "insurance_limit": "s_acctbal",
+    **_validity("s_suppkey", "s_suppkey % 7 = 3"),
+}
+
+_ROUTE_MAP = {
+    "route_id": "CAST(n_nationkey AS STRING)",
+    "route_code": "'RT' || lpad(CAST(n_nationkey AS STRING), 3, '0')",
+    "route_name": "n_name",
+    "origin_facility_cd": "'FAC' || lpad(CAST(n_nationkey AS STRING), 2, '0')",
+    "destination_facility_cd": "'FAC' || lpad(CAST((n_nationkey + 7) % 25 AS STRING), 2, '0')",
+    "transit_mode": "CASE WHEN n_nationkey % 3 = 0 THEN 'AIR' WHEN n_nationkey % 3 = 1 THEN 'GROUND' ELSE 'SEA' END",
+    "distance_km": "(n_nationkey + 1) * 100",
+    "standard_transit_days": "n_nationkey % 7 + 1",
+    "base_cost": "n_nationkey + 50",
+    "fuel_surcharge_pct": "n_nationkey % 10",
+    "hazmat_allowed_flag": "CASE WHEN n_nationkey % 2 = 0 THEN 'Y' ELSE 'N' END",
+    "region_cd": "r_name",
+    **_validity("n_nationkey", "n_nationkey % 8 = 5"),
+}
+
+
 def src_shipments(spark: SparkSession, sf_dir: str, trans_dt: str | None = None) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
+    li = table(spark, sf_dir, "lineitem")
     if trans_dt is not None:
         li = li.where(_day_range("l_shipdate", trans_dt))
     orders = table(spark, sf_dir, "orders").select(
@@ -77,129 +170,22 @@ def src_shipments(spark: SparkSession, sf_dir: str, trans_dt: str | None = None)
     )
     oc = orders.join(cust, orders["o_custkey"] == cust["c_custkey"], "inner")
     j = li.join(oc, li["l_orderkey"] == oc["o_orderkey"], "inner")
-
-    declared = F.col("l_extendedprice").cast("decimal(15,2)")
-    rate = (
-        F.col("l_tax").cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-        + F.lit(Decimal("0.05"))
-    )
-    trans = _day("l_shipdate")
-    flag, lstatus, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
-    ostatus = F.col("o_orderstatus")
-    exprs = {
-        "shipment_id": F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber")),
-        "tracking_number": F.nullif(_s(F.col("l_partkey") % 50), F.lit("7")),
-        "origin_facility_cd": _code("FAC", F.col("c_nationkey"), 2),
-        "destination_facility_cd": _code("FAC", F.col("l_partkey") % 25, 2),
-        "carrier_id": _s("l_suppkey"),
-        "route_id": _s("c_nationkey"),
-        "record_type": F.when(flag == "N", "RAW").when(flag == "A", "MANIFEST")
-        .when((flag == "R") & (lstatus == "F"), "TEST").when(flag == "R", "INTERNAL"),
-        "shipment_status_code": F.when(ln == 7, "CANCELLED").when(ln == 6, "RETURNED")
-        .when(ostatus == "F", "DELIVERED").when(ostatus == "O", "BOOKED")
-        .when(ostatus == "P", "IN_TRANSIT"),
-        "service_level": F.col("o_orderpriority"),
-        "booking_channel": F.col("c_mktsegment"),
-        "customer_id": _s("o_custkey"),
-        "weight_kg": F.nullif(F.col("l_quantity").cast("decimal(10,2)"), F.lit(1).cast("decimal(10,2)")),
-        "volume_cbm": F.col("l_quantity").cast("bigint").cast("decimal(10,4)") / F.lit(100),
-        "declared_value": declared,
-        "shipping_charge": (declared * rate).cast("decimal(15,2)"),
-        "pickup_dt": _day("o_orderdate"),
-        "expected_delivery_dt": trans,
-        "delivery_dt": F.when(lstatus == "F", trans).otherwise(F.lit("")),
-        "source_system_cd": F.lit("ORDERS"),
-        "trans_dt": trans,
-    }
-    return conform(j, schemas.SRC_SHIPMENTS, exprs)
+    return conform(j, schemas.SRC_SHIPMENTS, _SHIPMENT_MAP)
 
 
 def src_shipment_events(spark: SparkSession, sf_dir: str, event_dt: str | None = None) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = table(spark, sf_dir, "events")
     if event_dt is not None:
         ev = ev.where(_day_range("ts", event_dt))
-    exprs = {
-        "event_id": F.lpad(_s("event_id"), 12, "0"),
-        "shipment_id": _s("user_id"),
-        "event_type_cd": F.col("event_type"),
-        "event_facility_cd": _code("FAC", F.col("event_id") % 25, 2),
-        "event_ts": F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-        "event_status": F.lit("RECORDED"),
-        "exception_flag": F.when(F.col("event_type") == "error", "Y").otherwise("N"),
-        "scanner_user_id": F.lit(None),
-        "carrier_id": F.lit(None),
-        "comments": F.col("props"),
-        "source_system_cd": F.lit("EVENTS"),
-        "event_dt": _day("ts"),
-    }
-    return conform(ev, schemas.SRC_SHIPMENT_EVENTS, exprs)
-
-
-def _validity(key: Column, inactive: Column) -> dict[str, Column]:
-    """status / eff_dt / exp_dt such that B8 (as of LOAD_DT) is false exactly
-    when ``inactive``; inactive rows fail for one of three reasons."""
-    why = key % 3
-    status = F.when(inactive & (why == 0), "I").otherwise("A")
-    eff = (
-        F.when(inactive & (why == 0), "2020-01-01")
-        .when(inactive & (why == 1), "2099-01-01")
-        .when(inactive, "2018-01-01")
-        .when(key % 4 == 0, "2024-06-01")
-        .when(key % 4 == 1, LOAD_DT)
-        .when(key % 4 == 2, "2025-01-01")
-        .otherwise("2019-03-15")
-    )
-    exp = (
-        F.when(inactive & (why == 0), "2025-12-31")
-        .when(inactive & (why == 1), F.lit(None))
-        .when(inactive, "2020-12-31")
-        .when(key % 5 == 1, "")
-        .when(key % 5 == 2, LOAD_DT)
-        .when(key % 5 == 3, "2030-12-31")
-        .otherwise(F.lit(None))
-    )
-    return {"status": status, "eff_dt": eff, "exp_dt": exp}
+    return conform(ev, schemas.SRC_SHIPMENT_EVENTS, _EVENT_MAP)
 
 
 def src_carrier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    k = F.col("s_suppkey")
-    exprs = {
-        "carrier_id": _s(k),
-        "carrier_code": _code("CRR", k, 5),
-        "carrier_name": F.col("s_name"),
-        "carrier_type": F.when(k % 2 == 0, "LTL").otherwise("PARCEL"),
-        "country_cd": F.concat(F.lit("N"), _s("s_nationkey")),
-        "region_cd": F.concat(F.lit("R"), _s(F.col("s_nationkey") % 5)),
-        "service_tier": F.when(k % 3 == 0, "GOLD").when(k % 3 == 1, "SILVER").otherwise("BRONZE"),
-        "contract_number": _code("K", k, 6),
-        "contact_phone": F.lit(None),
-        "contact_email": F.lit(None),
-        "max_weight_kg": (F.lit(1000) + k % 100).cast("decimal(10,2)"),
-        "insurance_limit": F.col("s_acctbal").cast("decimal(15,2)"),
-        **_validity(k, k % 7 == 3),
-    }
-    return conform(s, schemas.SRC_CARRIER_MASTER, exprs)
+    return conform(table(spark, sf_dir, "supplier"), schemas.SRC_CARRIER_MASTER, _CARRIER_MAP)
 
 
 def src_route_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = bounded_broadcast(table(spark, sf_dir, "region"))
     j = n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner")
-    k = F.col("n_nationkey")
-    exprs = {
-        "route_id": _s(k),
-        "route_code": _code("RT", k, 3),
-        "route_name": F.col("n_name"),
-        "origin_facility_cd": _code("FAC", k, 2),
-        "destination_facility_cd": _code("FAC", (k + 7) % 25, 2),
-        "transit_mode": F.when(k % 3 == 0, "AIR").when(k % 3 == 1, "GROUND").otherwise("SEA"),
-        "distance_km": ((k + 1) * 100).cast("decimal(10,2)"),
-        "standard_transit_days": (k % 7 + 1).cast("bigint"),
-        "base_cost": (k + 50).cast("decimal(15,2)"),
-        "fuel_surcharge_pct": (k % 10).cast("decimal(5,2)"),
-        "hazmat_allowed_flag": F.when(k % 2 == 0, "Y").otherwise("N"),
-        "region_cd": F.col("r_name"),
-        **_validity(k, k % 8 == 5),
-    }
-    return conform(j, schemas.SRC_ROUTE_MASTER, exprs)
+    return conform(j, schemas.SRC_ROUTE_MASTER, _ROUTE_MAP)

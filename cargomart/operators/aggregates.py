@@ -94,3 +94,23 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) ->
     arbitrary one)."""
     out = latest_per_key(df, keys, order_by)
     return out.select(*df.columns)
+
+
+def calendar_days(bounds: DataFrame, lo: str = "lo", hi: str = "hi", name: str = "trans_dt") -> DataFrame:
+    """Every day from ``lo`` to ``hi`` (DATE columns of a one-row ``bounds``)
+    as ``'yyyy-MM-dd'`` strings in column ``name``."""
+    return bounds.select(F.explode(F.sequence(F.col(lo), F.col(hi))).alias("__d")).select(
+        F.date_format("__d", "yyyy-MM-dd").alias(name)
+    )
+
+
+def missing_days(source: DataFrame, target: DataFrame, col: str = "trans_dt") -> DataFrame:
+    """Q12: days between the first and last ``source`` day that have no row in
+    ``target`` (e.g. a weekday the daily schedule never loads).
+
+    The expected set is the calendar between the source bounds (one small
+    aggregate); the anti join against the target's days finds the gaps.
+    """
+    bounds = source.agg(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))
+    present = target.select(col).distinct()  # combined map-side: one row per day and partition
+    return calendar_days(bounds, name=col).join(present, col, "left_anti")

@@ -23,6 +23,7 @@ from cargomart.operators.aggregates import (
     duplicate_key_count,
     duplicate_keys,
     error_counts,
+    missing_days,
     rollup_counts,
 )
 from cargomart.operators.joins import enrich_latest, orphan_rows
@@ -221,14 +222,7 @@ def q_framed_export_lines(spark, d):
 
 def q_missing_days(spark, d):
     """Q12: calendar days between the first and last source day with no staging rows."""
-    days = src(spark, d).agg(
-        F.min(F.to_date("trans_dt")).alias("lo"), F.max(F.to_date("trans_dt")).alias("hi")
-    )
-    cal = days.select(F.explode(F.sequence("lo", "hi")).alias("day")).select(
-        F.date_format("day", "yyyy-MM-dd").alias("trans_dt")
-    )
-    present = staging(spark, d).select("trans_dt")
-    return cal.join(present, "trans_dt", "left_anti")
+    return missing_days(src(spark, d), staging(spark, d), "trans_dt")
 
 
 def q_dedupe_latest(spark, d):

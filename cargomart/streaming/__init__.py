@@ -1 +1,6 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+Every job of the reference is a scheduled batch over daily or monthly
+partitions; it has no stream source, watermark, time window or stateful
+operator, so there is nothing to express with Structured Streaming here.
+"""

@@ -1,12 +1,14 @@
 """Joins: size-checked broadcast, latest-record enrichment (C1), star join
 and orphan detection (C3, C4).
 
-Broadcast policy: a side is broadcast only after a bounded probe has shown
-that it holds at most ``max_rows`` rows and ``max_bytes`` bytes.  The probe
-reads at most ``max_rows + 1`` rows per input partition, so it stays cheap
-even when the side turns out to be large; in that case the side is left
-unhinted and Spark plans a shuffle join (with AQE re-planning and skew
-splitting at runtime).
+Broadcast policy: a side is broadcast only after a probe has measured that
+it holds at most ``max_rows`` rows and ``max_bytes`` bytes.  The probe is one
+distributed aggregate (count and byte sum, combined map-side, one row per
+input partition reaches the final task), so it never funnels data into a
+single task.  Probes are meant for dimension-like sides; sides that grow with
+the facts are joined with a shuffle join without probing.  A side that fails
+the probe is left unhinted and Spark plans a shuffle join (with AQE
+re-planning and skew splitting at runtime).
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def _row_bytes(schema: StructType) -> Column:
 class SizeProbe:
     rows: int
     bytes: int
-    bounded: bool  # True if the whole input was seen (rows <= limit)
+    bounded: bool  # rows <= the row limit
 
 
 # Probe results per (plan, input files): file-based data never changes in
@@ -59,15 +61,11 @@ def _probe_key(df: DataFrame, max_rows: int) -> tuple | None:
 
 
 def probe_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeProbe:
-    """Count rows and bytes of ``df``, reading at most ``max_rows + 1`` rows."""
+    """Count rows and bytes of ``df`` with one map-side-combined aggregate."""
     key = _probe_key(df, max_rows)
     if key is not None and key in _PROBES:
         return _PROBES[key]
-    r = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b"))
-        .first()
-    )
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b")).first()
     n, b = int(r["n"]), int(r["b"] or 0)
     probe = SizeProbe(n, b, n <= max_rows)
     if key is not None:
@@ -75,14 +73,16 @@ def probe_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeProbe:
     return probe
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    p = probe_size(df, max_rows)
+    return p.bounded and p.bytes <= max_bytes
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES
 ) -> DataFrame:
     """``F.broadcast(df)`` if a probe proves it small, else ``df`` unchanged."""
-    p = probe_size(df, max_rows)
-    if p.bounded and p.bytes <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def _join_cond(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -100,13 +100,17 @@ def enrich_latest(
     order_by: Sequence[str],
     take: Mapping[str, str],
     tie_breakers: Sequence[str] = (),
-    broadcast: bool | None = None,
+    broadcast: bool | None = False,
 ) -> DataFrame:
     """Keep every left row; attach columns of the latest matching right row.
 
     ``on`` pairs (left column, right column); the right side is first reduced
     to one row per right key (E1), so the left cardinality is unchanged.
     ``take`` maps right column -> output name.  Unmatched left rows get NULLs.
+
+    The reduced right side grows with the facts (one row per shipment), so by
+    default it is shuffle-joined; ``broadcast=None`` probes it first and
+    ``True`` forces a broadcast.
     """
     rkeys = [rk for _, rk in on]
     latest = latest_per_key(right, rkeys, order_by, tie_breakers, take=list(take))
@@ -164,8 +168,11 @@ def key_presence(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, f
     Joins against the *distinct* dimension keys, so facts are never multiplied
     even when the dimension holds duplicate keys.
     """
-    keys = dim.select(F.col(dim_key).alias(f"__pk_{flag}")).distinct()
-    keys = bounded_broadcast(keys.withColumn(f"__pv_{flag}", F.lit(True)))
+    raw = dim.select(F.col(dim_key).alias(f"__pk_{flag}"))
+    keys = raw.distinct().withColumn(f"__pv_{flag}", F.lit(True))
+    # The probe measures the raw key column (no shuffle); its distinct subset is smaller still.
+    if fits_broadcast(raw):
+        keys = F.broadcast(keys)
     out = fact.join(keys, fact[fact_key] == keys[f"__pk_{flag}"], "left")
     return out.withColumn(flag, F.coalesce(F.col(f"__pv_{flag}"), F.lit(False))).drop(
         f"__pk_{flag}", f"__pv_{flag}"

@@ -162,6 +162,15 @@ def orphan_rows(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return fact.join(keys, fact[fact_key] == keys["__ok"], "left_anti")
 
 
+def orphan_rows_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """C3/C4 in the reference's literal form: left join, keep rows whose
+    dimension side is NULL.  Same rows as ``orphan_rows``; kept to compare the
+    two shapes (Catalyst does not rewrite this one into an anti join)."""
+    keys = bounded_broadcast(dim.select(F.col(dim_key).alias("__ok")))
+    joined = fact.join(keys, fact[fact_key] == keys["__ok"], "left")
+    return joined.where(F.col("__ok").isNull()).drop("__ok")
+
+
 def key_presence(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, flag: str) -> DataFrame:
     """Adds boolean ``flag``: does ``fact[fact_key]`` exist in ``dim[dim_key]``.
 

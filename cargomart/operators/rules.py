@@ -41,6 +41,12 @@ def rule_violations(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str] |
     )
 
 
+def violation_count(rules: Sequence[Rule]) -> Column:
+    """Number of rules a row fails (the number of rows ``rule_violations``
+    would emit for it), without exploding."""
+    return F.size(F.array_compact(F.array(*[F.when(r.condition, F.lit(r.code)) for r in rules])))
+
+
 def rule_violations_union(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str] | None = None) -> DataFrame:
     keep = list(keep) if keep is not None else list(df.columns)
     out = None

@@ -328,3 +328,4 @@ ORACLE: dict[str, str] = {
 # Equivalent forms share their oracle.
 ORACLE["latest_event_per_key_window"] = ORACLE["latest_event_per_key"]
 ORACLE["rule_violations_union"] = ORACLE["rule_violations"]
+ORACLE["orphans_carrier_left_join"] = ORACLE["orphans_carrier"]

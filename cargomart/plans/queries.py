@@ -26,11 +26,14 @@ from cargomart.operators.aggregates import (
     missing_days,
     rollup_counts,
 )
-from cargomart.operators.joins import enrich_latest, orphan_rows
+from cargomart.operators.joins import enrich_latest, orphan_rows, orphan_rows_left_join
+from cargomart.operators.gates import run_report
+from cargomart.operators.rules import violation_count
 from cargomart.operators.sinks import frame_lines
 from cargomart.operators.windows import latest_per_key, latest_per_key_window
-from cargomart.plans.definitions import SUMMARY_MEASURE_COLS, active_filter, ingest_filters
+from cargomart.plans.definitions import SUMMARY_MEASURE_COLS, active_filter, dq_rules, ingest_filters, with_dim_flags
 from cargomart.plans.transforms import EVENT_TAKE, build_dim, dq_errors, stage_shipments, summary_rows
+from cargomart.session import materialize
 from cargomart.sources import testdata as td
 
 # Fixed parameters of the driver queries.  10.00 would keep every adapter row,
@@ -150,6 +153,13 @@ def q_orphans_carrier(spark, d):
     return orphan_rows(staging(spark, d), dim_carrier(spark, d), "carrier_id", "carrier_id").select(*_ORPHAN_COLS)
 
 
+def q_orphans_carrier_left_join(spark, d):
+    """C3, literal left join + IS NULL form; must equal ``orphans_carrier``."""
+    return orphan_rows_left_join(staging(spark, d), dim_carrier(spark, d), "carrier_id", "carrier_id").select(
+        *_ORPHAN_COLS
+    )
+
+
 def q_orphans_route(spark, d):
     """C4: staging rows whose route is not in dim_route."""
     return orphan_rows(staging(spark, d), dim_route(spark, d), "route_id", "route_id").select(*_ORPHAN_COLS)
@@ -187,31 +197,39 @@ def q_month_slice(spark, d):
     return _drop_stamp(staging(spark, d)).where(month_slice("trans_dt", MONTH))
 
 
+def _rule_hits(spark, d) -> DataFrame:
+    """Staging rows with the number of DQ rules each fails (one pass)."""
+    flagged = with_dim_flags(staging(spark, d), dim_carrier(spark, d), dim_route(spark, d))
+    return flagged.select("trans_dt", violation_count(dq_rules()).alias("hits"))
+
+
+def _rate_columns():
+    rate = int_percent("err_cnt", "stg_cnt")
+    return ["err_cnt", "stg_cnt", rate.alias("err_rate_pct"), (rate > 5).alias("warn")]
+
+
 def q_error_rate(spark, d):
-    """H7 + K3: error rows vs staging rows as a truncating integer percent."""
-    errs = dq(spark, d).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("err"))
-    stg = staging(spark, d).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("stg"))
-    u = errs.unionByName(stg)
-    both = u.agg(
-        F.sum(F.when(F.col("k") == "err", F.col("n"))).cast("bigint").alias("err_cnt"),
-        F.sum(F.when(F.col("k") == "stg", F.col("n"))).cast("bigint").alias("stg_cnt"),
+    """H7 + K3: error rows vs staging rows as a truncating integer percent,
+    both counted in one pass over staging."""
+    both = _rule_hits(spark, d).agg(
+        F.sum("hits").cast("bigint").alias("err_cnt"), F.count(F.lit(1)).cast("bigint").alias("stg_cnt")
     )
-    rate = int_percent("err_cnt", "stg_cnt")
-    return both.select("err_cnt", "stg_cnt", rate.alias("err_rate_pct"), (rate > 5).alias("warn"))
+    return both.select(*_rate_columns())
 
 
 def q_error_rate_by_day(spark, d):
-    """K3 per day, as the daily job evaluates it."""
-    errs = dq(spark, d).groupBy("trans_dt").agg(F.count(F.lit(1)).alias("err_cnt"))
-    stg = staging(spark, d).groupBy("trans_dt").agg(F.count(F.lit(1)).alias("stg_cnt"))
-    j = stg.join(errs, "trans_dt", "left").fillna(0, ["err_cnt"])
-    rate = int_percent("err_cnt", "stg_cnt")
-    return j.select("trans_dt", "err_cnt", "stg_cnt", rate.alias("err_rate_pct"), (rate > 5).alias("warn"))
+    """K3 per day, as the daily job evaluates it (one pass over staging)."""
+    per_day = _rule_hits(spark, d).groupBy("trans_dt").agg(
+        F.sum("hits").cast("bigint").alias("err_cnt"), F.count(F.lit(1)).cast("bigint").alias("stg_cnt")
+    )
+    return per_day.select("trans_dt", *_rate_columns())
 
 
 def q_framed_export_lines(spark, d):
     """Every month's framed export (header, rows, trailer) as lines."""
-    s = summary(spark, d).select(*schemas.EXPORT_COLUMNS)
+    # The summary feeds both the data lines and the per-month counts: cut
+    # lineage once instead of recomputing it from the raw tables per branch.
+    s = materialize(summary(spark, d).select(*schemas.EXPORT_COLUMNS))
     lines = frame_lines(
         s, schemas.EXPORT_COLUMNS,
         order_by=["report_date", "carrier_id", "route_id", "service_level"],
@@ -232,22 +250,32 @@ def q_dedupe_latest(spark, d):
 
 
 def q_run_report(spark, d):
-    """K8: one reconciliation row per step."""
-    parts = [
-        ("ingest", "src_shipments", src(spark, d)),
-        ("ingest", "stg_shipments", staging(spark, d)),
-        ("dim_refresh", "dim_carrier", dim_carrier(spark, d)),
-        ("dim_refresh", "dim_route", dim_route(spark, d)),
-        ("summary", "shipment_dq_errors", dq(spark, d)),
-        ("summary", "shipment_summary", summary(spark, d)),
-    ]
-    out = None
-    for step, label, df in parts:
-        r = df.agg(F.count(F.lit(1)).cast("bigint").alias("row_cnt")).select(
-            F.lit(step).alias("step"), F.lit(label).alias("label"), "row_cnt"
-        )
-        out = r if out is None else out.unionByName(r)
-    return out
+    """K8: one reconciliation row per step.
+
+    Source, staging and DQ counts come from one pass over the source (the
+    ingest filter and the DQ rules are evaluated as flags); the summary needs
+    its own grouping pass; the dimension counts are single-row aggregates.
+    """
+    dc, dr = dim_carrier(spark, d), dim_route(spark, d)
+    kept = ingest_filters(MIN_VALUE).condition()
+    flagged = with_dim_flags(src(spark, d), dc, dr)
+    hits = violation_count(dq_rules())
+    one_pass = flagged.agg(
+        F.count(F.lit(1)).cast("bigint").alias("src_shipments"),
+        F.count(F.when(kept, F.lit(1))).cast("bigint").alias("stg_shipments"),
+        F.sum(F.when(kept, hits).otherwise(F.lit(0))).cast("bigint").alias("shipment_dq_errors"),
+    )
+    steps = {"src_shipments": "ingest", "stg_shipments": "ingest", "shipment_dq_errors": "summary"}
+    rows = one_pass.select(F.explode(F.array(*[
+        F.struct(F.lit(step).alias("step"), F.lit(label).alias("label"), F.col(label).alias("row_cnt"))
+        for label, step in steps.items()
+    ])).alias("r")).select("r.*")
+    rest = run_report([
+        ("dim_refresh", "dim_carrier", dc),
+        ("dim_refresh", "dim_route", dr),
+        ("summary", "shipment_summary", summary_rows(staging(spark, d), dc, dr, STAMP)),
+    ])
+    return rows.unionByName(rest)
 
 
 def q_summary_unfiltered(spark, d):
@@ -267,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "active_routes": q_active_routes,
     "combined_active_count": q_combined_active_count,
     "orphans_carrier": q_orphans_carrier,
+    "orphans_carrier_left_join": q_orphans_carrier_left_join,
     "orphans_route": q_orphans_route,
     "rule_violations": q_rule_violations,
     "rule_violations_union": q_rule_violations_union,

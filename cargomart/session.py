@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set on this cluster")
 
 
+def materialize(df):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and continue from the written copy (used where one intermediate feeds
+    several branches; later scans prune columns and survive lost executors).
+    Without a checkpoint folder the plan is returned unchanged."""
+    spark = df.sparkSession
+    try:
+        base = checkpoint_dir(spark)
+    except RuntimeError:
+        return df
+    path = f"{base.rstrip('/')}/cargomart-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

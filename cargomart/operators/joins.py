@@ -174,15 +174,17 @@ def orphan_rows_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_ke
 def key_presence(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, flag: str) -> DataFrame:
     """Adds boolean ``flag``: does ``fact[fact_key]`` exist in ``dim[dim_key]``.
 
-    Joins against the *distinct* dimension keys, so facts are never multiplied
-    even when the dimension holds duplicate keys.
+    Written as a correlated ``EXISTS`` (planned as an existence join), so a
+    fact row is never multiplied, even when the dimension holds duplicate
+    keys, and a NULL key gives FALSE.  The dimension's key column is
+    broadcast when a probe proves it small.
     """
-    raw = dim.select(F.col(dim_key).alias(f"__pk_{flag}"))
-    keys = raw.distinct().withColumn(f"__pv_{flag}", F.lit(True))
-    # The probe measures the raw key column (no shuffle); its distinct subset is smaller still.
-    if fits_broadcast(raw):
+    k = f"__pk_{flag}"
+    keys = dim.select(F.col(dim_key).alias(k))
+    if fits_broadcast(keys):
         keys = F.broadcast(keys)
-    out = fact.join(keys, fact[fact_key] == keys[f"__pk_{flag}"], "left")
-    return out.withColumn(flag, F.coalesce(F.col(f"__pv_{flag}"), F.lit(False))).drop(
-        f"__pk_{flag}", f"__pv_{flag}"
-    )
+    # A name that exists only outside the subquery, so the outer reference
+    # cannot bind to a same-named column of the dimension.
+    fk = f"__fk_{flag}"
+    exists = keys.where(F.col(k) == F.col(fk).outer()).exists()
+    return fact.withColumn(fk, F.col(fact_key)).withColumn(flag, exists).drop(fk)

@@ -137,7 +137,13 @@ class DimSpec:
     columns: Sequence[str]
 
 
-def star_join(fact: DataFrame, dims: Sequence[DimSpec], how: str = "inner") -> DataFrame:
+def star_join(
+    fact: DataFrame,
+    dims: Sequence[DimSpec],
+    how: str = "inner",
+    max_rows: int = DEFAULT_MAX_ROWS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
     """Join a fact to each dimension on a single-column equi key.
 
     Only ``columns`` of each dimension are carried; dimension keys are dropped
@@ -147,7 +153,7 @@ def star_join(fact: DataFrame, dims: Sequence[DimSpec], how: str = "inner") -> D
     for i, d in enumerate(dims):
         k = f"__dk{i}"
         side = d.dim.select(F.col(d.dim_key).alias(k), *[F.col(c) for c in d.columns])
-        side = bounded_broadcast(side)
+        side = bounded_broadcast(side, max_rows, max_bytes)
         out = out.join(side, out[d.fact_key] == side[k], how).drop(k)
     return out
 

@@ -190,3 +190,21 @@ def test_fetch_summary_prunes_partitions(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "report_month" in plan.split("PartitionFilters")[1][:200]
     assert fetch_summary(spark, t, "1999-12").isEmpty()
+
+
+def test_table_location_and_refresh_partitions(spark, tmp_dir):
+    from cargomart.sources.catalog import read_table, refresh_partitions
+    from cargomart.sources.delimited import read_delimited
+
+    db = _db(spark)
+    t = f"{db}.src_shipments"
+    loc = os.path.join(tmp_dir, "src_shipments")
+    sinks.ensure_table(spark, t, schemas.SRC_SHIPMENTS, ["trans_dt"], location=loc, comment="landing copy")
+    assert read_table(spark, t).count() == 0
+    # a day dropped into the table folder by another writer
+    day = fx.source_df(spark).drop("trans_dt")
+    day.write.parquet(os.path.join(loc, "trans_dt=2026-05-14"))
+    refresh_partitions(spark, t)
+    got = read_table(spark, t)
+    assert got.where("trans_dt = '2026-05-14'").count() == 10
+    assert got.schema["trans_dt"].dataType.typeName() == "string"

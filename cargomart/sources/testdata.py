@@ -41,7 +41,11 @@ _READS: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's parquet table; the read (listing + footer) is reused per session."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext handle (Spark Connect)
+        owner = str(id(spark))
+    key = (owner, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]

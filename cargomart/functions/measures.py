@@ -14,6 +14,7 @@ from pyspark.sql.types import DecimalType
 
 from cargomart.functions.predicates import ColumnOrName, _c
 
+# Fixed value: the text form of run stamps (load_timestamp columns).
 RUN_STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 

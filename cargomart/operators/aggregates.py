@@ -46,14 +46,18 @@ def summarize(df: DataFrame, keys: Sequence[str | Column], measures: Mapping[str
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
 
 
-def shipment_measures(status_col: str = "shipment_status_code") -> dict[str, Column]:
+def shipment_measures(
+    approved: str,
+    rejected: Sequence[str],
+    status_col: str = "shipment_status_code",
+) -> dict[str, Column]:
     """The summary's measures (D5, D6).  ``approval_rate`` (D7) is derived after
     aggregation from the two counts; see ``with_approval_rate``."""
     status = F.col(status_col)
     return {
         "total_count": F.count(F.lit(1)),
-        "approved_count": count_where(status == F.lit("DELIVERED")),
-        "rejected_count": count_where(status.isin("CANCELLED", "RETURNED")),
+        "approved_count": count_where(status == F.lit(approved)),
+        "rejected_count": count_where(status.isin(*rejected)),
         "total_amount": sum_or_zero("declared_value"),
         "total_weight_kg": sum_or_zero("weight_kg"),
     }

@@ -24,6 +24,7 @@ _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _VALUE = re.compile(r"^[A-Za-z0-9_\-:. ]*$")
 
 HEADER_TAG, ROW_TAG, TRAILER_TAG = 0, 1, 2
+# Fixed value: the export's trailer line is this prefix followed by the row count.
 TRAILER_PREFIX = "TRAILER,"
 
 

@@ -25,14 +25,23 @@ from cargomart.operators.filters import FilterSet
 from cargomart.operators.joins import DimSpec, key_presence, star_join
 from cargomart.operators.rules import Rule
 
-# Fixed values of the reference's configuration.
+# Codes, lists, thresholds and message texts that must equal
+# the reference's for identical results.
+EXCLUDED_RECORD_TYPES = ("TEST", "INTERNAL")
 KEPT_STATUSES = ("BOOKED", "IN_TRANSIT", "DELIVERED")
+APPROVED_STATUS = "DELIVERED"
+REJECTED_STATUSES = ("CANCELLED", "RETURNED")
+EXCLUDED_SERVICE_LEVEL = "WAREHOUSE_TRANSFER"
 ANALYTICS_RECORD_TYPES = ("RAW", "MANIFEST")
+ACTIVE_STATUS = "A"
 MIN_DECLARED_VALUE = Decimal("10.00")
 ERR_NO_DIM_CARRIER = "ERR_NO_DIM_CARRIER"
 ERR_NO_DIM_ROUTE = "ERR_NO_DIM_ROUTE"
 ERR_NEG_VALUE = "ERR_NEG_VALUE"
 ERR_NULL_MANDATORY = "ERR_NULL_MANDATORY"
+NO_DIM_CARRIER_TEXT = ("Carrier id [", "] not present in dim_carrier")
+NO_DIM_ROUTE_TEXT = ("Route id [", "] not present in dim_route")
+NEG_VALUE_TEXT = ("Negative monetary value declared_value=", " shipping_charge=")
 NULL_MANDATORY_TEXT = (
     "One or more mandatory fields are NULL "
     "(tracking_number, origin/destination facility, weight_kg)"
@@ -50,8 +59,8 @@ def ingest_filters(min_declared_value: Decimal = MIN_DECLARED_VALUE) -> FilterSe
     """Job 1's filter set (plus the always-on shipment_id presence test)."""
     return FilterSet.of("daily_shipment_ingest", {
         "shipment_id_present": is_present("shipment_id"),
-        "excl_test_type": exclude_value("record_type", "TEST"),
-        "excl_internal_type": exclude_value("record_type", "INTERNAL"),
+        "excl_test_type": exclude_value("record_type", EXCLUDED_RECORD_TYPES[0]),
+        "excl_internal_type": exclude_value("record_type", EXCLUDED_RECORD_TYPES[1]),
         "status_code": include_values("shipment_status_code", KEPT_STATUSES),
         "min_value": at_least("declared_value", min_declared_value),
         "non_null_carrier": is_present("carrier_id"),
@@ -62,13 +71,13 @@ def summary_filters() -> FilterSet:
     """Job 3's summary filter set.  The reference's third filter
     (``dc.carrier_id IS NOT NULL``) is implied by the inner join (B14)."""
     return FilterSet.of("daily_shipment_summary", {
-        "excl_internal_transfer": exclude_value("service_level", "WAREHOUSE_TRANSFER"),
+        "excl_internal_transfer": exclude_value("service_level", EXCLUDED_SERVICE_LEVEL),
         "record_type": include_values("record_type", ANALYTICS_RECORD_TYPES),
     })
 
 
 def active_filter(as_of: str) -> FilterSet:
-    return FilterSet.of("weekly_dim_refresh", {"active": active_as_of(as_of)})
+    return FilterSet.of("weekly_dim_refresh", {"active": active_as_of(as_of, active=ACTIVE_STATUS)})
 
 
 def dq_rules(strict_text: bool = True) -> list[Rule]:
@@ -85,12 +94,12 @@ def dq_rules(strict_text: bool = True) -> list[Rule]:
 
     return [
         Rule(ERR_NO_DIM_CARRIER, ~F.col("has_carrier"),
-             describe_missing_key("Carrier id [", "carrier_id", "] not present in dim_carrier")),
+             describe_missing_key(NO_DIM_CARRIER_TEXT[0], "carrier_id", NO_DIM_CARRIER_TEXT[1])),
         Rule(ERR_NO_DIM_ROUTE, ~F.col("has_route"),
-             describe_missing_key("Route id [", "route_id", "] not present in dim_route")),
+             describe_missing_key(NO_DIM_ROUTE_TEXT[0], "route_id", NO_DIM_ROUTE_TEXT[1])),
         Rule(ERR_NEG_VALUE, any_negative("declared_value", "shipping_charge"),
-             F.concat(F.lit("Negative monetary value declared_value="), amount("declared_value"),
-                      F.lit(" shipping_charge="), amount("shipping_charge"))),
+             F.concat(F.lit(NEG_VALUE_TEXT[0]), amount("declared_value"),
+                      F.lit(NEG_VALUE_TEXT[1]), amount("shipping_charge"))),
         Rule(ERR_NULL_MANDATORY,
              any_missing(["tracking_number", "origin_facility_cd", "destination_facility_cd"], ["weight_kg"]),
              F.lit(NULL_MANDATORY_TEXT)),
@@ -121,4 +130,5 @@ def shipment_summary(
             DimSpec(dim_route, "route_id", "route_id", ["region_cd", "transit_mode"]),
         ],
     ).withColumnRenamed("trans_dt", "report_date")
-    return with_approval_rate(summarize(joined, SUMMARY_KEYS, shipment_measures()))
+    measures = shipment_measures(APPROVED_STATUS, REJECTED_STATUSES)
+    return with_approval_rate(summarize(joined, SUMMARY_KEYS, measures))

@@ -7,7 +7,6 @@ only TIMESTAMP is ``export_log.load_timestamp``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DecimalType,

@@ -194,7 +194,6 @@ def test_fetch_summary_prunes_partitions(spark):
 
 def test_table_location_and_refresh_partitions(spark, tmp_dir):
     from cargomart.sources.catalog import read_table, refresh_partitions
-    from cargomart.sources.delimited import read_delimited
 
     db = _db(spark)
     t = f"{db}.src_shipments"

@@ -118,3 +118,9 @@ def missing_days(source: DataFrame, target: DataFrame, col: str = "trans_dt") ->
     bounds = source.agg(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))
     present = target.select(col).distinct()  # combined map-side: one row per day and partition
     return calendar_days(bounds, name=col).join(present, col, "left_anti")
+
+
+def unloaded_days(source: DataFrame, target: DataFrame, col: str = "trans_dt") -> DataFrame:
+    """Q12: days present in ``source`` but absent from ``target`` (distinct
+    day values on both sides, combined map-side before the anti join)."""
+    return source.select(col).distinct().join(target.select(col).distinct(), col, "left_anti")

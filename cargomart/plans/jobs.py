@@ -25,7 +25,7 @@ from cargomart.operators.gates import (
     snapshot_report,
     validate_framed_csv,
 )
-from cargomart.operators.aggregates import combined_count
+from cargomart.operators.aggregates import combined_count, unloaded_days
 from cargomart.operators.sinks import (
     ensure_table,
     overwrite_partition,
@@ -187,3 +187,20 @@ def export_month(
         publish_file(spark, staging_dir, dest)
         audit.record_cnt = result.value
     return {"export_month": m, "record_cnt": result.value, "file": dest}
+
+
+def days_to_backfill(spark: SparkSession, p: RunParams) -> list[str]:
+    """Q12: source days that never reached staging (e.g. a weekday the
+    schedule skips), oldest first.  Only distinct day values reach the driver."""
+    t = MartTables.of(p)
+    gaps = unloaded_days(spark.table(t.src_shipments), spark.table(t.stg_shipments), "trans_dt")
+    return sorted(r[0] for r in gaps.collect())
+
+
+def backfill(spark: SparkSession, p: RunParams, days: list[str] | None = None) -> list[dict]:
+    """Run ingest and summary for each missing day (each day is its own
+    partition-scoped job; reruns are idempotent)."""
+    out = []
+    for day in days if days is not None else days_to_backfill(spark, p):
+        out.append({"ingest": ingest_day(spark, p, day), "summary": summarize_day(spark, p, day)})
+    return out

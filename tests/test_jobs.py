@@ -125,3 +125,17 @@ def test_dim_refresh_rejects_duplicate_keys(spark, mart):
     overwrite_table(fx.carrier_master_df(spark).unionByName(fx.carrier_master_df(spark)), t.src_carrier_master)
     with pytest.raises(GateError, match="carrier"):
         jobs.refresh_dims(spark, p)
+
+
+def test_backfill_missing_days(spark, mart):
+    p, t, _ = mart
+    jobs.refresh_dims(spark, p)
+    rows = fx.SOURCE_ROWS[:9]
+    for day in ("2026-05-12", "2026-05-13", fx.DAY):
+        load_source(spark, t, [tuple(list(r[:-1]) + [day]) for r in rows], day)
+    jobs.ingest_day(spark, p, "2026-05-13")
+    assert jobs.days_to_backfill(spark, p) == ["2026-05-12", fx.DAY]
+    done = jobs.backfill(spark, p)
+    assert [d["ingest"]["trans_dt"] for d in done] == ["2026-05-12", fx.DAY]
+    assert jobs.days_to_backfill(spark, p) == []
+    assert spark.table(t.shipment_summary).select("report_date").distinct().count() == 2

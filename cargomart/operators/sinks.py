@@ -1,11 +1,10 @@
 """Sinks (A5, A7-A15): catalog DDL, partition and table overwrites, snapshots,
 appends, the framed CSV export and its publication.
 
-Partition overwrites always use a *static* partition spec.  A static spec
-replaces exactly the named partition, also when the new data is empty (Q2),
-and leaves every other partition untouched (Q1), independent of
-``spark.sql.sources.partitionOverwriteMode``.  Identifiers and partition
-values are validated before they are placed in SQL text.
+Partition overwrites replace exactly the named partition, also when the new
+data is empty (Q2), and leave every other partition untouched (Q1), whatever
+the session's ``spark.sql.sources.partitionOverwriteMode``.  Identifiers and
+partition values are validated before they are placed in SQL text.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -79,15 +78,11 @@ def _temp_view(df: DataFrame) -> str:
     return name
 
 
-def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> None:
-    """Replace one (possibly multi-level) partition with ``df``'s rows.
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
-    ``df`` may or may not carry the partition columns; the table's other
-    columns are selected by name, in table order.
-    """
+
+def _static_overwrite(df: DataFrame, table: str, spec: Mapping[str, str], data_cols: Sequence[str]) -> None:
     spark = df.sparkSession
-    target = spark.table(_ident(table))
-    data_cols = [c for c in target.columns if c not in spec]
     view = _temp_view(df.select(*data_cols))
     try:
         part = ", ".join(f"`{k}` = '{_value(v)}'" for k, v in spec.items())
@@ -97,7 +92,41 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> N
         )
     finally:
         spark.catalog.dropTempView(view)
+
+
+def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> int:
+    """Replace one (possibly multi-level) partition with ``df``'s rows;
+    returns the number of rows written.
+
+    ``df`` may or may not carry the partition columns; the table's other
+    columns are selected by name, in table order, and the partition columns
+    are set to ``spec``.  The rows are written with dynamic partition
+    overwrite: files are staged and the named partition is swapped at job
+    commit, so a failed job leaves the previous day intact.  The rows are
+    counted in the same pass (``Observation``); when there are none, the
+    partition is cleared with a static overwrite (Q2).
+    """
+    spark = df.sparkSession
+    cols = spark.table(_ident(table)).columns
+    for k, v in spec.items():
+        if k not in cols:
+            raise ValueError(f"{k!r} is not a column of {table}")
+        _value(v)
+    data_cols = [c for c in cols if c not in spec]
+    rows = df.select(*[F.lit(spec[c]).alias(c) if c in spec else F.col(c) for c in cols])
+    obs = Observation("rows_written")
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
+    previous = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, previous)
+    written = int(obs.get["n"])
+    if written == 0:
+        _static_overwrite(df.limit(0), table, spec, data_cols)
     spark.catalog.refreshTable(table)
+    return written
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:

@@ -207,3 +207,19 @@ def test_table_location_and_refresh_partitions(spark, tmp_dir):
     got = read_table(spark, t)
     assert got.where("trans_dt = '2026-05-14'").count() == 10
     assert got.schema["trans_dt"].dataType.typeName() == "string"
+
+
+def test_failed_overwrite_keeps_previous_partition(spark):
+    db = _db(spark)
+    t = f"{db}.stg"
+    sinks.ensure_table(spark, t, schemas.STG_SHIPMENTS, ["trans_dt"])
+    stg = fx.staging_from(fx.source_df(spark))
+    assert sinks.overwrite_partition(stg, t, {"trans_dt": "2026-05-14"}) == 10
+    broken = stg.withColumn(
+        "shipment_id",
+        F.when(F.col("shipment_id") == "SHIP00009", F.raise_error(F.lit("task failed mid-write"))).otherwise(F.col("shipment_id")),
+    )
+    with pytest.raises(Exception, match="task failed mid-write"):
+        sinks.overwrite_partition(broken, t, {"trans_dt": "2026-05-14"})
+    assert spark.table(t).where("trans_dt = '2026-05-14'").count() == 10  # previous day intact
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"

@@ -18,7 +18,6 @@ from cargomart.functions.predicates import slice_eq
 from cargomart.operators.gates import (
     GateError,
     audited,
-    counts,
     rate_gate,
     require_rows,
     require_unique,
@@ -31,6 +30,7 @@ from cargomart.operators.sinks import (
     overwrite_partition,
     overwrite_table,
     publish_file,
+    restore_table,
     snapshot_table,
     table_exists,
     write_framed_csv,
@@ -98,9 +98,9 @@ def ingest_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None) -
     require_unique(src, ["shipment_id", "trans_dt"], present=["shipment_id"], label=f"{t.src_shipments} {day}")
     events = spark.table(t.src_shipment_events)
     stg = stage_shipments(src, events, day, p.min_declared_value, p.run_stamp)
-    overwrite_partition(stg, t.stg_shipments, {"trans_dt": day})
-    written = spark.table(t.stg_shipments).where(slice_eq("trans_dt", day))
-    stg_cnt = require_rows(written, f"{t.stg_shipments} trans_dt={day}")
+    stg_cnt = overwrite_partition(stg, t.stg_shipments, {"trans_dt": day})  # counted while writing
+    if stg_cnt == 0:
+        raise GateError(f"{t.stg_shipments} trans_dt={day}: no rows")
     return {"trans_dt": day, "src_cnt": src_cnt, "stg_cnt": stg_cnt}
 
 
@@ -123,12 +123,20 @@ def refresh_dims(spark: SparkSession, p: RunParams, load_dt: str | None = None)
     require_unique(routes, ["route_id"], label="active route master")
 
     report = {"load_dt": as_of, "carrier_cnt": c["carrier_cnt"], "route_cnt": c["route_cnt"]}
+    snapshots = []
     for dim in ("dim_carrier", "dim_route"):
         if table_exists(spark, getattr(t, dim)):
             snapshot_table(spark, getattr(t, dim), getattr(t, dim + "_bkp"))
             report[dim + "_bkp"] = snapshot_report(spark, getattr(t, dim), getattr(t, dim + "_bkp")).value
-    overwrite_table(build_dim(carriers, schemas.DIM_CARRIER, as_of, p.run_stamp), t.dim_carrier)
-    overwrite_table(build_dim(routes, schemas.DIM_ROUTE, as_of, p.run_stamp), t.dim_route)
+            snapshots.append(dim)
+    try:
+        overwrite_table(build_dim(carriers, schemas.DIM_CARRIER, as_of, p.run_stamp), t.dim_carrier)
+        overwrite_table(build_dim(routes, schemas.DIM_ROUTE, as_of, p.run_stamp), t.dim_route)
+    except Exception:
+        # A failed refresh rolls both dimensions back to this run's snapshots.
+        for dim in snapshots:
+            restore_table(spark, getattr(t, dim + "_bkp"), getattr(t, dim))
+        raise
     report["dim_carrier"] = require_rows(spark.table(t.dim_carrier), t.dim_carrier)
     report["dim_route"] = require_rows(spark.table(t.dim_route), t.dim_route)
     return report
@@ -144,20 +152,15 @@ def summarize_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None
     stg_cnt = require_rows(stg, f"{t.stg_shipments} trans_dt={day}")
     dim_c, dim_r = spark.table(t.dim_carrier), spark.table(t.dim_route)
 
-    overwrite_partition(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, {"trans_dt": day})
+    # Row counts are taken by Observations while the partitions are written.
+    err_cnt = overwrite_partition(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, {"trans_dt": day})
     summ = summary_rows(stg, dim_c, dim_r, p.run_stamp)
-    overwrite_partition(summ, t.shipment_summary, {"report_month": month, "report_date": day})
-
-    written = spark.table(t.shipment_summary).where(
-        slice_eq("report_month", month) & slice_eq("report_date", day)
-    )
-    errs = spark.table(t.shipment_dq_errors).where(slice_eq("trans_dt", day))
-    c = counts({"summary": written, "errors": errs})
-    if c["summary"] == 0:
+    summary_cnt = overwrite_partition(summ, t.shipment_summary, {"report_month": month, "report_date": day})
+    if summary_cnt == 0:
         raise GateError(f"{t.shipment_summary} report_date={day}: no rows")
-    gate = rate_gate(c["errors"], stg_cnt, p.err_rate_threshold)
-    return {"trans_dt": day, "stg_cnt": stg_cnt, "summary_cnt": c["summary"],
-            "error_cnt": c["errors"], "error_rate": gate}
+    gate = rate_gate(err_cnt, stg_cnt, p.err_rate_threshold)
+    return {"trans_dt": day, "stg_cnt": stg_cnt, "summary_cnt": summary_cnt,
+            "error_cnt": err_cnt, "error_rate": gate}
 
 
 def export_month(

@@ -139,3 +139,24 @@ def test_backfill_missing_days(spark, mart):
     assert [d["ingest"]["trans_dt"] for d in done] == ["2026-05-12", fx.DAY]
     assert jobs.days_to_backfill(spark, p) == []
     assert spark.table(t.shipment_summary).select("report_date").distinct().count() == 2
+
+
+def test_failed_dim_refresh_rolls_back(spark, mart, monkeypatch):
+    p, t, _ = mart
+    jobs.refresh_dims(spark, p)
+    before = sorted(r[0] for r in spark.table(t.dim_route).select("route_id").collect())
+    real = jobs.overwrite_table
+    calls = []
+
+    def failing(df, table):
+        calls.append(table)
+        if table == t.dim_route:
+            raise RuntimeError("executor lost for good")
+        return real(df, table)
+
+    monkeypatch.setattr(jobs, "overwrite_table", failing)
+    with pytest.raises(RuntimeError):
+        jobs.refresh_dims(spark, p)
+    assert calls == [t.dim_carrier, t.dim_route]
+    assert sorted(r[0] for r in spark.table(t.dim_route).select("route_id").collect()) == before
+    assert spark.table(t.dim_carrier).count() == 2

@@ -8,8 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cargomart.functions.predicates import month_slice
 from cargomart.schemas import EXPORT_COLUMNS
-from cargomart.plans.transforms import month_rows
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -33,7 +33,8 @@ def refresh_partitions(spark: SparkSession, name: str) -> None:
 def fetch_summary(spark: SparkSession, table: str, month: str, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:
     """One month of the summary table as a lazy DataFrame (nothing is
     collected); the month predicate prunes partitions (B9, Q3)."""
-    return month_rows(spark.table(table), month, columns)
+    rows = spark.table(table).where(month_slice("report_date", month, partition_col="report_month"))
+    return rows.select(*columns)
 
 
 def rows_to_df(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:

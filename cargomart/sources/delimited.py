@@ -64,3 +64,32 @@ def write_delimited(
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
+
+
+def ensure_landing_table(
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    location: str,
+    partition_by: Sequence[str] = (),
+    sep: str = "\t",
+    header: bool = True,
+) -> None:
+    """A1/A2 + A5: declare an external landing table over delimited files in
+    ``location`` (created if missing, never dropped), read with the same
+    options as ``read_delimited``.  New day folders written by the upstream
+    system become visible after ``sources.catalog.refresh_partitions``.
+    """
+    if spark.catalog.tableExists(name):
+        return
+    names = [f.name for f in schema.fields]
+    if list(partition_by) != names[len(names) - len(partition_by):]:
+        raise ValueError("partition columns must be the last columns of the schema")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    opts = dict(READ_OPTIONS, sep=sep, header="true" if header else "false")
+    options = ", ".join(f"'{k}' '{v}'" for k, v in opts.items())
+    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING csv OPTIONS ({options})"
+    if partition_by:
+        ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
+    ddl += " LOCATION '" + location.replace("'", "") + "'"
+    spark.sql(ddl)

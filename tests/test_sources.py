@@ -43,3 +43,30 @@ def test_unpartitioned_master_round_trip(spark, tmp_dir):
     # '' and NULL are the same thing in the landing format
     norm = src.na.replace("", None)
     assert back.exceptAll(norm).count() == 0 and norm.exceptAll(back).count() == 0
+
+
+def test_landing_table_feeds_ingest(spark, tmp_dir):
+    import uuid
+
+    from cargomart.params import RunParams
+    from cargomart.plans import jobs
+    from cargomart.sources.catalog import refresh_partitions
+    from cargomart.sources.delimited import ensure_landing_table
+
+    tag = uuid.uuid4().hex[:8]
+    p = RunParams(run_dt="2026-05-15", landing_db=f"tl_{tag}", uc_db=f"tu_{tag}", dim_db=f"td_{tag}", run_stamp=fx.STAMP)
+    spark.sql(f"CREATE DATABASE {p.landing_db}")
+    t = jobs.create_targets(spark, p)
+    loc = os.path.join(tmp_dir, "landing", "src_shipments")
+    ensure_landing_table(spark, t.src_shipments, schemas.SRC_SHIPMENTS, loc, ["trans_dt"])
+    ensure_landing_table(spark, t.src_shipment_events, schemas.SRC_SHIPMENT_EVENTS,
+                         os.path.join(tmp_dir, "landing", "events"), ["event_dt"])
+    # the upstream system drops one day of tab-delimited text with a header line
+    day = fx.source_df(spark, fx.SOURCE_ROWS[:9]).drop("trans_dt")
+    write_delimited(day.coalesce(1), os.path.join(loc, "trans_dt=2026-05-14"))
+    refresh_partitions(spark, t.src_shipments)
+    src = spark.table(t.src_shipments)
+    assert src.where("trans_dt = '2026-05-14'").count() == 9
+    assert src.where("shipment_id = 'SHIP00008'").first()["tracking_number"] is None
+    r = jobs.ingest_day(spark, p)
+    assert (r["src_cnt"], r["stg_cnt"]) == (9, 4)

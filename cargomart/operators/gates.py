@@ -96,49 +96,59 @@ def snapshot_report(spark: SparkSession, src: str, dst: str) -> GateResult:
 def validate_framed_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> GateResult:
     """K5: the written export is well framed.
 
-    Checks, in one aggregate over the written lines: exactly one header line
-    equal to the column list, exactly one ``TRAILER,<n>`` line, more than two
-    lines, ``n`` = lines - 2 (Q6), header in the first part file and trailer in
-    the last one.
+    One aggregate per part file (line count, header and trailer counts, the
+    trailer's number, and the file's first and last line by split offset and
+    row position) brings one small row per file to the driver.  Checks: more
+    than two lines, exactly one header equal to the column list and it is the
+    first line of the first part, exactly one ``TRAILER,<n>`` line and it is
+    the last line of the last part, and ``n`` = lines - 2 (Q6).
     """
     header = ",".join(columns)
     files = part_files(spark, path)
     if not files:
         raise GateError(f"{path}: no file written")
-    lines = spark.read.text(files).select("value", F.input_file_name().alias("f"))
+    lines = spark.read.text(files).select(
+        "value",
+        F.input_file_name().alias("f"),
+        F.struct(F.input_file_block_start(), F.monotonically_increasing_id()).alias("pos"),
+    )
     is_trailer = F.col("value").startswith(TRAILER_PREFIX)
-    r = lines.agg(
+    per_file = lines.groupBy("f").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.when(F.col("value") == header, 1).otherwise(0)).alias("headers"),
         F.sum(F.when(is_trailer, 1).otherwise(0)).alias("trailers"),
         F.max(F.when(is_trailer, F.substring("value", len(TRAILER_PREFIX) + 1, 40))).alias("n"),
-        F.max(F.when(F.col("value") == header, F.col("f"))).alias("header_file"),
-        F.max(F.when(is_trailer, F.col("f"))).alias("trailer_file"),
-    ).first()
+        F.min_by("value", "pos").alias("first_line"),
+        F.max_by("value", "pos").alias("last_line"),
+    ).collect()
+    by_name = {_path_key(r["f"]): r for r in per_file}
+    ordered = [by_name[_path_key(f)] for f in files if _path_key(f) in by_name]
+    total = sum(r["lines"] for r in ordered)
+    headers = sum(r["headers"] for r in ordered)
+    trailers = [r["n"] for r in ordered if r["trailers"]]
     problems = []
-    total = int(r["lines"])
     if total <= 2:
         problems.append(f"only {total} line(s)")
-    if r["headers"] != 1:
-        problems.append(f"{r['headers']} header line(s)")
-    if r["trailers"] != 1:
-        problems.append(f"{r['trailers']} trailer line(s)")
-    elif not str(r["n"]).isdigit() or int(r["n"]) != total - 2:
-        problems.append(f"trailer says {r['n']} but file has {total - 2} data line(s)")
-    if r["headers"] == 1 and not _same_file(r["header_file"], files[0]):
-        problems.append("header is not in the first part")
-    if r["trailers"] == 1 and not _same_file(r["trailer_file"], files[-1]):
-        problems.append("trailer is not in the last part")
+    if headers != 1:
+        problems.append(f"{headers} header line(s)")
+    elif not ordered or ordered[0]["first_line"] != header:
+        problems.append("header is not the first line of the first part")
+    n_trailers = sum(r["trailers"] for r in ordered)
+    if n_trailers != 1:
+        problems.append(f"{n_trailers} trailer line(s)")
+    else:
+        if not ordered[-1]["last_line"].startswith(TRAILER_PREFIX):
+            problems.append("trailer is not the last line of the last part")
+        if not str(trailers[0]).isdigit() or int(trailers[0]) != total - 2:
+            problems.append(f"trailer says {trailers[0]} but file has {total - 2} data line(s)")
     if problems:
         raise GateError(f"{path}: " + "; ".join(problems))
     return GateResult("framed_csv", True, total - 2, f"{path}: {total - 2} rows", {"files": len(files)})
 
 
-def _same_file(a: str | None, b: str) -> bool:
-    if a is None:
-        return False
-    strip = lambda s: s.split(":", 1)[-1].lstrip("/")  # noqa: E731 - scheme-insensitive
-    return strip(a) == strip(b)
+def _path_key(p: str) -> str:
+    """Scheme- and slash-insensitive file key (``file:/x`` == ``file:///x``)."""
+    return p.split(":", 1)[-1].lstrip("/") if ":" in p else p.lstrip("/")
 
 
 def run_report(entries: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:

@@ -70,5 +70,15 @@ def test_validate_detects_misplaced_trailer(spark, tmp_dir):
         fh.write(f"{hdr}\nTRAILER,1\n")
     with open(os.path.join(d, "part-00001.txt"), "w") as fh:
         fh.write("a\n")
-    with pytest.raises(GateError, match="trailer is not in the last part"):
+    with pytest.raises(GateError, match="trailer is not the last line of the last part"):
+        validate_framed_csv(spark, d, schemas.EXPORT_COLUMNS)
+
+
+def test_validate_detects_header_not_first(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "late_header")
+    os.makedirs(d)
+    hdr = ",".join(schemas.EXPORT_COLUMNS)
+    with open(os.path.join(d, "part-00000.txt"), "w") as fh:
+        fh.write(f"a\n{hdr}\nb\nTRAILER,2\n")
+    with pytest.raises(GateError, match="header is not the first line"):
         validate_framed_csv(spark, d, schemas.EXPORT_COLUMNS)

@@ -64,6 +64,9 @@ def ensure_table(
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
     if partition_by:
+        # Any INSERT OVERWRITE into this table replaces only the partitions it
+        # writes, whatever the writer's session setting.
+        ddl += " OPTIONS ('partitionOverwriteMode' 'dynamic')"
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if location:
         ddl += " LOCATION '" + location.replace("'", "") + "'"
@@ -104,7 +107,9 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> i
     overwrite: files are staged and the named partition is swapped at job
     commit, so a failed job leaves the previous day intact.  The rows are
     counted in the same pass (``Observation``); when there are none, the
-    partition is cleared with a static overwrite (Q2).
+    partition is cleared with a static overwrite (Q2).  Tables made by
+    ``ensure_table`` carry the dynamic mode as a table option; for other
+    tables the session setting is switched for the duration of the write.
     """
     spark = df.sparkSession
     cols = spark.table(_ident(table)).columns

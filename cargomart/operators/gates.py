@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargomart.functions.measures import truncate_text
+from cargomart.functions.predicates import all_of, is_present
 from cargomart.operators.aggregates import duplicate_keys
 from cargomart.operators.sinks import TRAILER_PREFIX, append_rows, part_files
 from cargomart.schemas import EXPORT_LOG
@@ -60,6 +61,28 @@ def require_unique(
     raise GateError(f"{label or 'duplicate keys'}: {n} duplicated key(s) on {list(keys)}, e.g. {shown}")
 
 
+def require_rows_unique(
+    df: DataFrame, keys: Sequence[str], present: Sequence[str] = (), label: str = "", sample: int = 5
+) -> int:
+    """K1 + K2 in one pass: the rows are grouped by ``keys`` once (combined
+    map-side) and one aggregate yields both the row count and the number of
+    duplicated keys (keys with a blank ``present`` column are ignored, Q19).
+    Sample keys are fetched only when the gate fails.  Returns the row count.
+    """
+    ok_key = all_of(is_present(c) for c in present)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    r = per_key.agg(
+        F.sum("cnt").alias("rows"),
+        F.count(F.when((F.col("cnt") > 1) & ok_key, F.lit(1))).alias("dups"),
+    ).first()
+    rows, dups = int(r["rows"] or 0), int(r["dups"])
+    if rows == 0:
+        raise GateError(f"{label}: no rows")
+    if dups:
+        require_unique(df, keys, present, label, sample)
+    return rows
+
+
 def error_rate(err_cnt: int, base_cnt: int) -> int:
     """H7: truncating integer percent; 0 when there is no base row."""
     return 0 if base_cnt == 0 else (err_cnt * 100) // base_cnt

@@ -20,6 +20,7 @@ from cargomart.operators.gates import (
     audited,
     rate_gate,
     require_rows,
+    require_rows_unique,
     require_unique,
     snapshot_report,
     validate_framed_csv,
@@ -94,8 +95,8 @@ def ingest_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None) -
     t = MartTables.of(p)
     day = check_day(trans_dt or p.trans_dt)
     src = spark.table(t.src_shipments).where(slice_eq("trans_dt", day))
-    src_cnt = require_rows(src, f"{t.src_shipments} trans_dt={day}")
-    require_unique(src, ["shipment_id", "trans_dt"], present=["shipment_id"], label=f"{t.src_shipments} {day}")
+    src_cnt = require_rows_unique(src, ["shipment_id", "trans_dt"], present=["shipment_id"],
+                                  label=f"{t.src_shipments} trans_dt={day}")
     events = spark.table(t.src_shipment_events)
     stg = stage_shipments(src, events, day, p.min_declared_value, p.run_stamp)
     stg_cnt = overwrite_partition(stg, t.stg_shipments, {"trans_dt": day})  # counted while writing

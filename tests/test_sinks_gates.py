@@ -152,6 +152,15 @@ def test_require_rows_and_unique(spark):
     with pytest.raises(GateError, match="SHIP00001"):
         require_unique(src, ["shipment_id", "trans_dt"], ["shipment_id"])
     assert require_unique(src.dropDuplicates(), ["shipment_id"]) == 0
+    from cargomart.operators.gates import require_rows_unique
+
+    with pytest.raises(GateError, match="SHIP00001"):
+        require_rows_unique(src, ["shipment_id", "trans_dt"], ["shipment_id"], "src")
+    assert require_rows_unique(src.dropDuplicates(), ["shipment_id", "trans_dt"], ["shipment_id"], "src") == 9
+    with pytest.raises(GateError, match="no rows"):
+        require_rows_unique(src.where("false"), ["shipment_id"], label="empty")
+    blanks = fx.source_df(spark, [("",) + fx.SOURCE_ROWS[0][1:]] * 3)
+    assert require_rows_unique(blanks, ["shipment_id"], ["shipment_id"], "blank ids") == 3
 
 
 @pytest.mark.parametrize("e,b,rate,warn", [(2, 100, 2, False), (8, 100, 8, True), (5, 100, 5, False),

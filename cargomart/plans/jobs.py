@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -181,7 +182,9 @@ def export_month(
     """
     t = MartTables.of(p)
     m = check_month(month or p.export_month)
-    with audited(spark, t.export_log, p.job_name, p.run_dt, m, dest) as audit:
+    # The audit's run_dt is the time the export ran, as text.
+    ran_at = p.run_stamp or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    with audited(spark, t.export_log, p.job_name, ran_at, m, dest) as audit:
         rows = month_rows(spark.table(t.shipment_summary), m)
         if rows.isEmpty():  # K1 / K7
             raise GateError(f"No rows found in {t.shipment_summary} for export_year_month={m}")

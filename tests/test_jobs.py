@@ -110,6 +110,8 @@ def test_all_jobs(spark, mart):
         jobs.export_month(spark, pe, os.path.join(tmp, "outbound", "none.csv"), month="1999-12")
     log = sorted((r["export_month"], r["status"], r["record_cnt"]) for r in spark.table(t.export_log).collect())
     assert log == [("1999-12", "FAILED", 0), ("2026-05", "SUCCESS", 4), ("2026-05", "SUCCESS", 4)]
+    import re
+    assert all(re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", r["run_dt"]) for r in spark.table(t.export_log).collect())
 
 
 def test_dim_refresh_gate_per_source(spark, mart):

@@ -112,12 +112,16 @@ def missing_days(source: DataFrame, target: DataFrame, col: str = "trans_dt") ->
     """Q12: days between the first and last ``source`` day that have no row in
     ``target`` (e.g. a weekday the daily schedule never loads).
 
-    The expected set is the calendar between the source bounds (one small
-    aggregate); the anti join against the target's days finds the gaps.
+    The calendar between the source bounds (one small aggregate) and the
+    target's day column are unioned and grouped once by day: the target side
+    is combined map-side to one row per day and partition, and a day is
+    missing when only the calendar contributed to its group.  No join.
     """
     bounds = source.agg(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))
-    present = target.select(col).distinct()  # combined map-side: one row per day and partition
-    return calendar_days(bounds, name=col).join(present, col, "left_anti")
+    cal = calendar_days(bounds, name=col).select(col, F.lit(True).alias("__cal"), F.lit(False).alias("__tgt"))
+    tgt = target.select(col, F.lit(False).alias("__cal"), F.lit(True).alias("__tgt"))
+    per_day = cal.unionByName(tgt).groupBy(col).agg(F.max("__cal").alias("__cal"), F.max("__tgt").alias("__tgt"))
+    return per_day.where(F.col("__cal") & ~F.col("__tgt")).select(col)
 
 
 def unloaded_days(source: DataFrame, target: DataFrame, col: str = "trans_dt") -> DataFrame:

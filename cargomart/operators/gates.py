@@ -217,6 +217,9 @@ def audited(
         yield handle
     except BaseException as exc:
         text = f"{type(exc).__name__}: {exc}\n{traceback.format_exc()}"
-        write("FAILED", 0, text)
+        try:
+            write("FAILED", 0, text)
+        except Exception as audit_exc:  # keep the job's own error as the one raised
+            exc.add_note(f"audit row could not be written: {audit_exc!r}")
         raise
     write("SUCCESS", handle.record_cnt, "")

@@ -232,3 +232,10 @@ def test_failed_overwrite_keeps_previous_partition(spark):
         sinks.overwrite_partition(broken, t, {"trans_dt": "2026-05-14"})
     assert spark.table(t).where("trans_dt = '2026-05-14'").count() == 10  # previous day intact
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_audit_failure_does_not_mask_job_error(spark):
+    with pytest.raises(ValueError, match="the job's own error") as info:
+        with audited(spark, "no_such_db.export_log", "job", "2026-05-01 07:00:00", "2026-04", "/x.csv"):
+            raise ValueError("the job's own error")
+    assert any("audit row could not be written" in n for n in getattr(info.value, "__notes__", []))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitplane, packing
+from . import bitplane, mixing, packing, pii
 from .common import scratch
 
 
@@ -20,10 +20,21 @@ def op1_bit_plane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.read_documents(spark, path)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, capacity=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_bit_plane_tokens, op5_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_bit_plane_tokens, op3_personal_data, op5_best_fit_packing, op8_mix_sources)
+}
+ORACLE = {"op8_mix_sources": mixing.ORACLE}

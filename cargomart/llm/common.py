@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -15,9 +18,23 @@ ARROW_ROWS = 512
 SLICE_CHARS = 2_000_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Sends the package to the executors once an application, so that their
+    Python workers can import it wherever the driver runs."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "cargomart-code"), "zip", root, "cargomart"))
+        _SHIPPED.add(sc.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches: texts are long, and executors keep their Python
-    workers' memory for the batch in hand."""
+    """Ships the code and sets small Arrow batches: texts are long, and a
+    worker's memory holds the batch in hand."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitplane, mixing, packing, pii
-from .common import scratch
+from pyspark.sql import functions as F
+
+from . import bitplane, mixing, packing, pii, simhash, toxicity
+from .common import scratch, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,20 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the likenesses, ``n_within``: for each document whose id is
+    divisible by 100, how many distinct other fingerprints of the whole table
+    are at most 3 bits away (null for the others)."""
+    found = written(simhash.along(_table(spark, sf_dir, "documents")), "fingerprints")
+    pairs = simhash.within(found, found.where("doc_id % 100 = 0"))
+    near = pairs.groupBy(F.col("query").alias("fingerprint")).agg((F.count(F.lit(1)) - 1).alias("n_within"))
+    return found.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", simhash.shown(F.col("fingerprint")).alias("fingerprint"),
+        simhash.shown(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, capacity=1024)
@@ -33,8 +49,17 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("offending").alias("n_offending"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bit_plane_tokens, op3_personal_data, op5_best_fit_packing, op8_mix_sources)
+    for f in (op1_bit_plane_tokens, op3_personal_data, op4_simhash, op5_best_fit_packing, op8_mix_sources, op10_toxicity)
 }
 ORACLE = {"op8_mix_sources": mixing.ORACLE}

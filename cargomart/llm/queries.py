@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitplane, mixing, packing, pii, simhash, toxicity
+from . import bitplane, licenses, mixing, packing, pii, simhash, toxicity
 from .common import scratch, written
 
 
@@ -45,6 +45,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer, end_id=2, capacity=1024)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bit_plane_tokens, op3_personal_data, op4_simhash, op5_best_fit_packing, op8_mix_sources, op10_toxicity)
+    for f in (op1_bit_plane_tokens, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op8_mix_sources, op10_toxicity)
 }
 ORACLE = {"op8_mix_sources": mixing.ORACLE}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitplane, licenses, mixing, packing, pii, simhash, toxicity
+from . import bitplane, licenses, minhash, mixing, packing, pii, simhash, toxicity
 from .common import scratch, written
 
 
@@ -22,6 +22,10 @@ def op1_bit_plane_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.read_documents(spark, path)
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -64,6 +68,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bit_plane_tokens, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op8_mix_sources, op10_toxicity)
+    for f in (op1_bit_plane_tokens, op2_minhash_near_dedup, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op8_mix_sources, op10_toxicity)
 }
 ORACLE = {"op8_mix_sources": mixing.ORACLE}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitplane, licenses, minhash, mixing, packing, pii, simhash, toxicity
+from . import bitplane, html_extract, licenses, minhash, mixing, packing, pii, search, simhash, toxicity
 from .common import scratch, written
 
 
@@ -53,10 +53,21 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of all vectors to every vector whose id is divisible by 100."""
+    coded = written(search.codes(_table(spark, sf_dir, "embeddings")), "codes")
+    return search.top_k(coded, coded.where("vec_id % 100 = 0"), k=10)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -68,6 +79,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_bit_plane_tokens, op2_minhash_near_dedup, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op8_mix_sources, op10_toxicity)
+    for f in (op1_bit_plane_tokens, op2_minhash_near_dedup, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op7_top_k_search, op8_mix_sources, op9_html_extraction, op10_toxicity)
 }
-ORACLE = {"op8_mix_sources": mixing.ORACLE}
+ORACLE = {"op7_top_k_search": search.ORACLE, "op8_mix_sources": mixing.ORACLE}

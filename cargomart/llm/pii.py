@@ -105,6 +105,12 @@ def _needed(rule: Rule, text: Column) -> Column:
     return F.contains(text, F.lit(rule.needs)) if rule.needs else text.rlike("[0-9]")
 
 
+def _score(rule: Rule, part: Column) -> Column:
+    """Score of a span that follows ``part``."""
+    before = F.right(part, F.lit(CONTEXT_CHARS))
+    return F.lit(rule.score) + F.when(before.rlike(rule.context), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
+
+
 def _proposed(rule: Rule, nth: int, text: Column) -> Column:
     """Spans of a rule's valid matches, in order: start and end (code points,
     end exclusive), order and name of the kind, score."""
@@ -114,8 +120,7 @@ def _proposed(rule: Rule, nth: int, text: Column) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["part"])
         end = start + F.length(x["match"])
-        before = F.right(x["part"], F.lit(CONTEXT_CHARS))
-        score = F.lit(rule.score) + F.when(before.rlike(rule.context), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
+        score = _score(rule, x["part"])
         span = F.struct(
             start.alias("start"), F.lit(nth).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"),
             F.least(score, F.lit(1.0)).alias("score"), F.lit(rule.base).alias("base"),
@@ -160,22 +165,22 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _replaced(rule: Rule, text: Column) -> Column:
+    def put(part: Column, match: Column) -> Column:
+        keep = _valid(rule, match) & (F.lit(rule.base) | (_score(rule, part) >= MIN_SCORE))
+        return F.concat(part, F.when(match.isNull(), "").when(keep, f"<{rule.kind.upper()}>").otherwise(match))
+
+    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    return F.array_join(F.zip_with(F.split(text, rule.pattern, -1), found, put), "")
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """Texts with each confirmed span replaced by its kind in angle brackets,
     rule by rule, and ``n_chars`` of the new text where that column exists.
     Null texts stay null."""
     names, text = docs.columns, F.col("text")
     for rule in sorted(RULES, key=lambda r: r.base):
-        parts = F.split(text, rule.pattern, -1)
-        found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-
-        def put(part: Column, match: Column, rule: Rule = rule) -> Column:
-            score = rule.score + F.when(F.right(part, F.lit(CONTEXT_CHARS)).rlike(rule.context), CONTEXT_SCORE).otherwise(0.0)
-            keep = _valid(rule, match) & (F.lit(rule.base) | (score >= MIN_SCORE))
-            return F.concat(part, F.when(match.isNull(), "").when(keep, f"<{rule.kind.upper()}>").otherwise(match))
-
-        new = F.array_join(F.zip_with(parts, found, put), "")
-        docs = docs.withColumn("text", F.when(text.isNotNull() & _needed(rule, text), new).otherwise(text))
+        docs = docs.withColumn("text", F.when(text.isNotNull() & _needed(rule, text), _replaced(rule, text)).otherwise(text))
     if "n_chars" in names:
         docs = docs.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"]))
     return docs.select(*[f"`{c}`" for c in names])

@@ -36,7 +36,8 @@ PHONE_WITHIN = r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 
-#: Characters before a span in which context words count, and what they add.
+#: Characters before a span, and after the match before it, in which context
+#: words count, and what they add.
 CONTEXT_CHARS = 48
 CONTEXT_SCORE = 0.25
 #: Added spans below this score are dropped; base spans stay.

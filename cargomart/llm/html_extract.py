@@ -221,6 +221,14 @@ class _Layout:
     def put(self, text: str, label: int) -> str:
         return f"\ue000{label}{escape(text)}\ue001"
 
+    def linked(self, text: str, label: int) -> str:
+        """Prose with a link in it."""
+        w = text.split()
+        a = self.rng.randint(0, len(w) - 1)
+        b = min(len(w), a + self.rng.randint(1, 4))
+        first, link, last = (escape(" ".join(x)) for x in (w[:a], w[a:b], w[b:]))
+        return f'\ue000{label}{first} <a href="/x">{link}</a> {last}\ue001'
+
     def links(self, n: int, listed: bool) -> str:
         a = [f'<a href="/x">{self.put(self.few(1, self.rng.choice((1, 2, 8))), 0)}</a>' for _ in range(n)]
         return f"<ul>{''.join(f'<li>{x}</li>' for x in a)}</ul>" if listed else "".join(f"<p>{x}</p>" for x in a)
@@ -256,7 +264,7 @@ class _Layout:
             return self.wrap("section", "comment", f"<h2>{self.put(self.few(1, 3), 0)}</h2>{each}") if r.random() < 0.5 else self.wrap("div", "comment", each)
         if kind == "share":
             return self.wrap("div", "share", self.put(self.few(1, 6), 0))
-        inner = self.put(self.prose(3, 35), 0)
+        inner = (self.linked if r.random() < 0.25 else self.put)(self.prose(3, 35), 0)
         return self.wrap("div", kind, inner if r.random() < 0.5 else f"<p>{inner}</p>")
 
     def content(self) -> str:
@@ -266,7 +274,8 @@ class _Layout:
         for _ in range(r.randint(1, 16)):
             way = r.random()
             if way < 0.7:
-                p = self.put(self.prose(*r.choice(((1, 6), (5, 90), (5, 90), (30, 150)))), 1)
+                p = self.prose(*r.choice(((1, 6), (5, 90), (5, 90), (30, 150))))
+                p = self.linked(p, 1) if r.random() < 0.2 and len(p.split()) > 5 else self.put(p, 1)
                 out.append(r.choice(("<p>{}</p>", "<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<div>{}</div>", "{}<br>")).format(p))
             elif way < 0.8:
                 out.append(f"<{(h := r.choice(('h2', 'h3', 'h4')))}>{self.put(self.few(1, 8), 1)}</{h}>")

@@ -47,30 +47,12 @@ class SizeProbe:
     bounded: bool  # rows <= the row limit
 
 
-# Probe results per (plan, input files): file-based data never changes in
-# place, so an identical plan over the same files has the same size.  Plans
-# without input files (in-memory rows) are always probed afresh.
-_PROBES: dict[tuple, SizeProbe] = {}
-
-
-def _probe_key(df: DataFrame, max_rows: int) -> tuple | None:
-    files = df.inputFiles()
-    if not files:
-        return None
-    return (df.semanticHash(), tuple(sorted(files)), max_rows)
-
-
 def probe_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> SizeProbe:
-    """Count rows and bytes of ``df`` with one map-side-combined aggregate."""
-    key = _probe_key(df, max_rows)
-    if key is not None and key in _PROBES:
-        return _PROBES[key]
+    """Count rows and bytes of ``df`` as it is now, with one map-side-combined
+    aggregate.  Nothing is remembered: files may be replaced under their name."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b")).first()
     n, b = int(r["n"]), int(r["b"] or 0)
-    probe = SizeProbe(n, b, n <= max_rows)
-    if key is not None:
-        _PROBES[key] = probe
-    return probe
+    return SizeProbe(n, b, n <= max_rows)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
@@ -100,7 +82,7 @@ def enrich_latest(
     order_by: Sequence[str],
     take: Mapping[str, str],
     tie_breakers: Sequence[str] = (),
-    broadcast: bool | None = False,
+    probe: bool = False,
 ) -> DataFrame:
     """Keep every left row; attach columns of the latest matching right row.
 
@@ -109,8 +91,8 @@ def enrich_latest(
     ``take`` maps right column -> output name.  Unmatched left rows get NULLs.
 
     The reduced right side grows with the facts (one row per shipment), so by
-    default it is shuffle-joined; ``broadcast=None`` probes it first and
-    ``True`` forces a broadcast.
+    default it is shuffle-joined; ``probe=True`` broadcasts it if a probe
+    proves it small.
     """
     rkeys = [rk for _, rk in on]
     latest = latest_per_key(right, rkeys, order_by, tie_breakers, take=list(take))
@@ -118,10 +100,8 @@ def enrich_latest(
         *[F.col(rk).alias(f"__rk{i}") for i, rk in enumerate(rkeys)],
         *[F.col(src).alias(dst) for src, dst in take.items()],
     )
-    if broadcast is None:
+    if probe:
         renamed = bounded_broadcast(renamed)
-    elif broadcast:
-        renamed = F.broadcast(renamed)
     cond = _join_cond(left, renamed, [(lk, f"__rk{i}") for i, (lk, _) in enumerate(on)])
     out = left.join(renamed, cond, "left")
     return out.drop(*[f"__rk{i}" for i in range(len(on))])
@@ -177,20 +157,17 @@ def orphan_rows_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_ke
     return joined.where(F.col("__ok").isNull()).drop("__ok")
 
 
-def key_presence(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, flag: str) -> DataFrame:
+def key_presence(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, flag: str,
+    max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
     """Adds boolean ``flag``: does ``fact[fact_key]`` exist in ``dim[dim_key]``.
 
-    Written as a correlated ``EXISTS`` (planned as an existence join), so a
-    fact row is never multiplied, even when the dimension holds duplicate
-    keys, and a NULL key gives FALSE.  The dimension's key column is
-    broadcast when a probe proves it small.
+    A left join to the distinct dimension keys: a fact row is never multiplied,
+    a NULL key gives FALSE, and unlike an existence join Spark can split a hot
+    key's facts when the dimension is too large to broadcast.
     """
     k = f"__pk_{flag}"
-    keys = dim.select(F.col(dim_key).alias(k))
-    if fits_broadcast(keys):
-        keys = F.broadcast(keys)
-    # A name that exists only outside the subquery, so the outer reference
-    # cannot bind to a same-named column of the dimension.
-    fk = f"__fk_{flag}"
-    exists = keys.where(F.col(k) == F.col(fk).outer()).exists()
-    return fact.withColumn(fk, F.col(fact_key)).withColumn(flag, exists).drop(fk)
+    keys = dim.select(F.col(dim_key).alias(k)).where(F.col(k).isNotNull()).distinct()
+    keys = bounded_broadcast(keys, max_rows, max_bytes)
+    return fact.join(keys, fact[fact_key] == keys[k], "left").withColumn(flag, F.col(k).isNotNull()).drop(k)

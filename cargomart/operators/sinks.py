@@ -39,6 +39,11 @@ def _value(v: str) -> str:
     return v
 
 
+def sql_text(v: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(_ident(name))
 
@@ -57,6 +62,9 @@ def ensure_table(
     """
     _ident(name)
     if table_exists(spark, name):
+        have = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+        if have != [(f.name, f.dataType) for f in schema.fields]:
+            raise ValueError(f"{name} exists with other columns: {have}")
         return
     names = [f.name for f in schema.fields]
     if list(partition_by) != names[len(names) - len(partition_by):]:
@@ -69,9 +77,9 @@ def ensure_table(
         ddl += " OPTIONS ('partitionOverwriteMode' 'dynamic')"
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if location:
-        ddl += " LOCATION '" + location.replace("'", "") + "'"
+        ddl += f" LOCATION {sql_text(location)}"
     if comment:
-        ddl += " COMMENT '" + comment.replace("'", "") + "'"
+        ddl += f" COMMENT {sql_text(comment)}"
     spark.sql(ddl)
 
 
@@ -81,7 +89,12 @@ def _temp_view(df: DataFrame) -> str:
     return name
 
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+def _require_dynamic(spark: SparkSession, table: str) -> None:
+    """The table's own option, not the session, must limit an overwrite to the
+    partitions that are written."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Storage Properties").collect()
+    if not any("partitionoverwritemode=dynamic" in r["data_type"].lower().replace(" ", "") for r in rows):
+        raise ValueError(f"{table} lacks the option 'partitionOverwriteMode' 'dynamic'; create it with ensure_table")
 
 
 def _static_overwrite(df: DataFrame, table: str, spec: Mapping[str, str], data_cols: Sequence[str]) -> None:
@@ -107,9 +120,9 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> i
     overwrite: files are staged and the named partition is swapped at job
     commit, so a failed job leaves the previous day intact.  The rows are
     counted in the same pass (``Observation``); when there are none, the
-    partition is cleared with a static overwrite (Q2).  Tables made by
-    ``ensure_table`` carry the dynamic mode as a table option; for other
-    tables the session setting is switched for the duration of the write.
+    partition is cleared with a static overwrite (Q2).  The table must carry
+    the dynamic mode as an option, as those made by ``ensure_table`` do; no
+    session setting is touched, so jobs in other threads aren't either.
     """
     spark = df.sparkSession
     cols = spark.table(_ident(table)).columns
@@ -121,12 +134,8 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> i
     rows = df.select(*[F.lit(spec[c]).alias(c) if c in spec else F.col(c) for c in cols])
     obs = Observation("rows_written")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
-    previous = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        rows.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, previous)
+    _require_dynamic(spark, table)
+    rows.write.insertInto(table, overwrite=True)
     written = int(obs.get["n"])
     if written == 0:
         _static_overwrite(df.limit(0), table, spec, data_cols)
@@ -204,14 +213,16 @@ def frame_lines(
         *[k.alias(f"__o{i}") for i, k in enumerate(keys)],
         F.concat_ws(",", *[_csv_cell(F.col(c), quote) for c in columns]).alias("line"),
     )
+    # Header and trailer of a group come from one count of its rows.
     counts = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__n"))
     nulls = [F.lit(None).cast(df.schema[c].dataType).alias(f"__o{i}") for i, c in enumerate(order_by)]
-    trailer = counts.select(
-        *group_by, F.lit(TRAILER_TAG).alias("line_tag"), *nulls,
-        F.concat(F.lit(TRAILER_PREFIX), F.col("__n").cast("string")).alias("line"),
+    trailer = F.concat(F.lit(TRAILER_PREFIX), F.col("__n").cast("string"))
+    frame = F.array(
+        F.struct(F.lit(HEADER_TAG).alias("line_tag"), F.lit(header).alias("line")),
+        F.struct(F.lit(TRAILER_TAG).alias("line_tag"), trailer.alias("line")),
     )
-    head = counts.select(*group_by, F.lit(HEADER_TAG).alias("line_tag"), *nulls, F.lit(header).alias("line"))
-    out = head.unionByName(rows).unionByName(trailer)
+    ends = counts.select(*group_by, F.inline(frame)).select(*group_by, "line_tag", *nulls, "line")
+    out = rows.unionByName(ends)
     return out.select(*group_by, "line_tag", *[F.col(f"__o{i}").alias(c) for i, c in enumerate(order_by)], "line")
 
 
@@ -254,27 +265,49 @@ def part_files(spark: SparkSession, directory: str) -> list[str]:
     return sorted(names)
 
 
-def publish_file(spark: SparkSession, src_dir: str, dest: str) -> str:
+def publish(spark: SparkSession, src_dir: str, dest: str, single_file: bool) -> str:
     """Move a written export to its outbound name, replacing a stale one.
 
-    One part file is renamed to ``dest`` itself; several ordered parts are
-    published as the directory ``dest`` (their name order is the line order).
-    Renames are metadata operations on the target file system: no data passes
-    through the driver.
+    ``single_file`` says what ``dest`` becomes, whatever the number of rows: the
+    one part file of ``src_dir``, or the folder of ordered parts itself (their
+    name order is the line order).  The new data is moved next to ``dest``
+    first, then the old export is set aside, then the new one takes its name;
+    the old one goes last.  If any rename fails, the export that was published
+    is put back and the staging folder stays.  Renames are metadata operations
+    on the target file system: no data passes through the driver.
     """
     fs, _, jvm = _hadoop_fs(spark, dest)
-    d = jvm.org.apache.hadoop.fs.Path(dest)
-    if fs.exists(d):
-        fs.delete(d, True)
-    parts = part_files(spark, src_dir)
-    parent = d.getParent()
+    path = jvm.org.apache.hadoop.fs.Path
+    target, stage = path(dest), path(src_dir)
+    new = stage
+    if single_file:
+        parts = part_files(spark, src_dir)
+        if len(parts) != 1:
+            raise ValueError(f"{src_dir} holds {len(parts)} part files, not one")
+        new = path(parts[0])
+    parent = target.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
-    if len(parts) == 1:
-        ok = fs.rename(jvm.org.apache.hadoop.fs.Path(parts[0]), d)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(src_dir), True)
-    else:
-        ok = fs.rename(jvm.org.apache.hadoop.fs.Path(src_dir), d)
-    if not ok or not fs.exists(d):
-        raise OSError(f"publish failed: {src_dir} -> {dest}")
+    token = uuid.uuid4().hex
+    ready, aside = path(f"{dest}.new-{token}"), path(f"{dest}.old-{token}")
+
+    def move(a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"publish failed: {a} -> {b}")
+
+    move(new, ready)
+    stale = fs.exists(target)
+    try:
+        if stale:
+            move(target, aside)
+        move(ready, target)
+    except Exception:
+        if stale and not fs.exists(target) and fs.exists(aside):
+            fs.rename(aside, target)
+        fs.rename(ready, new)
+        raise
+    if stale:
+        fs.delete(aside, True)
+    if single_file:
+        fs.delete(stage, True)
     return dest

@@ -11,8 +11,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cargomart import schemas
 from cargomart.functions.predicates import slice_eq
@@ -22,7 +24,7 @@ from cargomart.operators.gates import (
     rate_gate,
     require_rows,
     require_rows_unique,
-    require_unique,
+    run_report,
     snapshot_report,
     validate_framed_csv,
 )
@@ -31,14 +33,16 @@ from cargomart.operators.sinks import (
     ensure_table,
     overwrite_partition,
     overwrite_table,
-    publish_file,
+    publish,
     restore_table,
     snapshot_table,
     table_exists,
     write_framed_csv,
 )
+from cargomart.operators.filters import FilterSet
 from cargomart.params import RunParams, check_day, check_month, report_month_of
 from cargomart.plans.definitions import active_filter
+from cargomart.sources.catalog import refresh_partitions
 from cargomart.plans.transforms import build_dim, dq_errors, month_rows, stage_shipments, summary_rows
 
 EXPORT_ORDER = ["report_date", "carrier_id", "route_id", "service_level"]
@@ -91,27 +95,41 @@ def create_targets(spark: SparkSession, p: RunParams, locations: dict[str, str]
     return t
 
 
-def ingest_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None) -> dict:
-    """K1(src) -> K2 -> filters + latest event -> staging partition -> K1(stg)."""
+def _step_counts(entries: list[tuple[str, str, DataFrame]]) -> dict[str, int]:
+    """K8: the job's reconciliation counts, by label."""
+    return {r["label"]: r["row_cnt"] for r in run_report(entries).collect()}
+
+
+def ingest_day(
+    spark: SparkSession, p: RunParams, trans_dt: str | None = None, filters: FilterSet | None = None
+) -> dict:
+    """A4 -> K1(src) -> K2 -> filters + latest event -> staging partition ->
+    K1(stg) -> K8.  ``filters`` replaces the ingest filter set (B12); day
+    folders that arrived since the last run are registered first."""
     t = MartTables.of(p)
     day = check_day(trans_dt or p.trans_dt)
+    for name in (t.src_shipments, t.src_shipment_events):
+        refresh_partitions(spark, name)
     src = spark.table(t.src_shipments).where(slice_eq("trans_dt", day))
     src_cnt = require_rows_unique(src, ["shipment_id", "trans_dt"], present=["shipment_id"],
                                   label=f"{t.src_shipments} trans_dt={day}")
     events = spark.table(t.src_shipment_events)
-    stg = stage_shipments(src, events, day, p.min_declared_value, p.run_stamp)
+    stg = stage_shipments(src, events, day, p.min_declared_value, p.run_stamp, filters)
     stg_cnt = overwrite_partition(stg, t.stg_shipments, {"trans_dt": day})  # counted while writing
     if stg_cnt == 0:
         raise GateError(f"{t.stg_shipments} trans_dt={day}: no rows")
-    return {"trans_dt": day, "src_cnt": src_cnt, "stg_cnt": stg_cnt}
+    report = _step_counts([("ingest", "stg_shipments", spark.table(t.stg_shipments).where(slice_eq("trans_dt", day)))])
+    return {"trans_dt": day, "src_cnt": src_cnt, "stg_cnt": stg_cnt, "report": report}
 
 
-def refresh_dims(spark: SparkSession, p: RunParams, load_dt: str | None = None) -> dict:
+def refresh_dims(
+    spark: SparkSession, p: RunParams, load_dt: str | None = None, filters: FilterSet | None = None
+) -> dict:
     """Active counts (D8) + per-source and unique-key gates -> snapshots
     (A10, K4) -> full refresh (A9, rolled back on failure) -> K1."""
     t = MartTables.of(p)
     as_of = check_day(load_dt or p.load_dt)
-    active = active_filter(as_of)
+    active = filters or active_filter(as_of)
     carriers = active.apply(spark.table(t.src_carrier_master))
     routes = active.apply(spark.table(t.src_route_master))
     # One pass per source: its active row count (Q8: each source must be
@@ -138,10 +156,15 @@ def refresh_dims(spark: SparkSession, p: RunParams, load_dt: str | None = None)
         raise
     report["dim_carrier"] = require_rows(spark.table(t.dim_carrier), t.dim_carrier)
     report["dim_route"] = require_rows(spark.table(t.dim_route), t.dim_route)
+    # Q22: what was loaded and when, from the tables themselves.
+    for dim in ("dim_carrier", "dim_route"):
+        report[dim + "_loaded_at"] = spark.table(getattr(t, dim)).agg(F.max("load_timestamp")).first()[0]
     return report
 
 
-def summarize_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None) -> dict:
+def summarize_day(
+    spark: SparkSession, p: RunParams, trans_dt: str | None = None, filters: FilterSet | None = None
+) -> dict:
     """K1(stg) -> DQ rule table (G2) -> error partition -> summary
     -> summary day partition (Q1) -> K1(summary) -> K3 error-rate warning."""
     t = MartTables.of(p)
@@ -153,13 +176,17 @@ def summarize_day(spark: SparkSession, p: RunParams, trans_dt: str | None = None
 
     # Row counts are taken by Observations while the partitions are written.
     err_cnt = overwrite_partition(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, {"trans_dt": day})
-    summ = summary_rows(stg, dim_c, dim_r, p.run_stamp)
+    summ = summary_rows(stg, dim_c, dim_r, p.run_stamp, filters)
     summary_cnt = overwrite_partition(summ, t.shipment_summary, {"report_month": month, "report_date": day})
     if summary_cnt == 0:
         raise GateError(f"{t.shipment_summary} report_date={day}: no rows")
     gate = rate_gate(err_cnt, stg_cnt, p.err_rate_threshold)
-    return {"trans_dt": day, "stg_cnt": stg_cnt, "summary_cnt": summary_cnt,
-            "error_cnt": err_cnt, "error_rate": gate}
+    errors = spark.table(t.shipment_dq_errors).where(slice_eq("trans_dt", day))
+    done = spark.table(t.shipment_summary).where(slice_eq("report_month", month) & slice_eq("report_date", day))
+    report = _step_counts([("summary", "shipment_dq_errors", errors), ("summary", "shipment_summary", done),
+                           ("summary", "failing_shipments", errors.select("shipment_id").distinct())])
+    return {"trans_dt": day, "stg_cnt": stg_cnt, "summary_cnt": summary_cnt, "error_cnt": err_cnt,
+            "failing_shipments": report["failing_shipments"], "error_rate": gate, "report": report}
 
 
 def export_month(
@@ -167,7 +194,7 @@ def export_month(
     p: RunParams,
     dest: str,
     month: str | None = None,
-    single_file: bool = False,
+    single_file: bool = True,
     quote: str = "none",
 ) -> dict:
     """K1 -> month slice (A6, B9) -> K7 -> framed CSV (F1, A13) -> K5 ->
@@ -175,20 +202,23 @@ def export_month(
 
     The file is written next to ``dest`` on the same file system and renamed
     into place only after it validates, so a failed attempt never leaves a
-    half-written export under the published name.
+    half-written export under the published name.  ``dest`` is one file, whose
+    lines pass through one task (a month of the summary); with
+    ``single_file=False`` it is a folder of ordered parts instead.
     """
     t = MartTables.of(p)
     m = check_month(month or p.export_month)
     # The audit's run_dt is the time the export ran, as text.
-    ran_at = p.run_stamp or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    ran_at = p.run_stamp or datetime.now(zone).strftime("%Y-%m-%d %H:%M:%S")
     with audited(spark, t.export_log, p.job_name, ran_at, m, dest) as audit:
         rows = month_rows(spark.table(t.shipment_summary), m)
         if rows.isEmpty():  # K1 / K7
-            raise GateError(f"No rows found in {t.shipment_summary} for export_year_month={m}")
+            raise GateError(f"{t.shipment_summary}: month {m} has nothing to export")
         staging_dir = f"{dest}.tmp-{uuid.uuid4().hex}"
         write_framed_csv(rows, staging_dir, schemas.EXPORT_COLUMNS, EXPORT_ORDER, single_file, quote)
         result = validate_framed_csv(spark, staging_dir, schemas.EXPORT_COLUMNS)
-        publish_file(spark, staging_dir, dest)
+        publish(spark, staging_dir, dest, single_file)
         audit.record_cnt = result.value
     return {"export_month": m, "record_cnt": result.value, "file": dest}
 
@@ -203,8 +233,18 @@ def days_to_backfill(spark: SparkSession, p: RunParams) -> list[str]:
 
 def backfill(spark: SparkSession, p: RunParams, days: list[str] | None = None) -> list[dict]:
     """Run ingest and summary for each missing day (each day is its own
-    partition-scoped job; reruns are idempotent)."""
-    out = []
+    partition-scoped job; reruns are idempotent).  A day that fails a gate
+    doesn't keep the others: all are tried, and then the failures are raised
+    with the outcomes of all days as ``outcomes``."""
+    out, failed = [], []
     for day in days if days is not None else days_to_backfill(spark, p):
-        out.append({"ingest": ingest_day(spark, p, day), "summary": summarize_day(spark, p, day)})
+        try:
+            out.append({"trans_dt": day, "ingest": ingest_day(spark, p, day), "summary": summarize_day(spark, p, day)})
+        except GateError as e:
+            out.append({"trans_dt": day, "error": str(e)})
+            failed.append(day)
+    if failed:
+        error = GateError(f"backfill failed for {len(failed)} day(s): {', '.join(failed)}")
+        error.outcomes = out
+        raise error
     return out

@@ -34,11 +34,13 @@ _VALIDITY = """
 SRC = f"""
 src AS (
   SELECT
-    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS shipment_id,
+    CASE WHEN l_partkey % 97 = 3 THEN ''
+         ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS shipment_id,
     NULLIF(CAST(l_partkey % 50 AS VARCHAR), '7') AS tracking_number,
     'FAC' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS origin_facility_cd,
     'FAC' || lpad(CAST(l_partkey % 25 AS VARCHAR), 2, '0') AS destination_facility_cd,
-    CAST(l_suppkey AS VARCHAR) AS carrier_id,
+    CASE WHEN l_partkey % 89 = 5 THEN '' WHEN l_partkey % 89 = 6 THEN NULL
+         ELSE CAST(l_suppkey AS VARCHAR) END AS carrier_id,
     CAST(c_nationkey AS VARCHAR) AS route_id,
     CASE WHEN l_returnflag = 'N' THEN 'RAW' WHEN l_returnflag = 'A' THEN 'MANIFEST'
          WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'TEST'
@@ -46,7 +48,7 @@ src AS (
     CASE WHEN l_linenumber = 7 THEN 'CANCELLED' WHEN l_linenumber = 6 THEN 'RETURNED'
          WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderstatus = 'O' THEN 'BOOKED'
          WHEN o_orderstatus = 'P' THEN 'IN_TRANSIT' END AS shipment_status_code,
-    o_orderpriority AS service_level,
+    CASE WHEN l_linenumber = 5 THEN 'WAREHOUSE_TRANSFER' ELSE o_orderpriority END AS service_level,
     c_mktsegment AS booking_channel,
     CAST(o_custkey AS VARCHAR) AS customer_id,
     NULLIF(CAST(l_quantity AS DECIMAL(10,2)), 1) AS weight_kg,
@@ -77,6 +79,18 @@ ev AS (
   FROM events
 )"""
 
+DAY_EVENTS = """
+sev AS (
+  SELECT
+    lpad(CAST(event_id AS VARCHAR), 12, '0') AS event_id,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS shipment_id,
+    event_type AS event_type_cd,
+    'FAC' || lpad(CAST(event_id % 25 AS VARCHAR), 2, '0') AS event_facility_cd,
+    strftime(l_shipdate, '%Y-%m-%d') || strftime(ts, ' %H:00:00') AS event_ts,
+    strftime(l_shipdate, '%Y-%m-%d') AS event_dt
+  FROM events JOIN lineitem ON user_id = l_orderkey
+)"""
+
 CARRIER_MASTER = f"""
 carrier_master AS (
   SELECT
@@ -130,7 +144,7 @@ latest_ev AS (
     SELECT *, row_number() OVER (PARTITION BY shipment_id, event_dt
                                  ORDER BY event_ts DESC NULLS LAST, event_id DESC NULLS LAST,
                                           event_type_cd DESC NULLS LAST, event_facility_cd DESC NULLS LAST) AS rn
-    FROM ev) WHERE rn = 1
+    FROM sev) WHERE rn = 1
 ),
 stg AS (
   SELECT s.shipment_id, s.tracking_number, s.origin_facility_cd, s.destination_facility_cd,
@@ -212,7 +226,7 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-_BASE = (SRC, EVENTS, CARRIER_MASTER, ROUTE_MASTER, DIMS, STG)
+_BASE = (SRC, DAY_EVENTS, CARRIER_MASTER, ROUTE_MASTER, DIMS, STG)
 _EXPORT = ("report_date", "report_month", "carrier_id", "carrier_name", "route_id", "region_cd",
            "transit_mode", "service_level", "total_count", "approved_count", "rejected_count",
            "total_amount", "total_weight_kg", "approval_rate")
@@ -294,18 +308,20 @@ ORACLE: dict[str, str] = {
              COALESCE(e.err_cnt, 0) * 100 // s.stg_cnt > 5 AS warn
       FROM s LEFT JOIN e ON s.trans_dt = e.trans_dt""",
     "framed_export_lines": _with(*_BASE, _summary_from("stg")) + """
-      SELECT report_month AS export_month, 0 AS line_tag, '""" + ",".join(_EXPORT) + """' AS line
+      SELECT report_month AS export_month, 0 AS line_tag, '""" + ",".join(_EXPORT) + """' AS line, 1 AS line_no
       FROM summary GROUP BY report_month
       UNION ALL
-      SELECT report_month, 1, """ + " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _EXPORT) + """
+      SELECT report_month, 1, """ + " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _EXPORT) + """,
+        CAST(1 + row_number() OVER (PARTITION BY report_month ORDER BY report_date, carrier_id, route_id, service_level) AS INTEGER)
       FROM summary
       UNION ALL
-      SELECT report_month, 2, 'TRAILER,' || CAST(COUNT(*) AS VARCHAR) FROM summary GROUP BY report_month""",
-    "missing_days": _with(*_BASE) + """,
+      SELECT report_month, 2, 'TRAILER,' || CAST(COUNT(*) AS VARCHAR), CAST(COUNT(*) + 2 AS INTEGER)
+      FROM summary GROUP BY report_month""",
+    "missing_days": _with(*_BASE, DQ) + """,
       bounds AS (SELECT MIN(CAST(trans_dt AS DATE)) AS lo, MAX(CAST(trans_dt AS DATE)) AS hi FROM src),
       cal AS (SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS trans_dt
               FROM bounds, generate_series(lo, hi, INTERVAL 1 DAY) AS g(d))
-      SELECT trans_dt FROM cal WHERE trans_dt NOT IN (SELECT trans_dt FROM stg)""",
+      SELECT trans_dt FROM cal WHERE trans_dt NOT IN (SELECT trans_dt FROM dq WHERE error_code = 'ERR_NULL_MANDATORY')""",
     "dedupe_latest": """
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
              l_tax, l_returnflag, l_linestatus, l_shipdate FROM (
@@ -327,5 +343,50 @@ ORACLE: dict[str, str] = {
 
 # Equivalent forms share their oracle.
 ORACLE["latest_event_per_key_window"] = ORACLE["latest_event_per_key"]
-ORACLE["rule_violations_union"] = ORACLE["rule_violations"]
 ORACLE["orphans_carrier_left_join"] = ORACLE["orphans_carrier"]
+
+# ---- tables, files, gates and jobs (cargomart.plans.table_queries)
+
+_SLIM = "shipment_id, carrier_id, record_type, declared_value, trans_dt, substr(trans_dt, 1, 4) AS ship_year"
+_NIL = "shipment_id, tracking_number, origin_facility_cd, destination_facility_cd, carrier_id, route_id, record_type, " \
+       "shipment_status_code, service_level, booking_channel, customer_id, source_system_cd, pickup_dt, " \
+       "expected_delivery_dt, delivery_dt, trans_dt"
+DAYS = ("1996-12-03", "1996-12-04")
+_DAY_LIST = ", ".join(f"'{x}'" for x in DAYS)
+
+ORACLE |= {
+    "partition_overwrite": _with(SRC) + f"""
+      SELECT shipment_id, carrier_id, record_type, trans_dt, substr(trans_dt, 1, 4) AS ship_year,
+             CASE WHEN substr(trans_dt, 1, 4) = '1995' THEN CAST(declared_value * 2 AS DECIMAL(15,2)) ELSE declared_value END AS declared_value
+      FROM src WHERE substr(trans_dt, 1, 4) <> '1997'""",
+    "partition_overwrite_two_level": _with(SRC) + f"""
+      SELECT {_SLIM} FROM src
+      WHERE record_type IS NOT NULL AND NOT (substr(trans_dt, 1, 4) = '1995' AND record_type = 'RAW' AND declared_value < 20000)""",
+    "snapshot_restore": _with(*_BASE) + """
+      SELECT 'changed' AS state, carrier_id, carrier_name, region_cd FROM dim_carrier WHERE region_cd = 'R1'
+      UNION ALL SELECT 'restored', carrier_id, carrier_name, region_cd FROM dim_carrier
+      UNION ALL SELECT 'restored', carrier_id, carrier_name, region_cd FROM dim_carrier WHERE region_cd = 'R2'""",
+    "landing_round_trip": _with(SRC) + " SELECT " + ", ".join(
+        c if c == "trans_dt" else f"NULLIF({c}, '') AS {c}" for c in _NIL.split(", ")
+    ) + ", weight_kg, volume_cbm, declared_value, shipping_charge FROM src",
+    "gate_reports": _with(*_BASE, DQ) + """
+      SELECT 'rows' AS gate, 'src' AS label, CAST(COUNT(*) AS BIGINT) AS value FROM src
+      UNION ALL SELECT 'duplicates', CAST(s.shipment_id AS VARCHAR) || '|' || s.trans_dt, CAST(COUNT(*) AS BIGINT)
+        FROM src s WHERE shipment_id <> '' GROUP BY s.shipment_id, s.trans_dt HAVING COUNT(*) > 1
+      UNION ALL SELECT 'error_rate', 'percent', (SELECT CAST(COUNT(*) AS BIGINT) FROM dq) * 100 // (SELECT COUNT(*) FROM stg)""",
+    "job_ingest": _with(*_BASE) + f" SELECT {_STG_COLS} FROM stg WHERE trans_dt IN ({_DAY_LIST})",
+    "job_refresh": _with(*_BASE) + """
+      SELECT 'dim_carrier' AS dim, carrier_id AS id, status, eff_dt, exp_dt FROM dim_carrier
+      UNION ALL SELECT 'dim_route', route_id, status, eff_dt, exp_dt FROM dim_route""",
+    "job_summary": _with(*_BASE, DQ, _summary_from("stg")) + f"""
+      SELECT report_date, 'summary' AS kind, carrier_id, route_id, service_level, total_count AS n, approval_rate AS shown
+      FROM summary WHERE report_date IN ({_DAY_LIST})
+      UNION ALL SELECT trans_dt, error_code, carrier_id, route_id, shipment_id, 1, error_description
+      FROM dq WHERE trans_dt IN ({_DAY_LIST})""",
+    "job_export": _with(*_BASE, _summary_from("stg")) + f"""
+      , s AS (SELECT * FROM summary WHERE report_date IN ({_DAY_LIST}))
+      SELECT '""" + ",".join(_EXPORT) + """' AS line, 'SUCCESS' AS status, (SELECT CAST(COUNT(*) AS BIGINT) FROM s) AS record_cnt
+      UNION ALL SELECT """ + " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _EXPORT) + """,
+        'SUCCESS', (SELECT CAST(COUNT(*) AS BIGINT) FROM s) FROM s
+      UNION ALL SELECT 'TRAILER,' || CAST(COUNT(*) AS VARCHAR), 'SUCCESS', CAST(COUNT(*) AS BIGINT) FROM s""",
+}

@@ -58,12 +58,9 @@ def materialize(df):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
     and continue from the written copy (used where one intermediate feeds
     several branches; later scans prune columns and survive lost executors).
-    Without a checkpoint folder the plan is returned unchanged."""
+    Without a checkpoint folder on a cluster this raises."""
     spark = df.sparkSession
-    try:
-        base = checkpoint_dir(spark)
-    except Exception:  # no shared folder configured (or no SparkContext handle)
-        return df
+    base = checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/cargomart-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -23,11 +23,12 @@ def refresh_partitions(spark: SparkSession, name: str) -> None:
     Metastore-managed tables need ``MSCK REPAIR TABLE``; catalogs that list
     partitions from the file system only need their file index refreshed.
     """
-    try:
+    if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?", name):
+        raise ValueError(f"not a plain table identifier: {name!r}")
+    if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Partition Provider'").isEmpty():
+        spark.catalog.refreshTable(name)  # not partitioned, or listed from its folders
+    else:
         spark.sql(f"MSCK REPAIR TABLE {name}")
-    except AnalysisException:
-        pass
-    spark.catalog.refreshTable(name)
 
 
 def fetch_summary(spark: SparkSession, table: str, month: str, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:

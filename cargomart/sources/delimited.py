@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from cargomart.operators.sinks import sql_text
 
 # Quote disabled: a field starting with '"' is data, not the start of a quoted
 # field that would swallow the next separator.
@@ -24,6 +27,8 @@ READ_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "enforceSchema": "true",
+    # Only a newline ends a line: a carriage return is data.
+    "lineSep": "\n",
 }
 
 WRITE_OPTIONS = {
@@ -32,9 +37,23 @@ WRITE_OPTIONS = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "lineSep": "\n",
 }
 
 
+def _plain_cells(df: DataFrame, sep: str, partition_by: Sequence[str]) -> DataFrame:
+    """The format has no quotes: a text that holds the separator or a newline
+    fails the write instead of shifting columns."""
+
+    def cell(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        breaks = F.contains(c, F.lit(sep)) | F.contains(c, F.lit("\n"))
+        return F.when(breaks, F.raise_error(F.lit(f"{name}: a cell holds the separator or a newline"))).otherwise(c).alias(name)
+
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)} - set(partition_by)
+    return df.select(*[cell(c) if c in text else F.col(f"`{c}`") for c in df.columns])
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -59,7 +78,7 @@ def write_delimited(
     mode: str = "overwrite",
 ) -> None:
     """Write ``df`` in the landing format (header line, empty = NULL)."""
-    w = df.write.mode(mode).options(**WRITE_OPTIONS).option("sep", sep)
+    w = _plain_cells(df, sep, partition_by).write.mode(mode).options(**WRITE_OPTIONS).option("sep", sep)
     w = w.option("header", "true" if header else "false")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -87,9 +106,9 @@ def ensure_landing_table(
         raise ValueError("partition columns must be the last columns of the schema")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     opts = dict(READ_OPTIONS, sep=sep, header="true" if header else "false")
-    options = ", ".join(f"'{k}' '{v}'" for k, v in opts.items())
+    options = ", ".join(f"'{k}' {sql_text(v)}" for k, v in opts.items())
     ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING csv OPTIONS ({options})"
     if partition_by:
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
-    ddl += " LOCATION '" + location.replace("'", "") + "'"
+    ddl += f" LOCATION {sql_text(location)}"
     spark.sql(ddl)

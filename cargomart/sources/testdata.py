@@ -35,20 +35,10 @@ from cargomart.schemas import conform
 LOAD_DT = "2026-05-10"
 RUN_STAMP = "2026-05-10 02:00:00"
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's parquet table; the read (listing + footer) is reused per session."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        owner = spark.sparkContext.applicationId
-    except Exception:  # sessions without a SparkContext handle (Spark Connect)
-        owner = str(id(spark))
-    key = (owner, path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """The driver's parquet table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _day_range(col: str, day: str) -> Column:
@@ -61,12 +51,14 @@ def _day_range(col: str, day: str) -> Column:
 
 # Column mappings as SQL expressions (each applied in one projection).
 _DAY = "CAST(CAST({c} AS DATE) AS STRING)"
+_SHIPMENT_ID = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"
 _SHIPMENT_MAP = {
-    "shipment_id": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)",
+    # Blank ids and carriers (B6), a service level that the summary drops.
+    "shipment_id": f"CASE WHEN l_partkey % 97 = 3 THEN '' ELSE {_SHIPMENT_ID} END",
     "tracking_number": "NULLIF(CAST(l_partkey % 50 AS STRING), '7')",
     "origin_facility_cd": "'FAC' || lpad(CAST(c_nationkey AS STRING), 2, '0')",
     "destination_facility_cd": "'FAC' || lpad(CAST(l_partkey % 25 AS STRING), 2, '0')",
-    "carrier_id": "CAST(l_suppkey AS STRING)",
+    "carrier_id": "CASE WHEN l_partkey % 89 = 5 THEN '' WHEN l_partkey % 89 = 6 THEN NULL ELSE CAST(l_suppkey AS STRING) END",
     "route_id": "CAST(c_nationkey AS STRING)",
     "record_type": """CASE WHEN l_returnflag = 'N' THEN 'RAW' WHEN l_returnflag = 'A' THEN 'MANIFEST'
                            WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'TEST'
@@ -74,7 +66,7 @@ _SHIPMENT_MAP = {
     "shipment_status_code": """CASE WHEN l_linenumber = 7 THEN 'CANCELLED' WHEN l_linenumber = 6 THEN 'RETURNED'
                                     WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderstatus = 'O' THEN 'BOOKED'
                                     WHEN o_orderstatus = 'P' THEN 'IN_TRANSIT' END""",
-    "service_level": "o_orderpriority",
+    "service_level": "CASE WHEN l_linenumber = 5 THEN 'WAREHOUSE_TRANSFER' ELSE o_orderpriority END",
     "booking_channel": "c_mktsegment",
     "customer_id": "CAST(o_custkey AS STRING)",
     "weight_kg": "NULLIF(CAST(l_quantity AS DECIMAL(10,2)), 1.00BD)",
@@ -162,8 +154,11 @@ _ROUTE_MAP = {
 }
 
 
-def src_shipments(spark: SparkSession, sf_dir: str, trans_dt: str | None = None) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def src_shipments(
+    spark: SparkSession, sf_dir: str, trans_dt: str | None = None, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """All shipments, those of one day, or those from a day to before another."""
+    li = lines_between(spark, sf_dir, days)
     if trans_dt is not None:
         li = li.where(_day_range("l_shipdate", trans_dt))
     orders = table(spark, sf_dir, "orders").select(
@@ -184,6 +179,28 @@ def src_shipment_events(spark: SparkSession, sf_dir: str, event_dt: str | None =
     return conform(ev, schemas.SRC_SHIPMENT_EVENTS, _EVENT_MAP)
 
 
+def shipment_day_events(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Events of shipments on their own day: each event is one of all lines of
+    the order that its user id names.  The time is cut to the hour, so that
+    many shipments have several events at their latest time."""
+    li = lines_between(spark, sf_dir, days).select("l_orderkey", "l_linenumber", "l_shipdate")
+    ev = table(spark, sf_dir, "events")
+    both = ev.join(li, ev["user_id"] == li["l_orderkey"])
+    day = _DAY.format(c="l_shipdate")
+    return conform(both, schemas.SRC_SHIPMENT_EVENTS, {
+        **_EVENT_MAP, "shipment_id": _SHIPMENT_ID, "event_dt": day, "event_ts": f"{day} || date_format(ts, ' HH:00:00')",
+    })
+
+
+def lines_between(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None) -> DataFrame:
+    """Order lines shipped from the first day to before the second one."""
+    li = table(spark, sf_dir, "lineitem")
+    if days is None:
+        return li
+    first, end = (f"TIMESTAMP_NTZ'{check_day(x)} 00:00:00'" for x in days)
+    return li.where(f"l_shipdate >= {first} AND l_shipdate < {end}")
+
+
 def src_carrier_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "supplier"), schemas.SRC_CARRIER_MASTER, _CARRIER_MAP)
 

@@ -168,6 +168,9 @@ def key_presence(
     key's facts when the dimension is too large to broadcast.
     """
     k = f"__pk_{flag}"
-    keys = dim.select(F.col(dim_key).alias(k)).where(F.col(k).isNotNull()).distinct()
+    # Distinct by (hash, key): the join then shuffles the keys itself, and only
+    # joins right above their shuffles are split by Spark.
+    keys = dim.select(F.xxhash64(dim_key).alias("__h"), F.col(dim_key).alias(k))
+    keys = keys.where(F.col(k).isNotNull()).distinct().select(k)
     keys = bounded_broadcast(keys, max_rows, max_bytes)
     return fact.join(keys, fact[fact_key] == keys[k], "left").withColumn(flag, F.col(k).isNotNull()).drop(k)

@@ -259,6 +259,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _hadoop_fs(spark, path)
+    return fs.exists(p)
+
+
 def part_files(spark: SparkSession, directory: str) -> list[str]:
     fs, p, _ = _hadoop_fs(spark, directory)
     names = [s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]

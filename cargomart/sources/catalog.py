@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from cargomart.functions.predicates import month_slice
+from cargomart.operators.sinks import folder_exists
 from cargomart.schemas import EXPORT_COLUMNS
 
 
@@ -25,10 +26,11 @@ def refresh_partitions(spark: SparkSession, name: str) -> None:
     """
     if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?", name):
         raise ValueError(f"not a plain table identifier: {name!r}")
-    if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Partition Provider'").isEmpty():
-        spark.catalog.refreshTable(name)  # not partitioned, or listed from its folders
-    else:
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "Partition Provider" in about and folder_exists(spark, about["Location"]):
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    else:  # not partitioned, listed from its folders, or no folder has arrived yet
+        spark.catalog.refreshTable(name)
 
 
 def fetch_summary(spark: SparkSession, table: str, month: str, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:

@@ -42,13 +42,13 @@ WRITE_OPTIONS = {
 
 
 def _plain_cells(df: DataFrame, sep: str, partition_by: Sequence[str]) -> DataFrame:
-    """The format has no quotes: a text that holds the separator or a newline
-    fails the write instead of shifting columns."""
+    """The format has no quotes: a text that holds the separator, a newline or a
+    carriage return (Spark's writer would quote it) fails the write instead of shifting columns."""
 
     def cell(name: str) -> Column:
         c = F.col(f"`{name}`")
-        breaks = F.contains(c, F.lit(sep)) | F.contains(c, F.lit("\n"))
-        return F.when(breaks, F.raise_error(F.lit(f"{name}: a cell holds the separator or a newline"))).otherwise(c).alias(name)
+        breaks = F.contains(c, F.lit(sep)) | F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r"))
+        return F.when(breaks, F.raise_error(F.lit(f"{name}: a cell holds the separator or a line end"))).otherwise(c).alias(name)
 
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)} - set(partition_by)
     return df.select(*[cell(c) if c in text else F.col(f"`{c}`") for c in df.columns])

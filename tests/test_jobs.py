@@ -29,9 +29,9 @@ def mart(spark, tmp_path):
     overwrite_table(fx.carrier_master_df(spark), t.src_carrier_master)
     overwrite_table(fx.route_master_df(spark), t.src_route_master)
     events = spark.createDataFrame([
-        fx.event("E1", "SHIP00001", "2026-05-14 08:00:00", "PICKUP"),
-        fx.event("E2", "SHIP00001", "2026-05-14 18:00:00", "DELIVERED", "LAX02"),
-        fx.event("E3", "SHIP00006", "2026-05-13 18:00:00", "OLD", day="2026-05-13"),
+        fx.event("E1", "good", "2026-05-14 08:00:00", "PICKUP"),
+        fx.event("E2", "good", "2026-05-14 18:00:00", "DELIVERED", "HEL"),
+        fx.event("E3", "sailing", "2026-05-13 18:00:00", "OLD", day="2026-05-13"),
     ], fx.EVENT_SCHEMA)
     for d in ("2026-05-13", "2026-05-14"):
         overwrite_partition(events.where(F.col("event_dt") == d), t.src_shipment_events, {"event_dt": d})
@@ -45,7 +45,7 @@ def load_source(spark, t, rows, day=fx.DAY):
 def test_ingest_aborts_on_duplicates(spark, mart):
     p, t, _ = mart
     load_source(spark, t, fx.SOURCE_ROWS)
-    with pytest.raises(GateError, match="SHIP00001"):
+    with pytest.raises(GateError, match="good"):
         jobs.ingest_day(spark, p)
     assert spark.table(t.stg_shipments).count() == 0  # nothing written
 
@@ -62,10 +62,10 @@ def test_all_jobs(spark, mart):
     r = jobs.ingest_day(spark, p)
     assert (r["trans_dt"], r["src_cnt"], r["stg_cnt"]) == (fx.DAY, 9, 4)
     stg = {x["shipment_id"]: x for x in spark.table(t.stg_shipments).collect()}
-    assert sorted(stg) == ["SHIP00001", "SHIP00006", "SHIP00008", "SHIP00009"]
-    assert stg["SHIP00001"]["last_event_type_cd"] == "DELIVERED"
-    assert stg["SHIP00006"]["last_event_type_cd"] is None  # event of another day is ignored
-    assert stg["SHIP00001"]["load_timestamp"] == fx.STAMP
+    assert sorted(stg) == ["good", "sailing", "stray", "untracked"]
+    assert stg["good"]["last_event_type_cd"] == "DELIVERED"
+    assert stg["sailing"]["last_event_type_cd"] is None  # event of another day is ignored
+    assert stg["good"]["load_timestamp"] == fx.STAMP
     # rerun is idempotent
     jobs.ingest_day(spark, p)
     assert spark.table(t.stg_shipments).count() == 4
@@ -77,9 +77,10 @@ def test_all_jobs(spark, mart):
 
     s = jobs.summarize_day(spark, p)
     assert (s["stg_cnt"], s["summary_cnt"], s["error_cnt"]) == (4, 3, 2)
+    assert s["failing_shipments"] == 2 and s["report"]["shipment_summary"] == 3
     assert s["error_rate"].value == 50 and not s["error_rate"].ok  # 2*100 div 4 = 50 > 5: warn
     errs = sorted((x["shipment_id"], x["error_code"]) for x in spark.table(t.shipment_dq_errors).collect())
-    assert errs == [("SHIP00008", "ERR_NULL_MANDATORY"), ("SHIP00009", "ERR_NO_DIM_CARRIER")]
+    assert errs == [("stray", "ERR_NO_DIM_CARRIER"), ("untracked", "ERR_NULL_MANDATORY")]
 
     # a second day keeps the first (Q1)
     other = [tuple(list(r[:-1]) + ["2026-05-13"]) for r in fx.SOURCE_ROWS[:2]]
@@ -102,7 +103,7 @@ def test_all_jobs(spark, mart):
     dest2 = os.path.join(tmp, "outbound", "parts_2026-05")
     jobs.export_month(spark, pe, dest2, single_file=False)
     body = []
-    for f in sorted(glob.glob(os.path.join(dest2, "part-*"))) if os.path.isdir(dest2) else [dest2]:
+    for f in sorted(glob.glob(os.path.join(dest2, "part-*"))):
         body += open(f).read().splitlines()
     assert body == lines
     # empty month: error and a FAILED audit row
@@ -137,7 +138,14 @@ def test_backfill_missing_days(spark, mart):
         load_source(spark, t, [tuple(list(r[:-1]) + [day]) for r in rows], day)
     jobs.ingest_day(spark, p, "2026-05-13")
     assert jobs.days_to_backfill(spark, p) == ["2026-05-12", fx.DAY]
-    done = jobs.backfill(spark, p)
+    # a day that fails its gate doesn't keep the other from being loaded
+    good = spark.table(t.src_shipments).where("trans_dt = '2026-05-12'").drop("trans_dt").collect()
+    load_source(spark, t, [tuple(list(r[:-1]) + ["2026-05-12"]) for r in rows + rows[:1]], "2026-05-12")
+    with pytest.raises(GateError, match="2026-05-12") as info:
+        jobs.backfill(spark, p)
+    assert [("error" in d) for d in info.value.outcomes] == [True, False] and len(good) == 9
+    load_source(spark, t, [tuple(list(r[:-1]) + ["2026-05-12"]) for r in rows], "2026-05-12")
+    done = jobs.backfill(spark, p, ["2026-05-12", fx.DAY])
     assert [d["ingest"]["trans_dt"] for d in done] == ["2026-05-12", fx.DAY]
     assert jobs.days_to_backfill(spark, p) == []
     assert spark.table(t.shipment_summary).select("report_date").distinct().count() == 2

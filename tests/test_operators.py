@@ -62,21 +62,21 @@ def ids(df, col="shipment_id"):
 
 def test_ingest_filter_survivors(src):
     out = ingest_filters().apply(src)
-    assert ids(out) == ["SHIP00001", "SHIP00001", "SHIP00006", "SHIP00008", "SHIP00009"]
+    assert ids(out) == fx.SURVIVORS
 
 
 def test_filter_set_toggles(src):
     fs = ingest_filters()
-    assert "SHIP00007" in ids(fs.without("min_value").apply(src))
-    assert ids(fs.only("excl_test_type").apply(src)).count("SHIP00002") == 0
+    assert "refund" in ids(fs.without("min_value").apply(src))
+    assert ids(fs.only("excl_test_type").apply(src)).count("probe") == 0
     with pytest.raises(KeyError):
         fs.only("nope")
-    extra = fs.plus("express_only", "service_level = 'EXPRESS'")
-    assert ids(extra.apply(src)) == ["SHIP00001", "SHIP00001", "SHIP00006"]
+    extra = fs.plus("priority_only", "service_level = 'PRIORITY'")
+    assert ids(extra.apply(src)) == ["good", "good", "sailing", "stray"]
 
 
 def test_filter_blank_and_null_carrier(spark):
-    rows = [fx.SOURCE_ROWS[0][:4] + (c,) + fx.SOURCE_ROWS[0][5:] for c in (None, "", "CRR001")]
+    rows = [fx.SOURCE_ROWS[0][:4] + (c,) + fx.SOURCE_ROWS[0][5:] for c in (None, "", "nord")]
     out = ingest_filters().apply(fx.source_df(spark, rows))
     assert out.count() == 1
 
@@ -143,13 +143,13 @@ def test_star_join_inner(stg, dims):
     c, r = dims
     out = star_join(stg, [DimSpec(c, "carrier_id", "carrier_id", ["carrier_name"]),
                           DimSpec(r, "route_id", "route_id", ["region_cd", "transit_mode"])])
-    assert ids(out) == ["SHIP00001", "SHIP00001", "SHIP00006", "SHIP00008"]
+    assert ids(out) == ["good", "good", "sailing", "untracked"]
     assert "carrier_name" in out.columns and out.columns.count("carrier_id") == 1
 
 
 def test_orphans_anti_equals_left_is_null(spark, dims):
     c, _ = dims
-    rows = [fx.SOURCE_ROWS[0][:4] + (k,) + fx.SOURCE_ROWS[0][5:] for k in ("CRR001", "CRR999", None, "")]
+    rows = [fx.SOURCE_ROWS[0][:4] + (k,) + fx.SOURCE_ROWS[0][5:] for k in ("nord", "ghost", None, "")]
     fact = fx.source_df(spark, rows)
     anti = orphan_rows(fact, c, "carrier_id", "carrier_id")
     lj = fact.alias("s").join(c.alias("d"), F.col("s.carrier_id") == F.col("d.carrier_id"), "left") \
@@ -164,7 +164,7 @@ def test_key_presence_never_multiplies(spark, stg, dims):
     out = key_presence(stg, doubled, "carrier_id", "carrier_id", "has_carrier")
     assert out.count() == stg.count()
     flags = {r["shipment_id"]: r["has_carrier"] for r in out.collect()}
-    assert flags["SHIP00009"] is False and flags["SHIP00001"] is True
+    assert flags["stray"] is False and flags["good"] is True
 
 
 def test_bounded_broadcast_probe(spark):
@@ -201,12 +201,12 @@ def test_summary_groups(stg, dims):
         for x in out.collect()
     )
     assert rows == [
-        ("CRR001", "FleetExpress", "RT001", "WEST", "AIR", "EXPRESS", 2, 2, 0, Decimal("500.00"), Decimal("25.00"),
-         "100.00%", "2026-05", fx.DAY),
-        ("CRR002", "BlueExpress", "RT001", "WEST", "AIR", "STANDARD", 1, 0, 0, Decimal("100.00"), Decimal("10.00"),
+        ("balt", "Baltic Ro-Ro", "gulf", "EAST", "SEA", "BULK", 1, 0, 0, Decimal("55.00"), Decimal("2.00"),
          "0.00%", "2026-05", fx.DAY),
-        ("CRR002", "BlueExpress", "RT002", "SOUTH", "GROUND", "EXPRESS", 1, 0, 0, Decimal("400.00"), Decimal("20.00"),
+        ("balt", "Baltic Ro-Ro", "strait", "WEST", "SEA", "PRIORITY", 1, 0, 0, Decimal("310.00"), Decimal("7.00"),
          "0.00%", "2026-05", fx.DAY),
+        ("nord", "Nordic Line", "gulf", "EAST", "SEA", "PRIORITY", 2, 2, 0, Decimal("1800.00"), Decimal("80.50"),
+         "100.00%", "2026-05", fx.DAY),
     ]
     assert shape(out.schema) == shape(schemas.SHIPMENT_SUMMARY)
 
@@ -234,7 +234,7 @@ def test_combined_count(spark):
 def test_rollup_and_error_counts(spark):
     s = fx.summary_df(spark)
     r = {x["report_month"]: x for x in rollup_counts(s, ["report_month"], ["total_count", "approved_count"]).collect()}
-    assert r["2026-04"]["total_count"] == 35 and r["2026-04"]["approved_count"] == 32
+    assert r["2026-04"]["total_count"] == 14 and r["2026-04"]["approved_count"] == 11
     assert r["2026-04"]["total_count"].__class__ is int
 
 
@@ -253,27 +253,27 @@ def test_dedupe_is_deterministic(spark):
 def test_dq_rows_on_survivors(stg, dims):
     c, r = dims
     out = sorted((x["shipment_id"], x["error_code"]) for x in dq_errors(stg, c, r, fx.STAMP).collect())
-    assert out == [("SHIP00008", "ERR_NULL_MANDATORY"), ("SHIP00009", "ERR_NO_DIM_CARRIER")]
+    assert out == [("stray", "ERR_NO_DIM_CARRIER"), ("untracked", "ERR_NULL_MANDATORY")]
 
 
 def test_dq_unfiltered_texts_and_equivalence(spark, src, dims):
     c, r = dims
     rows = list(fx.SOURCE_ROWS)
     two = list(fx.SOURCE_ROWS[6])  # negative value AND missing route AND NULL charge
-    two[0], two[5], two[14] = "SHIP00010", "RT999", None
+    two[0], two[5], two[14] = "lost", "nowhere", None
     rows.append(tuple(two))
     stg = fx.staging_from(fx.source_df(spark, rows))
     one = dq_errors(stg, c, r, fx.STAMP)
     union = dq_errors(stg, c, r, fx.STAMP, one_pass=False)
     assert one.exceptAll(union).count() == 0 and union.exceptAll(one).count() == 0
     got = {(x["shipment_id"], x["error_code"]): x["error_description"] for x in one.collect()}
-    assert got[("SHIP00007", "ERR_NEG_VALUE")] == "Negative monetary value declared_value=-25.00 shipping_charge=12.00"
-    assert got[("SHIP00009", "ERR_NO_DIM_CARRIER")] == "Carrier id [CRR999] not present in dim_carrier"
-    assert got[("SHIP00010", "ERR_NO_DIM_ROUTE")] == "Route id [RT999] not present in dim_route"
-    assert got[("SHIP00010", "ERR_NEG_VALUE")] is None  # strict CONCAT: NULL amount -> NULL text (Q9)
+    assert got[("refund", "ERR_NEG_VALUE")] == "Negative monetary value declared_value=-4.50 shipping_charge=61.30"
+    assert got[("stray", "ERR_NO_DIM_CARRIER")] == "Carrier id [ghost] not present in dim_carrier"
+    assert got[("lost", "ERR_NO_DIM_ROUTE")] == "Route id [nowhere] not present in dim_route"
+    assert got[("lost", "ERR_NEG_VALUE")] is None  # strict CONCAT: NULL amount -> NULL text (Q9)
     lenient = {(x["shipment_id"], x["error_code"]): x["error_description"]
                for x in dq_errors(stg, c, r, fx.STAMP, strict_text=False).collect()}
-    assert lenient[("SHIP00010", "ERR_NEG_VALUE")].endswith("shipping_charge=NULL")
+    assert lenient[("lost", "ERR_NEG_VALUE")].endswith("shipping_charge=NULL")
     assert shape(one.schema) == shape(schemas.SHIPMENT_DQ_ERRORS)
     counts = {x["error_code"]: x["error_cnt"] for x in error_counts(one).collect()}
     assert counts == {"ERR_NEG_VALUE": 2, "ERR_NO_DIM_ROUTE": 1, "ERR_NO_DIM_CARRIER": 1, "ERR_NULL_MANDATORY": 1}

@@ -45,7 +45,7 @@ def test_partition_overwrite_static(spark):
     stg = fx.staging_from(fx.source_df(spark))
     sinks.overwrite_partition(stg.where("shipment_status_code = 'DELIVERED'"), t, {"trans_dt": "2026-05-14"})
     sinks.overwrite_partition(stg, t, {"trans_dt": "2026-05-15"})
-    assert spark.table(t).where("trans_dt = '2026-05-14'").count() == 6
+    assert spark.table(t).where("trans_dt = '2026-05-14'").count() == sum(r[7] == "DELIVERED" for r in fx.SOURCE_ROWS)
     # rerun replaces only that day
     sinks.overwrite_partition(stg.limit(2), t, {"trans_dt": "2026-05-14"})
     assert spark.table(t).where("trans_dt = '2026-05-14'").count() == 2
@@ -67,10 +67,10 @@ def test_two_level_summary_partition_keeps_other_days(spark):
     t = f"{db}.summary"
     sinks.ensure_table(spark, t, schemas.SHIPMENT_SUMMARY, ["report_month", "report_date"])
     s = fx.summary_df(spark)
-    for d in ("2026-04-01", "2026-04-15", "2026-04-30"):
+    for d in ("2026-04-03", "2026-04-11", "2026-04-29"):
         sinks.overwrite_partition(s.where(F.col("report_date") == d), t, {"report_month": "2026-04", "report_date": d})
-    sinks.overwrite_partition(s.where("false"), t, {"report_month": "2026-04", "report_date": "2026-04-15"})
-    assert sorted(r[0] for r in spark.table(t).select("report_date").collect()) == ["2026-04-01", "2026-04-30"]
+    sinks.overwrite_partition(s.where("false"), t, {"report_month": "2026-04", "report_date": "2026-04-11"})
+    assert sorted(r[0] for r in spark.table(t).select("report_date").collect()) == ["2026-04-03", "2026-04-29"]
     assert [c for c in spark.table(t).columns][-2:] == ["report_month", "report_date"]
 
 
@@ -91,7 +91,7 @@ def test_snapshot_restore_append(spark):
     sinks.restore_table(spark, bkp, dim)
     assert spark.table(dim).count() == 2
     sinks.append_rows(d.select(*reversed(d.columns)), dim)  # by name, not position
-    assert spark.table(dim).where("carrier_name = 'FleetExpress'").count() == 2
+    assert spark.table(dim).where("carrier_name = 'Nordic Line'").count() == 2
 
 
 @pytest.mark.parametrize("single_file", [True, False])
@@ -100,14 +100,14 @@ def test_framed_csv_matches_expected(spark, tmp_dir, single_file):
     out = sinks.write_framed_csv(rows.select(*schemas.EXPORT_COLUMNS), os.path.join(tmp_dir, "x"),
                                  schemas.EXPORT_COLUMNS, ["report_date", "carrier_id", "route_id", "service_level"],
                                  single_file=single_file)
-    assert _lines(out) == fx.EXPECTED_EXPORT_2026_04
+    assert _lines(out) == fx.export_lines("2026-04")
     res = validate_framed_csv(spark, out, schemas.EXPORT_COLUMNS)
     assert res.ok and res.value == 3
     dest = os.path.join(tmp_dir, "outbound", "summary_2026-04.csv")
-    with open(os.path.join(tmp_dir, "stale"), "w"):
-        pass
-    sinks.publish_file(spark, out, dest)
-    assert _lines(dest) == fx.EXPECTED_EXPORT_2026_04
+    os.makedirs(dest)  # a stale export of either kind is replaced
+    sinks.publish(spark, out, dest, single_file)
+    assert os.path.isfile(dest) is single_file and os.listdir(os.path.dirname(dest)).count("summary_2026-04.csv") == 1
+    assert _lines(dest) == fx.export_lines("2026-04")
 
 
 def test_framed_csv_sort_nulls_first(spark, tmp_dir):
@@ -119,13 +119,13 @@ def test_framed_csv_sort_nulls_first(spark, tmp_dir):
 
 
 def test_framed_csv_comma_fails_or_quotes(spark, tmp_dir):
-    s = fx.summary_df(spark).withColumn("carrier_name", F.lit('Fleet, "Express"'))
+    s = fx.summary_df(spark).withColumn("carrier_name", F.lit('Baltic, "Ro-Ro"'))
     with pytest.raises(Exception):
         sinks.write_framed_csv(s.select(*schemas.EXPORT_COLUMNS), os.path.join(tmp_dir, "c"), schemas.EXPORT_COLUMNS,
                                single_file=True)
     out = sinks.write_framed_csv(s.select(*schemas.EXPORT_COLUMNS), os.path.join(tmp_dir, "q"), schemas.EXPORT_COLUMNS,
                                  ["report_date"], single_file=True, quote="minimal")
-    assert '"Fleet, ""Express"""' in _lines(out)[1]
+    assert '"Baltic, ""Ro-Ro"""' in _lines(out)[1]
 
 
 def test_validate_framed_csv_failures(spark, tmp_dir):
@@ -139,7 +139,8 @@ def test_validate_framed_csv_failures(spark, tmp_dir):
     hdr = ",".join(schemas.EXPORT_COLUMNS)
     assert validate_framed_csv(spark, write("ok", [hdr, "a", "TRAILER,1"]), schemas.EXPORT_COLUMNS).ok
     for name, lines in [("short", [hdr, "TRAILER,0"]), ("count", [hdr, "a", "b", "TRAILER,1"]),
-                        ("notrailer", [hdr, "a", "b"]), ("twohdr", [hdr, hdr, "a", "TRAILER,2"])]:
+                        ("notrailer", [hdr, "a", "b"]), ("twohdr", [hdr, hdr, "a", "TRAILER,2"]),
+                        ("garbage", [hdr, "a", "TRAILER," + "0" * 39 + "1GARBAGE"]), ("padded", [hdr, "a", "TRAILER,01"])]:
         with pytest.raises(GateError):
             validate_framed_csv(spark, write(name, lines), schemas.EXPORT_COLUMNS)
 
@@ -149,12 +150,12 @@ def test_require_rows_and_unique(spark):
     assert require_rows(src, "src") == 10
     with pytest.raises(GateError):
         require_rows(src.where("false"), "empty")
-    with pytest.raises(GateError, match="SHIP00001"):
+    with pytest.raises(GateError, match="good"):
         require_unique(src, ["shipment_id", "trans_dt"], ["shipment_id"])
     assert require_unique(src.dropDuplicates(), ["shipment_id"]) == 0
     from cargomart.operators.gates import require_rows_unique
 
-    with pytest.raises(GateError, match="SHIP00001"):
+    with pytest.raises(GateError, match="good"):
         require_rows_unique(src, ["shipment_id", "trans_dt"], ["shipment_id"], "src")
     assert require_rows_unique(src.dropDuplicates(), ["shipment_id", "trans_dt"], ["shipment_id"], "src") == 9
     with pytest.raises(GateError, match="no rows"):
@@ -226,7 +227,7 @@ def test_failed_overwrite_keeps_previous_partition(spark):
     assert sinks.overwrite_partition(stg, t, {"trans_dt": "2026-05-14"}) == 10
     broken = stg.withColumn(
         "shipment_id",
-        F.when(F.col("shipment_id") == "SHIP00009", F.raise_error(F.lit("task failed mid-write"))).otherwise(F.col("shipment_id")),
+        F.when(F.col("shipment_id") == "stray", F.raise_error(F.lit("task failed mid-write"))).otherwise(F.col("shipment_id")),
     )
     with pytest.raises(Exception, match="task failed mid-write"):
         sinks.overwrite_partition(broken, t, {"trans_dt": "2026-05-14"})
@@ -239,3 +240,68 @@ def test_audit_failure_does_not_mask_job_error(spark):
         with audited(spark, "no_such_db.export_log", "job", "2026-05-01 07:00:00", "2026-04", "/x.csv"):
             raise ValueError("the job's own error")
     assert any("audit row could not be written" in n for n in getattr(info.value, "__notes__", []))
+
+
+@pytest.mark.parametrize("rows", [5, 20_000])
+@pytest.mark.parametrize("single_file", [True, False])
+def test_what_is_published_does_not_depend_on_the_rows(spark, tmp_dir, rows, single_file):
+    df = spark.range(rows).repartition(4).select(F.col("id").cast("string").alias("a"))
+    out = sinks.write_framed_csv(df, os.path.join(tmp_dir, "x"), ["a"], ["a"], single_file)
+    dest = sinks.publish(spark, out, os.path.join(tmp_dir, "pub"), single_file)
+    assert os.path.isfile(dest) is single_file and len(_lines(dest)) == rows + 2
+
+
+def test_a_failed_rename_keeps_the_old_export_and_the_new_one(spark, tmp_dir, monkeypatch):
+    dest = os.path.join(tmp_dir, "out.csv")
+    with open(dest, "w") as fh:
+        fh.write("old\n")
+    real = sinks._hadoop_fs
+
+    class Failing:
+        def __init__(self, fs, at):
+            self.fs, self.left = fs, at
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            self.left -= 1
+            return False if self.left == 0 else self.fs.rename(a, b)
+
+    for step in (1, 2, 3):
+        out = sinks.write_framed_csv(spark.range(3).select("id"), os.path.join(tmp_dir, f"x{step}"), ["id"], ["id"], True)
+        want = _lines(out)
+        failing = {}
+
+        def fs(spark, path, step=step, failing=failing):
+            found, p, jvm = real(spark, path)
+            if path == dest:
+                found = failing.setdefault("fs", Failing(found, step))
+            return found, p, jvm
+
+        monkeypatch.setattr(sinks, "_hadoop_fs", fs)
+        with pytest.raises(OSError, match="publish failed"):
+            sinks.publish(spark, out, dest, True)
+        monkeypatch.setattr(sinks, "_hadoop_fs", real)
+        assert _lines(dest) == ["old"] and _lines(out) == want
+    sinks.publish(spark, out, dest, True)
+    assert _lines(dest) == want and not [f for f in os.listdir(tmp_dir) if ".new-" in f or ".old-" in f]
+
+
+def test_tables_of_another_schema_or_mode_are_refused(spark):
+    db = _db(spark)
+    sinks.ensure_table(spark, f"{db}.dim", schemas.DIM_CARRIER)
+    with pytest.raises(ValueError, match="other columns"):
+        sinks.ensure_table(spark, f"{db}.dim", schemas.DIM_ROUTE)
+    spark.sql(f"CREATE TABLE {db}.plain (a INT, d STRING) USING parquet PARTITIONED BY (d)")
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        sinks.overwrite_partition(spark.range(1).select(F.col("id").cast("int").alias("a")), f"{db}.plain", {"d": "x"})
+
+
+def test_a_quote_in_a_location_stays(spark, tmp_dir):
+    db = _db(spark)
+    loc = os.path.join(tmp_dir, "it's here")
+    sinks.ensure_table(spark, f"{db}.dim", schemas.DIM_CARRIER, location=loc)
+    d = spark.createDataFrame([], schemas.DIM_CARRIER)
+    sinks.overwrite_table(d, f"{db}.dim")
+    assert os.path.isdir(loc)

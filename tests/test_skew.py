@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargomart.operators.aggregates import duplicate_keys
-from cargomart.operators.joins import DimSpec, enrich_latest, orphan_rows, star_join
+from cargomart.operators.joins import DimSpec, enrich_latest, key_presence, orphan_rows, star_join
 from cargomart.operators.windows import latest_per_key
 
 N = 60_000
@@ -63,7 +63,7 @@ def test_enrich_latest_splits_hot_key(spark, facts, skew_conf):
     events = facts.select("shipment_id", F.col("trans_dt").alias("event_dt"), F.col("id").alias("ts"),
                           F.col("id").cast("string").alias("ev"))
     out = enrich_latest(facts, events, [("shipment_id", "shipment_id"), ("trans_dt", "event_dt")],
-                        ["ts"], {"ev": "last_ev"}, broadcast=False)
+                        ["ts"], {"ev": "last_ev"})
     plan = final_plan(out)
     assert "SortMergeJoin" in plan and "skew=true" in plan
     assert out.count() == N  # left cardinality kept, no row dropped or duplicated
@@ -86,3 +86,11 @@ def test_orphans_hot_key(spark, facts):
     hot = facts.where("carrier_id = 'C0'").count()
     assert hot >= N // 3
     assert orphan_rows(facts, dim, "carrier_id", "carrier_id").where("carrier_id = 'C0'").count() == hot
+
+
+def test_key_presence_splits_a_hot_key(spark, facts, skew_conf):
+    keys = spark.range(0, 50, 2).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("k"))
+    out = key_presence(facts, keys.unionByName(keys), "carrier_id", "k", "there", max_rows=10)
+    plan = final_plan(out)
+    assert "BroadcastHashJoin" not in plan and "skew=true" in plan
+    assert out.count() == N and out.where("there").count() == facts.where("cast(substr(carrier_id, 2) as int) % 2 = 0").count()

@@ -4,6 +4,9 @@ decimals NULL, partition column kept as STRING."""
 import os
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from cargomart import schemas
 from cargomart.sources.delimited import read_delimited, write_delimited
 from tests import fixtures as fx
@@ -17,15 +20,15 @@ def _write(path, lines):
 
 def test_read_partitioned_tsv(spark, tmp_dir):
     cols = [f.name for f in schemas.SRC_SHIPMENTS.fields[:-1]]
-    row = ['"SHIP1', "", " NYC01 ", "LAX02", "CRR001", "RT001", "RAW", "DELIVERED", "EXPRESS", "WEB", "C1",
+    row = ['"ship', "", " GDN ", "HEL", "nord", "gulf", "RAW", "DELIVERED", "BULK", "DESK", "c-1",
            "12.50", "", "2.555", "abc", "2026-05-10", "2026-05-15", "", "SYS"]
     _write(os.path.join(tmp_dir, "trans_dt=2026-05-14", "part-0.tsv"), ["\t".join(cols), "\t".join(row)])
     df = read_delimited(spark, tmp_dir, schemas.SRC_SHIPMENTS)
     r = df.first()
     assert df.count() == 1  # header skipped
-    assert r["shipment_id"] == '"SHIP1'  # a leading quote is data
+    assert r["shipment_id"] == '"ship'  # a leading quote is data
     assert r["tracking_number"] is None and r["delivery_dt"] is None  # empty field -> NULL
-    assert r["origin_facility_cd"] == " NYC01 "  # spaces kept
+    assert r["origin_facility_cd"] == " GDN "  # spaces kept
     assert r["weight_kg"] == Decimal("12.50") and r["volume_cbm"] is None
     assert r["declared_value"] == Decimal("2.56")  # rounded to the column scale
     assert r["shipping_charge"] is None  # bad decimal -> NULL
@@ -67,6 +70,22 @@ def test_landing_table_feeds_ingest(spark, tmp_dir):
     refresh_partitions(spark, t.src_shipments)
     src = spark.table(t.src_shipments)
     assert src.where("trans_dt = '2026-05-14'").count() == 9
-    assert src.where("shipment_id = 'SHIP00008'").first()["tracking_number"] is None
+    assert src.where("shipment_id = 'untracked'").first()["tracking_number"] is None
     r = jobs.ingest_day(spark, p)
     assert (r["src_cnt"], r["stg_cnt"]) == (9, 4)
+
+
+def test_only_a_newline_ends_a_line(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "a.tsv"), ["k\tv", "1\tone\rtwo", "2\t", "3\tthree"])
+    schema = schemas._schema(("k", schemas.S), ("v", schemas.S))
+    rows = sorted(tuple(r) for r in read_delimited(spark, tmp_dir, schema).collect())
+    assert rows == [("1", "one\rtwo"), ("2", None), ("3", "three")]
+
+
+@pytest.mark.parametrize("cell", ["a\tb", "a\nb", "a\rb"])
+def test_a_cell_that_breaks_the_format_fails_the_write(spark, tmp_dir, cell):
+    df = spark.createDataFrame([("1", cell)], schemas._schema(("k", schemas.S), ("v", schemas.S)))
+    with pytest.raises(Exception, match="separator or a line end"):
+        write_delimited(df, os.path.join(tmp_dir, "x"))
+    write_delimited(df.withColumn("v", F.lit('"a "')), os.path.join(tmp_dir, "y"))
+    assert read_delimited(spark, os.path.join(tmp_dir, "y"), df.schema).first()["v"] == '"a "'

@@ -17,11 +17,6 @@ from cargomart.functions.predicates import all_of, is_present
 from cargomart.operators.windows import latest_per_key
 
 
-def count_rows(df: DataFrame) -> int:
-    """Number of rows (an action; Parquet answers it from footers)."""
-    return df.count()
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str], present: Sequence[str] = ()) -> DataFrame:
     """Keys that occur more than once, with their count ``cnt``.
 

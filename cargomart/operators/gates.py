@@ -22,6 +22,7 @@ from cargomart.functions.predicates import all_of, is_present
 from cargomart.operators.aggregates import duplicate_keys
 from cargomart.operators.sinks import TRAILER_PREFIX, append_rows, part_files
 from cargomart.schemas import EXPORT_LOG
+from cargomart.sources.catalog import rows_to_df
 
 
 class GateError(RuntimeError):
@@ -211,7 +212,7 @@ def audited(
 
     def write(status: str, cnt: int, message: str) -> None:
         row = [(job_name, run_dt, export_month, export_file, int(cnt), status, message, datetime.now())]
-        df = spark.createDataFrame(row, EXPORT_LOG)
+        df = rows_to_df(spark, row, EXPORT_LOG)
         append_rows(df.withColumn("error_message", truncate_text("error_message")), log_table)
 
     try:

@@ -155,7 +155,3 @@ def pad_to(df: DataFrame, schema: StructType) -> DataFrame:
         f"CAST({'`' + f.name + '`' if f.name in have else 'NULL'} AS {_sql_type(f.dataType)}) AS `{f.name}`"
         for f in schema.fields
     ])
-
-
-def without(schema: StructType, *names: str) -> StructType:
-    return StructType([f for f in schema.fields if f.name not in names])

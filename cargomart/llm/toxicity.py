@@ -200,8 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Adds ``score`` (0 for a text without words; null text: empty) and
     ``offending``, the sentences whose own score reaches the threshold, as
-    (start, end, score) in code points from their first word to their last."""
+    (start, end, score) in code points from their first word to their last;
+    columns of these names are replaced.  No row is dropped or merged."""
     tune(docs.sparkSession)
+    docs = docs.drop("score", "offending")
     names = docs.columns
 
     def run(batches):

@@ -351,7 +351,7 @@ _SLIM = "shipment_id, carrier_id, record_type, declared_value, trans_dt, substr(
 _NIL = "shipment_id, tracking_number, origin_facility_cd, destination_facility_cd, carrier_id, route_id, record_type, " \
        "shipment_status_code, service_level, booking_channel, customer_id, source_system_cd, pickup_dt, " \
        "expected_delivery_dt, delivery_dt, trans_dt"
-DAYS = ("1996-12-03", "1996-12-04")
+DAYS = ("1996-12-06", "1996-12-08")
 _DAY_LIST = ", ".join(f"'{x}'" for x in DAYS)
 
 ORACLE |= {

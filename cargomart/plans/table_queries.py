@@ -26,7 +26,7 @@ from cargomart.sources.catalog import read_table, refresh_partitions
 from cargomart.sources.delimited import ensure_landing_table, write_delimited
 
 MIN_VALUE = Decimal("10000.00")
-DAYS = ("1996-12-03", "1996-12-04")
+DAYS = ("1996-12-06", "1996-12-08")
 
 
 def _database(spark: SparkSession, query: str) -> str:
@@ -121,7 +121,7 @@ def q_gate_reports(spark, d):
 def _landed(spark: SparkSession, d: str, query: str) -> RunParams:
     """Landing tables of the whole roles, and empty targets."""
     db = _database(spark, query)
-    p = RunParams(run_dt="1996-12-05", landing_db=db, uc_db=db, dim_db=db,
+    p = RunParams(run_dt="1996-12-09", landing_db=db, uc_db=db, dim_db=db,
                   min_declared_value=MIN_VALUE, run_stamp=td.RUN_STAMP)
     roles = {
         "src_shipments": td.src_shipments, "src_shipment_events": td.shipment_day_events,

@@ -12,8 +12,10 @@
    confirmed on the full sets.  Confirmed links make components.
 4. *The rest.*  In buckets that still hold several components, every node that
    isn't in the bucket's largest one is held against all nodes of the others.
-   A pair is only made if its estimate and an exact bound allow a link: a
-   shingle that stands in no other set can't be shared.  So links between
+   A pair is only made if its estimate and exact bounds allow a link: a
+   shingle that stands in no other set can't be shared, and sets differ in at
+   least as many shingles as their parity sketches (for each of 1024 places,
+   whether an odd number of shingles falls there) differ in places.  So links between
    components are found, however many copies a bucket holds, and pairs within
    a component never are.
 
@@ -40,6 +42,8 @@ BANDS, ROWS = 25, 5
 #: A pair is held against the full sets if its estimate is at most so many
 #: standard errors below the threshold.
 ERRORS = 6
+#: Places of a parity sketch.
+PLACES = 1024
 #: Bits of a minimum below the highest, which are near 0 in a minimum.
 _SHIFT = np.uint64(20)
 
@@ -156,8 +160,18 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set in 64-bit integers."""
+    odd = np.bincount((found % np.uint64(PLACES)).astype(np.int64), minlength=PLACES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def _odd_places(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(PLACES // 64)), F.lit(0))
+
+
 def _full_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of nodes (node, doc_id, h1, h2), from one document each."""
+    """(node, shingles, odd), the set and its parity sketch, of nodes (node, doc_id, h1, h2), from one document each."""
     names = ("node", "h1", "h2", "text")
 
     def run(batches):
@@ -168,12 +182,13 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
                 for i, s in enumerate(sets(texts, n), at):
                     # Rows of one doc_id may have different texts.
                     if (_checksum(s, 1), _checksum(s, 2)) == (h1[i], h2[i]):
-                        keep.append((node[i], s.tobytes()))
-                cols = list(zip(*keep)) or [[], []]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["node", "shingles"])
+                        keep.append((node[i], s.tobytes(), parity(s).view(np.int64)))
+                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+                cols = [pa.array(c, t) for c, t in zip(list(zip(*keep)) or [[], [], []], kinds)]
+                yield pa.RecordBatch.from_arrays(cols, names=["node", "shingles", "odd"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("_d"), "text")
-    found = nodes.join(texts, F.col("doc_id").eqNullSafe(F.col("_d"))).select(*names).mapInArrow(run, "node long, shingles binary")
+    found = nodes.join(texts, F.col("doc_id").eqNullSafe(F.col("_d"))).select(*names).mapInArrow(run, "node long, shingles binary, odd array<long>")
     return found.dropDuplicates(["node"])
 
 
@@ -186,7 +201,7 @@ def _unshared(full: DataFrame, nodes: DataFrame) -> DataFrame:
             node = np.repeat(batch.column("node").to_numpy(), [len(s) for s in own])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(node)], names=["shingle", "node"])
 
-    each = full.join(nodes, "node", "left_semi").mapInArrow(run, "shingle long, node long")
+    each = full.select("node", "shingles").join(nodes, "node", "left_semi").mapInArrow(run, "shingle long, node long")
     alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("unshared"))
 
@@ -244,14 +259,15 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
     about = (
         nodes.join(there, "node", "left_semi")
         .join(_unshared(full, there), "node", "left")
-        .select("node", F.col("n_shingles").alias("size"), (F.col("n_shingles") - F.coalesce("unshared", F.lit(0))).alias("shared"), "sig")
+        .join(full.select("node", "odd"), "node")
+        .select("node", F.col("n_shingles").alias("size"), (F.col("n_shingles") - F.coalesce("unshared", F.lit(0))).alias("shared"), "sig", "odd")
         # A node whose unshared shingles alone keep it below has no link.
         .where(100 * F.col("shared") >= percent * F.col("size"))
     )
     sides = written(open_.join(about, "node"), "sides")
     left = sides.where("root <> main")
-    left = left.select("key", *[F.col(c).alias(f"l_{c}") for c in ("node", "root", "main", "size", "shared", "sig")])
-    right = sides.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "root", "size", "shared", "sig")])
+    left = left.select("key", *[F.col(c).alias(f"l_{c}") for c in ("node", "root", "main", "size", "shared", "sig", "odd")])
+    right = sides.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "root", "size", "shared", "sig", "odd")])
     both = F.least("l_shared", "r_shared")
     rest = (
         left.join(
@@ -260,7 +276,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
             & (F.col("l_root") != F.col("r_root"))
             & ((F.col("r_root") == F.col("l_main")) | (F.col("l_node") < F.col("r_node")))
             & (100 * both >= percent * (F.col("l_size") + F.col("r_size") - both))
-            & (estimate("l_sig", "r_sig") >= least),
+            & (estimate("l_sig", "r_sig") >= least)
+            & ((100 + percent) * _odd_places("l_odd", "r_odd") <= (100 - percent) * (F.col("l_size") + F.col("r_size"))),
         )
         .select(F.col("l_node").alias("u"), F.col("r_node").alias("v"))
         .distinct()

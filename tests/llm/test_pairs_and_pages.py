@@ -92,6 +92,16 @@ def test_estimates_are_near_the_similarity():
         assert abs(estimate - share / (2000 - share)) < 0.2
 
 
+def test_parity_sketches_never_differ_in_more_places_than_the_sets():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    for _ in range(200):
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 900))) for _ in range(2))
+        apart = int(np.bitwise_count(minhash.parity(a) ^ minhash.parity(b)).sum())
+        assert apart <= len(np.setxor1d(a, b)) and (apart - len(np.setxor1d(a, b))) % 2 == 0
+    assert not minhash.parity(pool[:0]).any()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components_are_those_of_the_links(spark, seed):
     rng = random.Random(seed)

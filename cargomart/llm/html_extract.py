@@ -318,7 +318,10 @@ class _Layout:
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, layouts: int = LAYOUTS) -> Chain:
     """The field for a table's pages.  At most ``sample`` pages come to the
     driver; without any text, layouts are filled with stand-in words."""
-    picked = pages.where(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id").select("html").limit(sample)
+    ids = pages.where("html is not null and page_id is not null").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    # Ids are picked first: each task would send the driver as many whole pages.
+    picked = pages.where(F.col("page_id").isin([r[0] for r in ids.collect()])).where("html is not null")
+    picked = picked.orderBy("page_id", "html").select("html").limit(sample)
     texts = [b[0] for r in picked.collect() for b in blocks(r["html"]) if len(b[0].split()) >= 8]
     rng = random.Random(11)
     if len(texts) < 20:

@@ -137,11 +137,8 @@ def _proposed(rule: Rule, nth: int, text: Column) -> Column:
     return F.when(_needed(rule, text), spans).otherwise(empty)
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """Adds ``spans`` to rows with a ``text`` (null: empty): all spans by start
-    and kind.  A span that the method adds is dropped if one of the same kind
-    from the base overlaps it.  Rows with no text have an empty array; there is
-    no limit on a text's spans."""
+def _with_spans(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with all spans as a column ``name``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     raw = docs
     for k, rule in enumerate(RULES):
@@ -149,11 +146,19 @@ def find(docs: DataFrame) -> DataFrame:
     base = F.concat(*[F.col(f"_spans{k}") for k, r in enumerate(RULES) if r.base])
     more = F.concat(*[F.col(f"_spans{k}") for k, r in enumerate(RULES) if not r.base])
     clash = lambda x: F.exists(base, lambda y: (y["kind"] == x["kind"]) & (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    return raw.withColumn("spans", F.array_sort(F.concat(base, F.filter(more, lambda x: ~clash(x))))).drop(
+    return raw.withColumn(name, F.array_sort(F.concat(base, F.filter(more, lambda x: ~clash(x))))).drop(
         *[f"_spans{k}" for k in range(len(RULES))]
     )
 
 
+def find(docs: DataFrame) -> DataFrame:
+    """Adds ``spans`` to rows with a ``text`` (null: empty): all spans by start
+    and kind.  A span that the method adds is dropped if one of the same kind
+    from the base overlaps it.  Rows with no text have an empty array; there is
+    no limit on a text's spans."""
+    return _with_spans(docs, "spans")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, numbers of base spans by kind, and the spans as text."""
     shown = lambda spans: F.array_join(
@@ -166,22 +171,40 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def _replaced(rule: Rule, text: Column) -> Column:
-    def put(part: Column, match: Column) -> Column:
-        keep = _valid(rule, match) & (F.lit(rule.base) | (_score(rule, part) >= MIN_SCORE))
-        return F.concat(part, F.when(match.isNull(), "").when(keep, f"<{rule.kind.upper()}>").otherwise(match))
+def _regions(spans: Column) -> Column:
+    """Spans in order, those that overlap merged into one.  Its kind is that of
+    the first base span in it, or else of its longest."""
 
-    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    return F.array_join(F.zip_with(F.split(text, rule.pattern, -1), found, put), "")
+    def step(acc: Column, x: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        size = x["end"] - x["start"]
+        new = F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"), size.alias("size"))
+        wins = ~last["base"] & (x["base"] | (size > last["size"]))
+        kept = lambda f, value: F.when(wins, value).otherwise(last[f]).alias(f)
+        both = F.struct(
+            last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
+            kept("kind", x["kind"]), kept("base", x["base"]), kept("size", size),
+        )
+        joins = (F.size(acc) > 0) & (x["start"] < last["end"])
+        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(both))).otherwise(F.concat(acc, F.array(new)))
+
+    return F.aggregate(spans, F.lit([]).cast("array<struct<start:int,end:int,kind:string,base:boolean,size:int>>"), step)
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """Texts with each confirmed span replaced by its kind in angle brackets,
-    rule by rule, and ``n_chars`` of the new text where that column exists.
-    Null texts stay null."""
-    names, text = docs.columns, F.col("text")
-    for rule in sorted(RULES, key=lambda r: r.base):
-        docs = docs.withColumn("text", F.when(text.isNotNull() & _needed(rule, text), _replaced(rule, text)).otherwise(text))
+    """Texts with each span that ``find`` has replaced by its kind in angle
+    brackets (overlapping spans by one), and ``n_chars`` of the new text where
+    that column exists.  Null texts stay null."""
+    names, text, regions = docs.columns, F.col("text"), F.col("_regions")
+    docs = _with_spans(docs, "_found").withColumn("_regions", _regions(F.col("_found")))
+
+    def put(x: Column, i: Column) -> Column:
+        at = F.when(i > 0, F.get(regions, i - 1)["end"]).otherwise(F.lit(0))
+        return F.concat(F.substring(text, at + 1, x["start"] - at), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
+
+    tail = F.substring(text, F.element_at(regions, -1)["end"] + 1, F.length(text))
+    new = F.concat(F.array_join(F.transform(regions, put), ""), tail)
+    docs = docs.withColumn("text", F.when(text.isNotNull() & (F.size(regions) > 0), new).otherwise(text))
     if "n_chars" in names:
         docs = docs.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"]))
     return docs.select(*[f"`{c}`" for c in names])

@@ -111,6 +111,24 @@ def test_redaction_leaves_the_rest_as_it_is(docs, no_docs):
     assert pii.redact(docs).columns == docs.columns and pii.redact(no_docs).count() == 0
 
 
+def test_redaction_leaves_nothing_of_a_span(spark):
+    texts = [
+        "call +49 30 123 456 78 or +55 11 912 345 678.", "\U0001F600 +49 30 123 456 78\U0001F600x@y.zz", "DE89 3704 0044 0532 0130 00",
+        "GB33 4111 1111 1111 1111 11", "+4111111111111111 and 1.2.3.4@host.org, +1 (415) 555-0123 +1 415 555 0123", *ODD,
+    ]
+    rng = random.Random(9)
+    bits = ["+49 30 123 456 78", "4111 1111 1111 1111", "x@1.2.3.4", "078-05-1120", "ssn ", " ", "-", "é", "7", "DE89 3704 0044 0532 0130 00", "+"]
+    texts += ["".join(rng.choices(bits, k=rng.randint(1, 6))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.find(df).collect()}
+    got = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert got[0] == "call <PHONE> or <PHONE>." and got[1].startswith("\U0001F600 <PHONE>\U0001F600<EMAIL>")
+    for i, text in enumerate(texts):
+        gone = {k for x in spans[i] for k in range(x["start"], x["end"])}
+        left = re.split("<(?:EMAIL|IP|CARD|PHONE|IBAN|SSN)>", got[i])
+        assert "".join(left) == "".join(c for k, c in enumerate(text) if k not in gone), text[:200]
+
+
 def test_fingerprints_follow_the_documents(docs, no_docs):
     got = simhash.along(docs).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "near_edited", "near_next").collect()
     order = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()), reverse=True)

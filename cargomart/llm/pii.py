@@ -1,5 +1,5 @@
 """Personal data: regular expressions propose spans, checksums confirm them,
-and context words before a span adjust its score.
+and context words on either side of a span adjust its score.
 
 DataFrame functions only, one pass over the texts and no shuffle.  The
 expressions give a text's parts between matches (split) and the matches; the
@@ -36,10 +36,15 @@ PHONE_WITHIN = r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 
-#: Characters before a span, and after the match before it, in which context
-#: words count, and what they add.
+#: Characters on either side of a span, up to the next match of its rule, in
+#: which context words count, and what they add.
 CONTEXT_CHARS = 48
 CONTEXT_SCORE = 0.25
+#: What stands between the members of a list: no word at all, or a separator
+#: within CONTEXT_CHARS, or one line break between rows of cells.
+BARE = r"^[^\p{L}\p{N}]*+$"
+SEPARATOR = r"(?i)[,;/|&\t\r\n]|\b(?:and|or|und|oder|et|ou|y|o)\b"
+ROWS = r"^(?:[^\n|;,\t]*+[|;,\t][^\n]*+\n[^\n]*+|[^\n]*+\n[^\n|;,\t]*+[|;,\t][^\n]*+)$"
 #: Added spans below this score are dropped; base spans stay.
 MIN_SCORE = 0.5
 
@@ -106,34 +111,49 @@ def _needed(rule: Rule, text: Column) -> Column:
     return F.contains(text, F.lit(rule.needs)) if rule.needs else text.rlike("[0-9]")
 
 
-def _score(rule: Rule, part: Column) -> Column:
-    """Score of a span that follows ``part``."""
-    before = F.right(part, F.lit(CONTEXT_CHARS))
-    return F.lit(rule.score) + F.when(before.rlike(rule.context), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
+def _linked(part: Column) -> Column:
+    """Whether the matches before and after ``part`` stand in one list."""
+    near = (F.length(part) <= CONTEXT_CHARS) & part.rlike(SEPARATOR)
+    return part.rlike(BARE) | near | part.rlike(ROWS)
 
 
 def _proposed(rule: Rule, nth: int, text: Column) -> Column:
     """Spans of a rule's valid matches, in order: start and end (code points,
-    end exclusive), order and name of the kind, score."""
+    end exclusive), order and name of the kind, score.  A context word next to
+    one member of a list counts for all of them."""
     parts = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    # The part after the last match has none.
+    pairs = F.zip_with(parts, found, lambda p, m: F.struct(
+        F.length(p).alias("gap"), m.alias("match"), (m.isNotNull() & _valid(rule, m)).alias("valid"), _linked(p).alias("linked"),
+        F.right(p, F.lit(CONTEXT_CHARS)).rlike(rule.context).alias("before"), F.left(p, F.lit(CONTEXT_CHARS)).rlike(rule.context).alias("after"),
+    ))
+    empty = F.lit([]).cast("array<struct<start:int,order:int,end:int,kind:string,score:double,base:boolean>>")
+
+    def closed(acc: Column, named: Column) -> Column:
+        """Spans, with those of the list that ends here."""
+        score = F.least(F.lit(rule.score) + F.when(named, F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0)), F.lit(1.0))
+        listed = F.transform(acc["list"], lambda x: x.withField("score", score))
+        return F.when(F.lit(rule.base) | (score >= MIN_SCORE), F.concat(acc["spans"], listed)).otherwise(acc["spans"])
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["part"])
-        end = start + F.length(x["match"])
-        score = _score(rule, x["part"])
+        start = acc["at"] + x["gap"]
+        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
         span = F.struct(
             start.alias("start"), F.lit(nth).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"),
-            F.least(score, F.lit(1.0)).alias("score"), F.lit(rule.base).alias("base"),
+            F.lit(rule.score).alias("score"), F.lit(rule.base).alias("base"),
         )
-        keep = _valid(rule, x["match"]) & (F.lit(rule.base) | (score >= MIN_SCORE))
+        named = acc["named"] | ((acc["at"] > 0) & x["after"])
+        goes_on = x["match"].isNotNull() & x["linked"]
+        listed = F.when(goes_on, acc["list"]).otherwise(empty)
         return F.struct(
-            end.alias("at"), F.when(keep, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans")
-        )
+            end.alias("at"), F.when(goes_on, acc["spans"]).otherwise(closed(acc, named)).alias("spans"),
+            F.when(x["valid"], F.concat(listed, F.array(span))).otherwise(listed).alias("list"),
+            ((goes_on & named) | x["before"]).alias("named"),
+        )
 
-    pairs = F.zip_with(F.slice(parts, F.lit(1), F.size(found)), found, lambda p, m: F.struct(p.alias("part"), m.alias("match")))
-    empty = F.lit([]).cast("array<struct<start:int,order:int,end:int,kind:string,score:double,base:boolean>>")
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
+    first = F.struct(F.lit(0).alias("at"), empty.alias("spans"), empty.alias("list"), F.lit(False).alias("named"))
+    spans = F.aggregate(pairs, first, step, lambda acc: acc["spans"])
     return F.when(_needed(rule, text), spans).otherwise(empty)
 
 

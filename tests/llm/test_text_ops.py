@@ -111,6 +111,26 @@ def test_redaction_leaves_the_rest_as_it_is(docs, no_docs):
     assert pii.redact(docs).columns == docs.columns and pii.redact(no_docs).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text, n",
+    [
+        ("SSN: 123-45-6789, 234-56-7890, 345-67-8901", 3),
+        ("numbers 123-45-6789 and 234-56-7890 (SSN)", 2),
+        ("078-05-1120 (SSN)", 1),
+        ("Name | SSN\nAnn Example | 123-45-6789\nBob | 234-56-7890\n" + "Cy " * 40 + "| 345-67-8901", 3),
+        ("ssn\n123-45-6789\n234-56-7890", 2),
+        ("\U0001F600 123-45-6789 \U0001F600 social security; 234-56-7890", 2),
+        ("parts 123-45-6789, 234-56-7890", 0),
+        ("123-45-6789" + " x" * 40 + " ssn", 0),
+    ],
+)
+def test_context_counts_on_both_sides_and_along_a_list(spark, text, n):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = pii.find(df).first()["spans"]
+    assert [text[x["start"] : x["end"]] for x in spans if x["kind"] == "ssn"] == re.findall("[0-9]{3}-[0-9]{2}-[0-9]{4}", text)[:n]
+    assert pii.redact(df).first()["text"].count("<SSN>") == n
+
+
 def test_redaction_leaves_nothing_of_a_span(spark):
     texts = [
         "call +49 30 123 456 78 or +55 11 912 345 678.", "\U0001F600 +49 30 123 456 78\U0001F600x@y.zz", "DE89 3704 0044 0532 0130 00",

@@ -7,8 +7,9 @@ code at most m * (r + 1) - 1 bits away has been seen, as one of its segments is
 at most r bits away; a query is done once its k-th verified distance lies
 within that.
 
-Codes that stand often are one index entry with their number and their k
-smallest ids, so neither a common vector nor ties make long lists.
+Codes that stand often are one index entry with their number and their k + 1
+smallest ids, so neither a common vector nor ties make long lists.  As a query
+leaves out the rows of its own id, ids are distinct and have their numbers.
 """
 
 from __future__ import annotations
@@ -55,14 +56,15 @@ def _value(code: Column, first: int, width: int) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _smallest(coded: DataFrame, k: int) -> DataFrame:
-    """(code, n, ids): each distinct code, its number and its k smallest ids in order."""
-    salted = coded.withColumn("_salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+def _smallest(counted: DataFrame, k: int) -> DataFrame:
+    """(code, n, ids): each distinct code, its number of rows and its k smallest
+    distinct ids in order, with their numbers; of (code, vec_id, c)."""
+    salted = counted.withColumn("_salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
     nth = F.row_number().over(Window.partitionBy("code", "_salt").orderBy("vec_id"))
     some = salted.withColumn("_n", nth).where(F.col("_n") <= k)
     # At most k * SALTS rows of a code are left.
-    ids = some.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, k).alias("ids"))
-    return coded.groupBy("code").agg(F.count(F.lit(1)).alias("n")).join(ids, "code")
+    ids = some.groupBy("code").agg(F.slice(F.array_sort(F.collect_list(F.struct("vec_id", "c"))), 1, k).alias("ids"))
+    return counted.groupBy("code").agg(F.sum("c").alias("n")).join(ids, "code")
 
 
 def top_k(coded: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) -> DataFrame:
@@ -73,7 +75,8 @@ def top_k(coded: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) ->
     empty result.
 
     Each round writes its verified candidates to the shared folder."""
-    index = written(_smallest(coded, k + 1), "codes")
+    counted = written(coded.groupBy("code", "vec_id").agg(F.count(F.lit(1)).alias("c")), "ids")
+    index = written(_smallest(counted, k + 1), "codes")
     rows = index.count()
     asked = written(queries.select(F.col("vec_id").alias("query_id"), F.col("code").alias("q")).distinct(), "queries")
     distance = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))).cast("int")
@@ -82,12 +85,21 @@ def top_k(coded: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) ->
         "code", F.explode(F.array(*[F.struct(F.lit(i).alias("_s"), _value(F.col("code"), *p).alias("_v")) for i, p in enumerate(parts)])).alias("e")
     ).select("code", "e._s", "e._v")
 
+    # How many rows of a query's own id there are at each distance: mostly one
+    # at 0.  Queries of one code that agree in it are looked at once.
+    mine = asked.join(counted.withColumnRenamed("vec_id", "query_id"), "query_id").groupBy("query_id", "q", distance("q", "code").alias("at"))
+    mine = mine.agg(F.sum("c").alias("c")).groupBy("query_id", "q").agg(F.array_sort(F.collect_list(F.struct("at", "c"))).alias("own"))
+    none = F.lit([]).cast("array<struct<at:int,c:bigint>>")
+    needs = written(asked.join(mine, ["query_id", "q"], "left").select("q", F.coalesce("own", none).alias("own")).distinct(), "needs")
+
     def kth(found: DataFrame) -> DataFrame:
-        """(query, the distance at which it has k others), of queries that have them."""
-        per = found.groupBy("q", "distance").agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("q").orderBy("distance"))
-        # One more: a code's own row is among its answers.
-        return per.withColumn("_upto", upto).where(F.col("_upto") >= k + 1).groupBy("q").agg(F.min("distance").alias("bound"))
+        """(query, the distance at which it has k others; null: it hasn't)."""
+        per = found.groupBy("q", "distance").agg(F.sum("n").alias("n")).join(needs, "q")
+        own = F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + F.when(x["at"] == F.col("distance"), x["c"]).otherwise(0))
+        upto = F.sum(F.col("n") - own).over(Window.partitionBy("q", "own").orderBy("distance"))
+        reached = per.withColumn("_upto", upto).groupBy("q", "own").agg(F.min(F.when(F.col("_upto") >= k, F.col("distance"))).alias("b"))
+        # A code's queries go on until the last of them has k.
+        return reached.groupBy("q").agg(F.when(F.count("b") == F.count(F.lit(1)), F.max("b")).alias("bound"))
 
     open_ = asked.select("q", F.lit(bits).alias("bound")).distinct()
     found = None
@@ -112,11 +124,12 @@ def top_k(coded: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64) ->
         )
         if open_.isEmpty():
             break
-    listed = found.join(index.select("code", "ids"), "code").select("q", "distance", F.explode("ids").alias("vec_id"))
+    listed = found.join(index.select("code", "ids"), "code").select("q", "distance", F.explode("ids").alias("_id"))
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return (
-        asked.join(listed, "q")
+        asked.join(listed.select("q", "distance", "_id.*"), "q")
         .where("vec_id <> query_id")
+        .withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.least("c", F.lit(k).cast("long")))))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "distance")

@@ -132,6 +132,23 @@ def test_nearest_codes_are_those_of_all_pairs(spark, n, k):
     assert sorted(map(tuple, got)) == sorted(plain_top(codes, queries, k))
 
 
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_nearest_codes_where_ids_are_repeated(spark, k):
+    rng = np.random.default_rng(k)
+    codes = [(i, int(x)) for i, x in enumerate(rng.integers(-(1 << 63), 1 << 63, 200))]
+    # Equal rows of one id, of another after it, an id of several codes, and a far one.
+    codes += [(100, codes[100][1])] * 11 + [(101, codes[100][1])] * 2 + [(3, codes[100][1] ^ 1)] * 4 + [(7, codes[100][1] ^ 6), (7, codes[50][1])] * 3
+    queries = [codes[i] for i in (100, 101, 3, 50, 9)] + [(500, codes[100][1]), (101, codes[100][1])]
+    df, q = (spark.createDataFrame(x, "vec_id long, code long") for x in (codes, queries))
+    got = search.top_k(df, q, k).select("query_id", "rank", "vec_id", "distance").collect()
+    want = []
+    for query in sorted({i for i, _ in queries}):
+        own = {c for i, c in queries if i == query}
+        near = sorted((bin((x ^ c) & ((1 << 64) - 1)).count("1"), i) for x in own for i, c in codes if i != query)[:k]
+        want += [(query, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 6 * k
+
+
 def test_vectors_without_a_code_are_left_out(spark):
     ok = [1.0, -1.0] * 32
     rows = [(1, ok), (2, None), (3, ok[:9]), (4, [None, *ok[1:]]), (5, [float("nan"), *ok[1:]]), (None, ok), (6, [*ok, 9.0])]

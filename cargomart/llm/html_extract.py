@@ -29,10 +29,15 @@ SAMPLE_PAGES, LAYOUTS = 120, 500
 
 #: What HTML says of its elements.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr "
+    # Formulas.
+    "annotation math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style noscript template iframe object svg math datalist".split())
+HIDDEN = frozenset("head title script style noscript template iframe svg datalist".split())
+#: What may stand in a head; any other element or text ends one that is open.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 #: A start tag of these ends an open paragraph.
 BLOCKS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -107,11 +112,18 @@ class _Blocks(HTMLParser):
         while at is not None and len(self.stack) > at:
             self._pop()
 
+    def _end_head(self) -> None:
+        """At what can't stand in a head, unless it is in an element there."""
+        if self.stack and self.stack[-1][0] == "head":
+            self._pop()
+
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
         if tag == "body" and self.of_tag.get("head"):
             self._close({"head"}, set())
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCKS and self.of_tag.get("p"):
             self._close({"p"}, BLOCKS - {"p"})
         if tag in SIBLINGS:
@@ -138,6 +150,8 @@ class _Blocks(HTMLParser):
             self._pop()
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         if not self.hidden:
             self.parts.append(data)
             if self.of_tag.get("a"):

@@ -211,6 +211,20 @@ def test_blocks_end_where_the_document_tree_says():
     assert " ".join(got) == "a b c d e f g h i <j" and "b c" in got
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head lang=en><title>no</title><meta charset=x><style>p{}</style><p>a<p>b", "a b"),
+        ("<head><script>x</script><noscript><img></noscript><link rel=x><template><p>no</p></template>some <b>words</b><p>c", "some words c"),
+        ("<head><title>no</title></head><body><p>a", "a"),
+        ("<head><title>no</title><article><h1>T</h1>c</article>", "T c"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds<object data=f><p>fallback</p></object>", "so x=2 holds fallback"),
+    ],
+)
+def test_text_after_an_open_head_and_formulas_are_kept(html, text):
+    assert " ".join(b[0] for b in html_extract.blocks(html)) == text
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline
 

@@ -201,7 +201,7 @@ def rows(found: list[tuple[str, frozenset[str], int]]) -> list[list[int]]:
     """Numbers of each block's features."""
     number, out = _number(), []
     for k, (text, marks, linked) in enumerate(found):
-        low = text[:400].lower()
+        low = text.lower()
         look = _look(text, linked, k / len(found), "©" in text or "copyright" in low or "all rights reserved" in low)
         hints = {m for m in marks if m.startswith("hint:")}
         names = {*marks, *look, "bias"}

@@ -225,6 +225,12 @@ def test_text_after_an_open_head_and_formulas_are_kept(html, text):
     assert " ".join(b[0] for b in html_extract.blocks(html)) == text
 
 
+def test_copyright_words_count_wherever_they_stand():
+    found = [("word " * 200 + words, frozenset(), 0) for words in ("Copyright 2024", "All rights reserved", "no more")]
+    number = html_extract._number()["copyright"]
+    assert [number in x for x in html_extract.rows(found)] == [True, True, False]
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline
 

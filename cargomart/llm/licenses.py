@@ -4,7 +4,8 @@ A template is wording with markup: ``[[ ... ]]`` is optional (and may hold
 markup itself), ``{n}`` stands for any n words at most.  Each template is
 compiled to an automaton over words; a text is accepted where all mandatory
 wording follows word for word, with optional and replaceable regions in
-between.  Case, punctuation and line breaks don't matter, as only words count.
+between.  A text that ends within a license counts from ``||`` on, by the words
+that it has; wording that goes on otherwise doesn't count.  Case, punctuation and line breaks don't matter, as only words count.
 
 Texts are turned into numbers of the templates' words on arrays; automata run
 only from places where a template's first words stand.
@@ -26,17 +27,35 @@ from .vec import ALNUM, words
 #: Phrases whose places are the base, and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Wording of public licenses and their usual notices.
+_AS_IS = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+    "merchantability fitness for a particular purpose and noninfringement in no event shall {8} be liable for any claim damages or other "
+    "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+    "other dealings in the software"
+)
+_GPL = (
+    "[[{12} is free software you can redistribute it and or modify it under the terms of the]] gnu general public license as published by the "
+    "free software foundation either version {v} of the license or at your option any later version {12} distributed in the hope that it will "
+    "be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+    "general public license for more details"
+)
+
+#: Wording of public licenses (whole short licenses, whole notices of long
+#: ones) and, after it, short notices that name a license.
 TEMPLATES = {
     "mit": (
-        "[[the]] mit license [[copyright {12}]] permission is hereby granted free of charge to any person obtaining a copy of "
-        "this software and associated documentation files the software to deal in the software without restriction including "
-        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-        "documentation files the software to deal in the software without restriction",
+        "[[[[the]] mit license [[mit]]]] [[copyright {12}]] permission is hereby granted free of charge to any person obtaining a copy of "
+        "this software and associated documentation files the software to deal in the software without restriction || including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this "
+        "permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software " + _AS_IS,
         "[[is]] licensed under [[the terms of]] the mit license",
     ),
     "apache-2": (
+        "licensed under the apache license version 2 0 [[the license]] you may not use {4} except in compliance with the license you may obtain "
+        "a copy of the license at {8} unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+        "language governing permissions and limitations under the license",
         "licensed under the apache license version 2 0 [[the license]] you may not use {4} except in compliance with the license",
         "licensed under [[the terms of]] the apache [[software]] license version 2 [[0]]",
     ),
@@ -52,37 +71,65 @@ TEMPLATES = {
     ),
     "cc-by": ("licensed under [[a]] [[the]] creative commons attribution [[{2} international]] license", "licensed under [[a]] [[the]] cc by 4 0"),
     "gpl-3": (
+        _GPL.replace("{v}", "3"),
         "licensed under [[the terms of]] the [[gnu]] general public license [[as published by the free software foundation {1}]] version 3",
         "gnu general public license as published by the free software foundation either version 3 of the license",
     ),
     "gpl-2": (
+        _GPL.replace("{v}", "2"),
         "licensed under [[the terms of]] the [[gnu]] general public license [[as published by the free software foundation {1}]] version 2",
         "gnu general public license as published by the free software foundation either version 2 of the license",
     ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
-        "conditions are met {4} redistributions of source code must retain the above copyright notice",
+        "conditions are met {4} redistributions of source code must retain the above copyright notice || this list of conditions and the "
+        "following disclaimer {1} redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution "
+        "[[[[{1}]] all advertising materials mentioning features or use of this software must display the following acknowledgement {16}]] "
+        "[[[[{1}]] neither the name of {16} may be used to endorse or promote products derived from this software without specific prior "
+        "written permission]] "
+        "this software is provided by {8} as is and any express or implied warranties including but not limited to the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed in no event shall {8} be liable for any direct indirect incidental "
+        "special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or "
+        "profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including "
+        "negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
         "[[is]] licensed under [[the terms of]] the [[{1}]] bsd {2} license",
     ),
     "isc": (
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
-        "provided that the above copyright notice and this permission notice appear in all copies",
+        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies || the software is provided as is and {8} "
+        "disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall "
+        "{8} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+        "performance of this software",
+    ),
+    "mpl-2": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this "
+        "file you can obtain one at {8}",
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+    ),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain || anyone is free to copy modify publish use compile sell or "
+        "distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any "
+        "means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in "
+        "the software to the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        "software under copyright law " + _AS_IS,
     ),
-    "mpl-2": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
-    "unlicense": ("this is free and unencumbered software released into the public domain",),
 }
 
-_TOKEN = re.compile(r"\[\[|\]\]|\{[0-9]+\}|[^\s\[\]{}]+")
+_TOKEN = re.compile(r"\[\[|\]\]|\|\||\{[0-9]+\}|[^\s\[\]{}|]+")
 
 
 @dataclass
 class Automaton:
     """States 0 to ``accept``; ``step[state]`` maps a word to next states,
     ``any`` has the states that any word leaves as well, ``free`` those that
-    are entered without a word."""
+    are entered without a word.  A text may end in a state from ``cut`` on."""
 
     label: str
     mandatory: int = 0
+    cut: int | None = None
     step: list[dict[str, int]] = field(default_factory=lambda: [{}])
     any: dict[int, int] = field(default_factory=dict)
     free: dict[int, list[int]] = field(default_factory=dict)
@@ -116,7 +163,8 @@ class Automaton:
         return out
 
     def match(self, seen: list[int], number: dict[str, int]) -> int:
-        """Words of the longest match at the start of ``seen``, or 0."""
+        """Words of the longest match at the start of ``seen``, or 0; ``seen``
+        ends with the text, unless it is longer than any match."""
         states, best = self.closure({0}), 0
         for k, w in enumerate(seen, 1):
             after = {t for s in states for v, t in self.step[s].items() if number[v] == w}
@@ -126,6 +174,8 @@ class Automaton:
                 best = k
             if not states:
                 break
+        if self.cut is not None and any(s >= self.cut for s in states):
+            best = len(seen)
         return best
 
 
@@ -140,6 +190,8 @@ def compile_template(label: str, template: str) -> Automaton:
             a.free.setdefault(now, []).append(end)
             a.free.setdefault(opened.pop(), []).append(end)
             now = end
+        elif t == "||":
+            a.cut = now
         elif t[0] == "{":
             states = [now]
             for _ in range(int(t[1:-1])):

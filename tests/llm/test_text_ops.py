@@ -233,6 +233,36 @@ def test_license_wording_with_regions(spark):
     assert got[3]["score"] > got[0]["score"] > got[4]["score"] == 0
 
 
+MIT = """MIT License\n\nCopyright (c) 2020 Some One\n
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+IN THE SOFTWARE."""
+
+
+def test_license_bodies_count_to_their_end():
+    of = lambda t: licenses._scan([t])[0][-2:]
+    whole = of(MIT + " And more text.")
+    assert whole[0] == "mit" and whole[1] > of(MIT[:700])[1] > of("licensed under the MIT License")[1] > 0
+    for old, new in (
+        ("subject to", "for good and not evil, subject to"), ("sell copies", "rent copies"), ("LIABLE FOR ANY", "LIABLE FOR SOME"),
+        (MIT[MIT.index("The above") : MIT.index("THE SOFTWARE")], ""), ("without restriction", "without restriction except war"),
+    ):
+        assert old in MIT and of(MIT.replace(old, new) + " And more text.") == ("", 0.0)
+    for label, ts in licenses.TEMPLATES.items():
+        for t in ts:
+            text = re.sub(r"\{[0-9]+\}", "x", re.sub(r"\[\[|\]\]|\|\|", "", t)) + " y z"
+            assert label in of(text)[0].split(",")
+            if "||" in t:
+                words = text.split()
+                words[len(words) // 2] += "q"
+                assert label not in of(" ".join(words))[0].split(",")
+
+
 def plain_targets(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weigh = {s: weights[i % 3] for i, s in enumerate(names)}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import bitplane, html_extract, licenses, minhash, mixing, packing, pii, search, simhash, toxicity
+from . import bitplane, collocations, html_extract, lexical, licenses, minhash, mixing, packing, pii, quality, search, simhash, toxicity
 from .common import scratch, written
 
 
@@ -77,8 +77,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality; learned from labelled documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chain = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, chain).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+        F.size(F.filter("lines", lambda p: p < quality.THRESHOLD)).alias("n_bad_lines"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every benchmark item."""
+    return lexical.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_bit_plane_tokens, op2_minhash_near_dedup, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op7_top_k_search, op8_mix_sources, op9_html_extraction, op10_toxicity)
+    for f in (op1_bit_plane_tokens, op2_minhash_near_dedup, op3_personal_data, op4_simhash, op5_best_fit_packing, op6_license_scan, op7_top_k_search, op8_mix_sources, op9_html_extraction, op10_toxicity,
+              op11_quality, op12_collocations, op13_lexical_search)
+}
+ORACLE = {
+    "op7_top_k_search": search.ORACLE, "op8_mix_sources": mixing.ORACLE, "op12_collocations": collocations.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }
-ORACLE = {"op7_top_k_search": search.ORACLE, "op8_mix_sources": mixing.ORACLE}

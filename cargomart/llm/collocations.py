@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +42,10 @@ HEAD = 1 << 18
 NAME_BYTES = 64
 #: Places of the bit table for the others (16 MB); a power of two.
 PLACES = 1 << 27
-#: A task's sparse counts, or word counts, before they are handed on.
-HELD = 1_000_000
+#: A task's sparse counts, or word counts, before they are handed on, so many rows at once.
+HELD, ROWS = 1_000_000, 250_000
+#: Groups of a language's phrases that are ranked apart at first.
+GROUPS = 64
 #: Bytes of text that are split into words at once; longer texts go on in the next chunk.
 CHUNK = 1 << 20
 
@@ -94,9 +97,9 @@ def _by_lang(batch: pa.RecordBatch) -> dict[str, list[bytes]]:
     return out
 
 
-def _rows(lang: str, names: list[bytes], counts) -> pa.RecordBatch:
+def _rows(lang: str, names, counts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+        [pa.repeat(lang, len(names)), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
         names=["lang", "phrase", "f"],
     )
 
@@ -177,78 +180,131 @@ class Tiles:
         return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
 
 
-class _Level:
-    """Numbers of one language's frequent phrases of one length in a task."""
+def _place(name: bytes, start: int) -> int:
+    """A phrase's place in the bit table, word by word."""
+    for word in name.split(b" "):
+        start = (start * 31 + zlib.crc32(word)) & (PLACES - 1)
+    return start
+
 
-    def __init__(self, lang: str, names: list[bytes], bits: np.ndarray | None):
-        self.names = list(names)
-        self.ids = dict(zip(self.names, range(len(self.names))))
-        self.lang, self.bits = lang.encode() + b"\0", bits
+class _Level:
+    """Numbers of one language's frequent phrases of one length in a worker.
+    ``before``: the level of phrases one word shorter, for all but words."""
+
+    def __init__(self, lang: str, names: list[bytes], bits: np.ndarray | None, before: _Level | None):
+        self.names, self.head = list(names), len(names)
+        self.lasts = [x.rsplit(b" ", 1)[-1] for x in names] if before else self.names
+        self.ids = dict(zip(self.names, range(self.head)))
+        self.start, self.bits = zlib.crc32(lang.encode()) & (PLACES - 1), bits
+        #: Pairs of numbers that all tasks know alike, and what they are here.
+        codes = np.array([(before.ids.get(x.rsplit(b" ", 1)[0], -1) << 32) | before.ids.get(x.split(b" ", 1)[1], -1) for x in names]
+                         if before else [], np.int64)
+        there = np.flatnonzero((codes >= 0) & ((codes & 0xFFFFFFFF) != 0xFFFFFFFF))
+        order = there[np.argsort(codes[there])]
+        self.codes, self.numbers_of = np.append(codes[order], np.iinfo(np.int64).max), np.append(order, -1)
         self.known: dict[int, int] = {}
+        self.places = self.crcs = np.zeros(0, np.int64)
 
     def number(self, name: bytes) -> int:
         """A phrase's number, or -1 if it can't be frequent."""
         got = self.ids.get(name, -1)
         if got < 0 and self.bits is not None and name != END:
-            place = zlib.crc32(self.lang + name) & (PLACES - 1)
+            place = _place(name, self.start)
             if self.bits[place >> 6] >> np.uint64(place & 63) & np.uint64(1):
                 got = self.ids[name] = len(self.names)
                 self.names.append(name)
+                if self.lasts is not self.names:
+                    self.lasts.append(name.rsplit(b" ", 1)[-1])
         return got
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
         """Of words, -1 for others."""
-        if self.bits is None:
-            return np.fromiter(map(self.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
-        return np.fromiter(map(self.number, tokens), np.int64, len(tokens))
-
-    def join(self, a: int, b: int) -> bytes:
-        """The phrase of two numbers at neighbouring places."""
-        return self.names[a] + b" " + self.names[b].rsplit(b" ", 1)[-1]
+        out = np.fromiter(map(self.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
+        if self.bits is not None:
+            for i in np.flatnonzero(out < 0).tolist():
+                out[i] = self.number(tokens[i])
+        return out
 
     def pairs(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places where this number and the next are both frequent."""
         at = np.flatnonzero((own[:-1] >= 0) & (own[1:] >= 0))
         return at, own[at], own[at + 1]
 
+    def joined(self, a: np.ndarray, b: np.ndarray) -> pa.Array:
+        """The phrases of numbers at neighbouring places."""
+        first, last = pa.array(self.names, pa.binary()), pa.array(self.lasts, pa.binary())
+        return pc.binary_join_element_wise(first.take(pa.array(a)), last.take(pa.array(b)), b" ")
+
+    def _hashed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places in the bit table of the phrases of two numbers."""
+        if len(self.places) < len(self.names):
+            more = range(len(self.places), len(self.names))
+            self.places = np.append(self.places, [_place(self.names[i], self.start) for i in more])
+            self.crcs = np.append(self.crcs, [zlib.crc32(self.lasts[i]) for i in more])
+        return (self.places[a] * 31 + self.crcs[b]) & (PLACES - 1)
+
     def next(self, own: np.ndarray, after: _Level) -> np.ndarray:
         """Numbers in the level after this one, by place."""
         at, a, b = self.pairs(own)
+        codes = a << 32 | b
+        where = np.searchsorted(after.codes, codes)
+        got = np.where(after.codes[where] == codes, after.numbers_of[where], -1)
+        # By name: what only this worker numbers, or the bit table lets through.
+        rest = (a >= self.head) | (b >= self.head)
+        if after.bits is not None and len(codes):
+            place = self._hashed(a, b)
+            rest |= (after.bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+        rest = np.flatnonzero(rest & (got < 0))
+        if len(rest):
+            found, back = np.unique(codes[rest], return_inverse=True)
+            if len(after.known) > 4 * HELD:
+                after.known.clear()
+            numbers = []
+            for code in found.tolist():
+                n = after.known.get(code)
+                if n is None:
+                    x, y = code >> 32, code & 0xFFFFFFFF
+                    n = after.known[code] = after.number(self.names[x] + b" " + self.lasts[y])
+                numbers.append(n)
+            got[rest] = np.array(numbers, np.int64)[back]
         out = np.full(max(0, len(own) - 1), -1, np.int64)
-        codes, where = np.unique(a << 32 | b, return_inverse=True)
-        if len(after.known) > 4 * HELD:
-            after.known.clear()
-        got = np.empty(len(codes), np.int64)
-        for i, code in enumerate(codes.tolist()):
-            n = after.known.get(code)
-            if n is None:
-                n = after.known[code] = after.number(self.join(code >> 32, code & 0xFFFFFFFF))
-            got[i] = n
-        out[at] = got[where]
+        out[at] = got
         return out
 
 
+_KEPT: dict[str, object] = {}
+
+
+def _levels(shared) -> dict[str, list[_Level]]:
+    """The worker's levels by language for what was broadcast last; what earlier
+    tasks numbered stays, up to HELD names."""
+    if shared.value is not _KEPT.get("for") or sum(len(x.names) - x.head for own in _KEPT["levels"].values() for x in own) > HELD:
+        _KEPT.update({"for": shared.value, "levels": {}})
+    return _KEPT["levels"]
+
+
 def _pairs(shared):
     """Counts of phrases one word longer than those of the last shared level."""
 
     def run(batches):
-        levels: dict[str, list[_Level]] = {}
+        levels = _levels(shared)
         tiles: dict[str, Tiles] = {}
 
         def flush():
             for lang, t in tiles.items():
                 a, b, n = t.take()
                 last = levels[lang][-1]
-                for at in range(0, len(n), 100_000):
-                    part = slice(at, at + 100_000)
-                    yield _rows(lang, list(map(last.join, a[part].tolist(), b[part].tolist())), n[part])
+                for at in range(0, len(n), ROWS):
+                    part = slice(at, at + ROWS)
+                    yield _rows(lang, last.joined(a[part], b[part]), n[part])
 
         for batch in batches:
             for lang, texts in _by_lang(batch).items():
                 if lang not in levels:
-                    levels[lang] = [_Level(lang, names.get(lang, ()), bits) for names, bits in shared.value]
-                    tiles[lang] = Tiles()
-                own = levels[lang]
+                    levels[lang] = []
+                    for names, bits in shared.value:
+                        levels[lang].append(_Level(lang, names.get(lang, []), bits, levels[lang][-1] if levels[lang] else None))
+                own, counts = levels[lang], tiles.setdefault(lang, Tiles())
                 before = np.zeros(0, np.int64)
                 for tokens, goes_on in _chunks(texts):
                     words = own[0].numbers(tokens)
@@ -261,7 +317,7 @@ def _pairs(shared):
                         words = level.next(words, after)
                     _, a, b = own[-1].pairs(words)
                     if len(a):
-                        tiles[lang].add(a, b)
+                        counts.add(a, b)
             if sum(t.n_sparse for t in tiles.values()) > HELD:
                 yield from flush()
         yield from flush()
@@ -288,7 +344,8 @@ def _head(counts: DataFrame, head: int) -> tuple[dict[str, list[bytes]], np.ndar
     ranked = {lang: [name for _, name in sorted(x)] for lang, x in names.items()}
     if total == sum(sizes.values()):
         return ranked, None
-    place = F.crc32(F.concat(F.col("lang"), F.lit("\0"), F.col("phrase"))).bitwiseAND(F.lit(PLACES - 1))
+    cut = lambda x: x.bitwiseAND(F.lit(PLACES - 1))
+    place = F.aggregate(F.split("phrase", " "), cut(F.crc32("lang")), lambda at, w: cut(at * 31 + F.crc32(w)))
     bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
     rest = (
         steps.where(F.col("_step") < least).select(place.alias("_place"))
@@ -366,9 +423,12 @@ def collocations(docs: DataFrame, longest: int = 4, min_count: int = 30, percent
         candidates = candidates.unionByName(more)
     candidates = candidates.withColumnRenamed("f", "a")
     kept = _scored(candidates, counts).join(_covered(candidates, percent), ["lang", "phrase"], "left_anti")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    # First the best of so many groups of a language's phrases, then the best of all.
+    best = kept.withColumn("_group", F.pmod(F.xxhash64("phrase"), F.lit(GROUPS)))
+    for group in (("lang", "_group"), ("lang",)):
+        order = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
 
 
 #: What ``collocations`` returns for the table ``documents``.

@@ -175,7 +175,7 @@ def test_chunks_of_long_texts_lose_and_repeat_no_phrase(monkeypatch, bits):
         # With the bit table half of the names are left to it.
         names = [w for w in sorted(known, key=lambda w: -known[w]) if bits is None or len(w) % 2]
         levels.append(({"en": names}, bits))
-        known = counted(collocations._pairs(type("Shared", (), {"value": levels}))([batch]))
+        known = counted(collocations._pairs(type("Shared", (), {"value": list(levels)}))([batch]))
         assert known == {k: v for k, v in want.items() if len(k.split(b" ")) == n}
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_slices, tune, written
-from .vec import NOT_SPACE, words
+from .vec import NOT_SPACE, mix, words
 
 #: Labelled documents of each label used for fitting at most (by hash of
 #: doc_id), and consecutive lines of each, from a place that its hash picks.
@@ -71,14 +71,13 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width = (w.end - w.first).astype(float)
     last = raw[w.end - 1] if len(w.end) else raw[:0]
     # A word, and how often it has stood in its line, and in its text, before.
-    new = np.zeros(len(line))
-    new[np.unique(np.stack([line.astype(np.uint64), w.hash]), axis=1, return_index=True)[1]] = 1
-    seen = np.zeros(len(line))
-    seen[np.unique(np.stack([of_text[line].astype(np.uint64), w.hash]), axis=1, return_index=True)[1]] = 1
+    new, seen = np.zeros(len(line)), np.zeros(len(line))
+    new[np.unique(mix(w.hash ^ mix(line.astype(np.uint64))), return_index=True)[1]] = 1
+    seen[np.unique(mix(w.hash ^ mix(of_text[line].astype(np.uint64), 1)), return_index=True)[1]] = 1
     # Lines by their words, to find those that a text repeats.
     whole = np.zeros(n, np.uint64)
     np.add.at(whole, line, w.hash * (np.arange(len(line), dtype=np.uint64) - np.searchsorted(line, line).astype(np.uint64) + np.uint64(1)))
-    _, same, times = np.unique(np.stack([of_text.astype(np.uint64), whole]), axis=1, return_inverse=True, return_counts=True)
+    _, same, times = np.unique(mix(whole ^ mix(of_text.astype(np.uint64), 2)), return_inverse=True, return_counts=True)
 
     shares = np.stack([
         _sums(_UPPER[raw], line_of_byte, n) / letters, share(_LETTER), share(_DIGIT), share(_STOP), share(_MARK), share(_BAR),
@@ -88,7 +87,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ], axis=1)
     plain = np.stack([
         np.minimum(_sums(width, line, n) / many / 20, 1), np.minimum(np.log1p(count) / 8, 1), np.minimum(np.log1p(size) / 12, 1),
-        count == 0, count <= 3, times[same.reshape(-1)] > 1, _STOP[raw[np.maximum(ends - 1, 0)]] & (size > 0), _UPPER[raw[starts]],
+        count == 0, count <= 3, times[same] > 1, _STOP[raw[np.maximum(ends - 1, 0)]] & (size > 0), _UPPER[raw[starts]],
     ], axis=1).astype(float)
     shares = np.clip(shares, 0, 1)
     return np.hstack([shares, np.sqrt(shares), shares > _LITTLE, shares > _MUCH, plain]).astype(np.float32), size + 1, bounds

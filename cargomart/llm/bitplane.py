@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import text_slices, tune
+from .common import text_slices, tune, written
 from .tokens import encoder
 
 BLOCK_IDS = 1 << 16
@@ -40,10 +40,10 @@ BLOCKS = (
     "shard int, block long, n_ids int, sizes array<int>, planes binary, crc32 long, carry int, "
     "docs array<struct<doc_id: long, at: int, n_tokens: long, ord: long>>"
 )
+_DOC = pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n_tokens", pa.int64()), ("ord", pa.int64())])
 _ARROW = pa.schema([
     ("shard", pa.int32()), ("block", pa.int64()), ("n_ids", pa.int32()), ("sizes", pa.list_(pa.int32())),
-    ("planes", pa.binary()), ("crc32", pa.int64()), ("carry", pa.int32()),
-    ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n_tokens", pa.int64()), ("ord", pa.int64())]))),
+    ("planes", pa.binary()), ("crc32", pa.int64()), ("carry", pa.int32()), ("docs", pa.list_(pa.field("item", _DOC))),
 ])
 
 
@@ -72,11 +72,11 @@ class _Writer:
         self.zip = zstandard.ZstdCompressor(level=level)
         self.held: list[np.ndarray] = []
         self.n = self.block = self.ord = self.carry = 0
-        self.docs: list[dict] = []
+        self.docs: tuple[list, list, list] = ([], [], [])  # doc_id, at, n_tokens
 
     def add(self, doc_id, ids: np.ndarray):
-        self.docs.append({"doc_id": doc_id, "at": self.n, "n_tokens": len(ids), "ord": self.ord})
-        self.ord += 1
+        for held, x in zip(self.docs, (doc_id, self.n, len(ids))):
+            held.append(x)
         while self.n + len(ids) >= self.block_ids:
             k = self.block_ids - self.n
             self.held.append(ids[:k])
@@ -90,21 +90,32 @@ class _Writer:
     def flush(self) -> dict:
         ids = np.concatenate(self.held).astype("<u4")
         planes = [self.zip.compress(p) for p in shuffle_planes(ids, self.bits)]
+        doc_id, at, n_tokens = self.docs
+        docs = (doc_id, at, n_tokens, range(self.ord, self.ord + len(at)))
         row = {
             "shard": self.shard, "block": self.block, "n_ids": len(ids), "sizes": [len(p) for p in planes],
-            "planes": b"".join(planes), "crc32": zlib.crc32(ids.tobytes()), "carry": self.carry, "docs": self.docs,
+            "planes": b"".join(planes), "crc32": zlib.crc32(ids), "carry": self.carry,
+            "docs": pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(docs, _DOC)], fields=list(_DOC)),
         }
-        self.held, self.docs, self.n, self.carry = [], [], 0, 0
+        self.ord += len(at)
+        self.held, self.docs, self.n, self.carry = [], ([], [], []), 0, 0
         self.block += 1
         return row
 
 
+def _batch(row: dict) -> pa.RecordBatch:
+    docs = row["docs"]
+    cols = [pa.array([row[f.name]], f.type) for f in _ARROW if f.name != "docs"]
+    return pa.RecordBatch.from_arrays([*cols, pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)], schema=_ARROW)
+
+
 def write_corpus(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_space: bool = False,
                  block_ids: int = BLOCK_IDS, bits: bool = False, level: int = LEVEL) -> None:
     """Encodes whole texts (null: empty), ends each with ``end_id`` and writes
     them to ``path`` in ascending doc_id order (null first; rows of one doc_id
     by their text).  A range shuffle of the texts orders them; a shard is one
-    of its partitions."""
+    of its partitions.  An empty table gives no rows; other columns are not
+    looked at."""
     tune(docs.sparkSession)
 
     def run(batches):
@@ -112,13 +123,10 @@ def write_corpus(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             for at, texts in text_slices(batch):
-                rows = []
-                for doc_id, ids in zip(doc_ids[at : at + len(texts)], enc.encode(texts)):
-                    rows += w.add(doc_id, np.append(ids.astype("<u4"), np.uint32(end_id)).astype("<u4"))
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                for doc_id, ids in zip(doc_ids[at : at + len(texts)], enc.encode(texts, end_id)):
+                    yield from map(_batch, w.add(doc_id, ids))
         if w.n:
-            yield pa.RecordBatch.from_pylist([w.flush()], schema=_ARROW)
+            yield _batch(w.flush())
 
     (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -153,20 +161,24 @@ def _parts(batches):
     """Of each document in each block: its whole checksum, or the ids it has
     there if it goes on in another block."""
     for batch in batches:
-        for row in batch.to_pylist():
-            ids, out = read_block(row), []
-            here = [dict(d, first=True) for d in row["docs"]]
+        for k in range(batch.num_rows):
+            row = {f.name: batch.column(f.name)[k].as_py() for f in _ARROW if f.name != "docs"}
+            docs = batch.column("docs")[k].values
+            doc_id, at, n, order = (docs.field(f.name).to_pylist() for f in _DOC)
             if row["carry"]:
-                here.insert(0, {"doc_id": None, "at": 0, "n_tokens": row["carry"], "ord": None, "first": False})
-            for d in here:
-                data = ids[d["at"] : d["at"] + d["n_tokens"]].tobytes()
-                whole = d["first"] and len(data) == 4 * d["n_tokens"]
-                out.append({
-                    "shard": row["shard"], "ord": d["ord"], "doc_id": d["doc_id"], "n_tokens": d["n_tokens"],
-                    "at": row["block_ids"] * row["block"] + d["at"], "block": row["block"],
-                    "crc32": zlib.crc32(data) if whole else None, "ids": None if whole else data,
-                })
-            yield pa.RecordBatch.from_pylist(out, schema=_PARTS_ARROW)
+                for held, x in zip((doc_id, at, n, order), (None, 0, row["carry"], None)):
+                    held.insert(0, x)
+            data = memoryview(read_block(row)).cast("B")
+            last = row["n_ids"]
+            crcs, ids = [], []
+            for first, size, begins in zip(at, n, order):
+                whole = begins is not None and first + size <= last
+                part = data[4 * first : 4 * min(first + size, last)]
+                crcs.append(zlib.crc32(part) if whole else None)
+                ids.append(None if whole else bytes(part))
+            base = batch.column("block_ids")[k].as_py() * row["block"]
+            cols = ([row["shard"]] * len(at), order, doc_id, [base + x for x in at], n, [row["block"]] * len(at), crcs, ids)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PARTS_ARROW)], schema=_PARTS_ARROW)
 
 
 def _fold(batches):
@@ -190,9 +202,9 @@ def _fold(batches):
 
 def read_documents(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of
-    every document, from the planes.  Only documents that cross a block's end
+    every document, from the planes; no rows for no documents.  Only documents that cross a block's end
     are shuffled, with the ids of their parts; a task folds them block by block."""
-    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # blocks are large
     blocks = spark.read.schema(BLOCKS).parquet(path)
     base = blocks.groupBy("shard").agg(F.sum("n_ids").alias("_n")).select(
         "shard",
@@ -201,7 +213,9 @@ def read_documents(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -
             F.sum("_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_base"),
     )
-    parts = blocks.withColumn("block_ids", F.lit(block_ids)).mapInArrow(_parts, _PARTS)
+    # Written, so that each block is read and decompressed once.
+    parts = written(blocks.withColumn("block_ids", F.lit(block_ids)).mapInArrow(_parts, _PARTS), "parts")
+    tune(spark)
     whole = parts.where("ids is null")
     # A shard's documents that cross blocks follow each other: block by block,
     # the part that a block's front ends comes before the one its back begins.
@@ -213,6 +227,6 @@ def read_documents(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -
     )
     return (
         whole.unionByName(crossing)
-        .join(base, "shard")
+        .join(F.broadcast(base), "shard")  # one row a shard, so one a partition of the writer
         .select("doc_id", (F.col("_base") + F.col("at")).alias("start"), "n_tokens", F.col("crc32").alias("ids_crc32"))
     )

@@ -55,11 +55,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps_sp
             doc_ids = batch.column("doc_id").to_pylist()
             for at, texts in text_slices(batch):
                 out = []
-                for doc_id, ids in zip(doc_ids[at : at + len(texts)], enc.encode(texts)):
-                    data = np.append(ids.astype("<u4"), np.uint32(end_id)).astype("<u4").tobytes()
-                    for k, (s, n) in enumerate(cut(len(data) // 4, capacity)):
+                for doc_id, ids in zip(doc_ids[at : at + len(texts)], enc.encode(texts, end_id)):
+                    data = memoryview(ids.astype("<u4")).cast("B")
+                    for k, (s, n) in enumerate(cut(len(ids), capacity)):
                         part = data[4 * s : 4 * (s + n)]
-                        out.append((doc_id, k, s, n, zlib.crc32(part), part if with_ids else None))
+                        out.append((doc_id, k, s, n, zlib.crc32(part), bytes(part) if with_ids else None))
                 cols = list(zip(*out))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")

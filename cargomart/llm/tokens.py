@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 #: Chunks of one generation (about 160 bytes each); two are held at most.
-GENERATION = 400_000
+GENERATION = 700_000
 #: Longer chunks are encoded but not remembered.
 KEEP_CHARS = 48
 
@@ -68,6 +69,7 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
         self.known = _Known(self._encode, {})
         self.tokenize = self.tokenizer.model.tokenize
 
@@ -88,29 +90,35 @@ class ChunkEncoder:
     def _encode(self, chunk: str) -> bytes:
         if not chunk:
             return b""
+        if chunk.isascii() and (chunk if not self.keeps_space else chunk[chunk[0] == " " :]).isalpha():
+            return self._word(chunk)
         plain = _PLAIN.fullmatch(chunk)
         if not plain:
-            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
+            return array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
         space, word, marks = plain.groups()
         if self.keeps_space:
             parts = (space + word, marks) if word else (space + marks,)
         else:
             parts = (word.lower(), marks)
-        ids = []
-        for part in parts:
-            if part:
-                if not part.isascii() or space:
-                    part = part.encode().decode("latin-1").translate(_LETTERS)
-                ids += [x.id for x in self.tokenize(part)]
-        return np.array(ids, self.dtype).tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as arrays of ``self.dtype``."""
+        # Parts that are chunks themselves are mostly known.
+        return b"".join([self.known[part] if part != chunk else self._word(part) for part in parts if part])
+
+    def _word(self, part: str) -> bytes:
+        """Ids of a word, or of punctuation, with the space before it if it has one."""
+        if not self.keeps_space:
+            part = part.lower()
+        if part[0] == " " or not part.isascii():
+            part = part.encode().decode("latin-1").translate(_LETTERS)
+        return array(self.code, [x.id for x in self.tokenize(part)]).tobytes()
+
+    def encode(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
+        """Ids of each text, and ``end_id`` after them, as arrays of ``self.dtype``."""
         if len(self.known) > GENERATION:
             self.known.before.clear()
             self.known = _Known(self._encode, dict(self.known))
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, self.chunks(t))), self.dtype) for t in texts]
+        end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
+        return [np.frombuffer(b"".join(map(get, self.chunks(t))) + end, self.dtype) for t in texts]
 
 
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}

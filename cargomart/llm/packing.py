@@ -4,11 +4,11 @@ Pieces of one length are alike, so the packing problem is the histogram of
 lengths.  A *configuration* is a multiset of lengths that fits one sequence;
 the configuration linear program (as few sequences as possible, every piece
 covered) is solved by multiplicative weights: lengths that are covered too
-little gain weight, and the best configuration for the weights is priced by a
-knapsack dynamic program over the sequence's places.  The fractional solution
-is rounded down, and what is left is filled up configuration by configuration,
-best fit first.  All of this works on counts by length (at most ``capacity``
-of them), whatever the number of pieces.
+little gain weight, and the best configurations for the weights are priced by a
+knapsack dynamic program over the sequence's places.  They enter in whole
+numbers, round by round; the few pieces that no configuration covers in the end
+are placed by best fit.  All of this works on counts by length (at most
+``capacity`` of them), whatever the number of pieces.
 
 Spark cuts the pieces, counts lengths, ranks the pieces of a length (in salted
 groups, with offsets from the groups' counts) and looks a piece's place up by
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,12 @@ from pyspark.sql import functions as F
 from .common import text_slices, tune, written
 from .tokens import encoder
 
-#: Rounds of multiplicative weights, and their step.
-ROUNDS = 300
-STEP = 0.5
+#: Step of the multiplicative weights, how much dearer a token of a long piece
+#: is at first, and a token that stays empty (more than any piece's: 1 + 2 * CONVEX).
+STEP, CONVEX, WASTE = 1.0, 10.0, 30.0
+#: Pieces of one length that a knapsack may take; lengths within this share of
+#: the capacity count as near, and so many tokens of a sequence may stay empty.
+MANY, NEAR = 2, 32
 #: Rows of a salted group that is ranked by one task.
 GROUP_ROWS = 200_000
 
@@ -69,109 +73,156 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps_sp
     return found if with_ids else found.drop("ids")
 
 
-def _knapsack(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> Counter:
-    """Most valuable multiset of lengths within the capacity."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        n = np.searchsorted(lengths, c, side="right")
-        best[c] = best[c - 1]
-        if n:
-            got = best[c - lengths[:n]] + worth[:n]
-            k = int(got.argmax())
-            if got[k] > best[c]:
-                best[c], pick[c] = got[k], k
-    out, c = Counter(), capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            out[int(lengths[pick[c]])] += 1
-            c -= int(lengths[pick[c]])
+def _knapsack(lengths: list[int], most: list[int], price: list[float], capacity: int) -> tuple[np.ndarray, list[tuple]]:
+    """For every room up to the capacity the most valuable filling that leaves
+    nothing empty (-1: none), with at most ``most`` pieces of each length; and
+    the choices made, for ``_fillings``."""
+    best = np.full(capacity + 1, -1.0)
+    best[0] = 0
+    rows = []
+    for i, (x, left, worth) in enumerate(zip(lengths, most, price)):
+        k = 1
+        while left > 0:
+            k = min(k, left)
+            step = x * k
+            got = best[:-step] + worth * k
+            got[best[:-step] < 0] = -1
+            better = got > best[step:]
+            np.copyto(best[step:], got, where=better)
+            rows.append((i, k, step, better))
+            left, k = left - k, 2 * k
+    return best, rows
+
+
+def _fillings(rows: list[tuple], rooms: list[int]) -> list[Counter]:
+    """Index and number of the pieces that the knapsack's table puts into each room."""
+    at, out = np.array(rooms, dtype=int), [Counter() for _ in rooms]
+    for i, k, step, better in reversed(rows):
+        fits = at >= step
+        take = fits & better[np.where(fits, at - step, 0)]
+        for j in np.flatnonzero(take).tolist():
+            out[j][i] += k
+        at = at - step * take
     return out
 
 
-def _fractional(counts: dict[int, int], capacity: int) -> list[tuple[Counter, float]]:
-    """Configurations and how often the linear program uses them."""
-    lengths = np.array(sorted(counts))
-    n = np.array([counts[x] for x in lengths], dtype=float)
-    where = {int(x): i for i, x in enumerate(lengths)}
-    weight = lengths / capacity
-    covered, used = np.zeros(len(lengths)), {}
-    bound = max(1.0, float((n * lengths).sum()) / capacity)
-    for _ in range(ROUNDS):
-        config = _knapsack(lengths, weight, capacity)
-        made = np.zeros(len(lengths))
-        for x, k in config.items():
-            made[where[x]] = k
-        # Each round uses its configuration for a share of the sequences, less
-        # when a rare length would run out.
-        times = min(bound / ROUNDS * 4, float((n[made > 0] / made[made > 0]).min()))
-        covered += times * made
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + times
-        weight = lengths / capacity * np.exp(-STEP * np.log(len(lengths) + 1) * np.minimum(covered / n, 50.0))
-        if (covered >= n).all():
+def _rounded(counts: dict[int, int], capacity: int) -> tuple[list[tuple[Counter, int]], dict[int, int]]:
+    """Configurations of the linear program and how many sequences each makes,
+    and the pieces that none of them covers.
+
+    A round prices configurations by one knapsack table: the best filling of
+    the room beside each long piece (more than half a sequence; no two stand
+    together), or of a whole sequence when no long piece is left.  A length's
+    price grows faster than the length, so that the short ones are kept for the
+    small rooms, and is multiplied up while the lengths around it are covered
+    less than the whole, and down while they are covered more.  A configuration
+    enters at the greatest whole number that the uncovered counts allow: the
+    solution is rounded as it is made, and what is left is priced anew."""
+    lengths = np.array(sorted(counts), dtype=int)
+    n = np.array([counts[x] for x in lengths.tolist()], dtype=np.int64)
+    rest, made = n.copy(), []
+    short = np.flatnonzero(lengths <= capacity // 2)
+    long = np.flatnonzero(lengths > capacity // 2)[::-1].tolist()
+    near = capacity // NEAR
+    low, high = np.searchsorted(lengths, lengths - near), np.searchsorted(lengths, lengths + near, side="right")
+    around = lambda x: (sums := np.concatenate([[0], np.cumsum(x)]))[high] - sums[low]
+    of_all, total = around(n), float((n * lengths).sum())
+    slack = np.arange(near + 1)
+    while rest.any():
+        lag = around(rest) / of_all - float((rest * lengths).sum()) / total
+        price = lengths * (1 + CONVEX * lengths / capacity) * np.exp(STEP * lag)
+        own = short[rest[short] > 0]
+        most = np.minimum(np.minimum(MANY, rest[own]), capacity // lengths[own]).tolist()
+        best, rows = _knapsack(lengths[own].tolist(), most, price[own].tolist(), capacity)
+        # A room may stay a little empty, at more than any piece's price for the tokens.
+        value = np.where(best >= 0, best, -np.inf)
+        less = np.full((near + 1, capacity + 1), -np.inf)
+        for w in slack.tolist():
+            less[w, w:] = value[: capacity + 1 - w] - WASTE * w
+        empty, found = less.argmax(axis=0), less.max(axis=0) > -np.inf
+        leads = [x for x in long if rest[x] > 0 and found[capacity - lengths[x]]]
+        rooms = [capacity - int(lengths[x]) for x in leads]
+        if not leads and len(own) and found[capacity]:
+            leads, rooms = [None], [capacity]
+        used = False
+        for lead, filling in zip(leads, _fillings(rows, [r - int(empty[r]) for r in rooms])):
+            need = Counter({int(own[i]): k for i, k in filling.items()})
+            if lead is not None:
+                need[lead] += 1
+            times = min(int(rest[i]) // k for i, k in need.items())
+            if times:
+                for i, k in need.items():
+                    rest[i] -= times * k
+                made.append((Counter({int(lengths[i]): k for i, k in need.items()}), times))
+                used = True
+        if not used:
             break
-    return [(Counter(dict(k)), v) for k, v in used.items()]
-
-
-def _fill(left: dict[int, int], capacity: int, reach: list[int]) -> Counter:
-    """A configuration of what is left: the longest piece, and then the best
-    fit; ``reach`` has, for each room, a length that starts the fullest filling
-    (0: none)."""
-    first = max(left)
-    config, room = Counter({first: 1}), capacity - first
-    while room > 0:
-        x = reach[room]
-        if not x or left.get(x, 0) <= config[x]:  # used up: the longest that fits
-            x = max((y for y, k in left.items() if y <= room and k > config[y]), default=0)
-        if not x:
-            break
-        config[x] += 1
-        room -= x
-    return config
-
-
-def _reach(left: dict[int, int], capacity: int) -> list[int]:
-    lengths = np.array(sorted(left))
-    fill, pick = np.zeros(capacity + 1, dtype=int), [0] * (capacity + 1)
-    for room in range(int(lengths[0]), capacity + 1):
-        n = np.searchsorted(lengths, room, side="right")
-        got = fill[room - lengths[:n]] + lengths[:n]
-        k = len(got) - 1 - int(got[::-1].argmax())
-        fill[room], pick[room] = got[k], int(lengths[k])
-    return pick
+    return made, {int(x): int(k) for x, k in zip(lengths, rest) if k}
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
+    """Best-fit decreasing on counted pieces: each, longest first, goes to the
+    fullest sequence that has room for it.  Sequences that are alike are one."""
+    rooms: dict[int, list[tuple[Counter, int]]] = {}
+
+    def put(config: Counter, room: int, x: int, each: int, times: int) -> None:
+        rooms.setdefault(room - each * x, []).append((config + Counter({x: each}), times))
+
+    for x in sorted(counts, reverse=True):
+        left = counts[x]
+        while left:
+            room = min((r for r in rooms if r >= x), default=None)
+            if room is None:
+                each = min(capacity // x, left)
+                put(Counter(), capacity, x, each, left // each)
+                left %= each
+                continue
+            config, there = rooms[room].pop()
+            each = min(room // x, left)
+            times = min(there, left // each)
+            if times < there:
+                rooms[room].append((config, there - times))
+            if not rooms[room]:
+                del rooms[room]
+            put(config, room, x, each, times)
+            left -= times * each
+    return [x for group in rooms.values() for x in group]
+
+
+@dataclass
+class Plan:
+    """Sequences of one full piece, of the linear program's rounded
+    configurations, and of what best fit did with the rest; no plan of these
+    counts has fewer sequences than ``bound``."""
+
+    full: list[tuple[Counter, int]]
+    rounded: list[tuple[Counter, int]]
+    rest: list[tuple[Counter, int]]
+    bound: int
+
+    def all(self) -> list[tuple[Counter, int]]:
+        return [*self.full, *self.rounded, *self.rest]
+
+
+def solve(counts: dict[int, int], capacity: int) -> Plan:
+    """``counts``: pieces by length, every length within the capacity."""
+    left = {x: k for x, k in counts.items() if k > 0}
+    whole = left.pop(capacity, 0)
+    full = [(Counter({capacity: 1}), whole)] if whole else []
+    # Prices by length, and prices of one for each long piece, are feasible in
+    # the dual program; their sums bound every solution.
+    bound = max(-(-sum(x * k for x, k in left.items()) // capacity), sum(k for x, k in left.items() if x > capacity // 2))
+    made, rest = _rounded(left, capacity) if left else ([], {})
+    plan = Plan(full, made, best_fit(rest, capacity), whole + bound)
+    plain = best_fit(left, capacity)
+    if sum(t for _, t in plain) < sum(t for _, t in [*plan.rounded, *plan.rest]):
+        plan.rounded, plan.rest = [], plain
+    return plan
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[Counter, int]]:
-    """(configuration, number of sequences) that hold exactly the counted
-    pieces; ``counts``: pieces by length, every length within the capacity."""
-    left = {x: k for x, k in counts.items() if k > 0}
-    out: list[tuple[Counter, int]] = []
-
-    def use(config: Counter, times: int) -> None:
-        times = min([times, *(left.get(x, 0) // k for x, k in config.items())])
-        if times > 0:
-            out.append((config, times))
-            for x, k in config.items():
-                left[x] -= times * k
-                if not left[x]:
-                    del left[x]
-
-    if capacity in left:
-        use(Counter({capacity: 1}), left[capacity])
-    if left:
-        solved = _fractional(left, capacity)
-        full = lambda c: sum(x * k for x, k in c[0].items())
-        for config, times in sorted(solved, key=full, reverse=True):
-            if full((config, 0)) == capacity:
-                use(config, int(times))
-    reach, known = [], None
-    while left:
-        if known != left.keys():
-            reach, known = _reach(left, capacity), set(left)
-        use(config := _fill(left, capacity, reach), min(left[x] // k for x, k in config.items()))
-    return out
+    """(configuration, number of sequences) that hold exactly the counted pieces."""
+    return solve(counts, capacity).all()
 
 
 def _intervals(made: list[tuple[Counter, int]]) -> tuple[np.ndarray, ...]:

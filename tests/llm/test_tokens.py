@@ -1,6 +1,7 @@
 """Operators 1 and 5 against the tokenizers library, one text at a time."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -127,6 +128,54 @@ def test_plans_hold_what_was_counted_in_few_sequences(seed):
     assert sum(t for _, t in made) <= bound * 1.01 + 1
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_plans_come_from_configurations_and_beat_best_fit(spark, sf):
+    d = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    cut = packing.pieces(d, public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    began = time.process_time()
+    made = packing.solve(counts, 1024)
+    assert time.process_time() - began < 5
+    of = lambda configs: sum(t for _, t in configs)
+    assert of(made.all()) <= of(packing.best_fit(counts, 1024))
+    assert made.bound <= of(made.all()) <= max(made.bound + 1, made.bound * 1.005)
+    assert of(made.rounded) > 0.89 * (of(made.rounded) + of(made.rest))
+    held = {}
+    for config, times in made.all():
+        for x, k in config.items():
+            held[x] = held.get(x, 0) + k * times
+    assert held == counts
+
+
+def test_best_fit_is_that_of_piece_by_piece():
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        pieces = sorted(rng.integers(1, 41, rng.integers(1, 200)).tolist(), reverse=True)
+        rooms = []
+        for x in pieces:
+            fits = [r for r in rooms if r >= x]
+            rooms.remove(min(fits)) if fits else None
+            rooms.append((min(fits) if fits else 40) - x)
+        counts = {x: pieces.count(x) for x in set(pieces)}
+        got = packing.best_fit(counts, 40)
+        assert sorted(40 - sum(x * k for x, k in c.items()) for c, t in got for _ in range(t)) == sorted(rooms)
+
+
+@pytest.mark.parametrize("capacity", [1, 2, 7, 64, 1024])
+def test_plans_of_any_counts_hold_them(capacity):
+    rng = np.random.default_rng(capacity)
+    for top in (1, capacity // 3, capacity // 2, capacity - 1, capacity):
+        for n in (1, 3, 400):
+            x = rng.integers(1, max(2, top + 1), n)
+            counts = {int(a): int(k) * int(rng.integers(1, 500)) for a, k in zip(*np.unique(np.minimum(x, capacity), return_counts=True))}
+            made, held = packing.solve(counts, capacity), {}
+            for config, times in made.all():
+                assert times > 0 and sum(a * k for a, k in config.items()) <= capacity
+                for a, k in config.items():
+                    held[a] = held.get(a, 0) + k * times
+            assert held == counts and sum(t for _, t in made.all()) >= made.bound
+
+
 def test_plans_of_few_or_alike_pieces():
     assert packing.plan({}, 8) == []
     assert sum(t for _, t in packing.plan({8: 3}, 8)) == 3

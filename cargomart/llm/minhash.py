@@ -88,10 +88,12 @@ def _checksum(found: np.ndarray, salt: int) -> int:
     return int(mix(found, salt).sum(dtype=np.uint64).view(np.int64)) if len(found) else 0
 
 
-def sign(docs: DataFrame, n: int) -> DataFrame:
+def sign(docs: DataFrame, n: int, row: str | None = None) -> DataFrame:
     """doc_id, text to number of shingles, checksum of the set, band keys and
-    packed bits (null text: empty; both arrays null for an empty set)."""
+    packed bits (null text: empty; both arrays null for an empty set), and the
+    text column ``row`` as it is."""
     tune(docs.sparkSession)
+    carried = F.col(row) if row else F.lit(None)
 
     def run(batches):
         for batch in batches:
@@ -109,9 +111,11 @@ def sign(docs: DataFrame, n: int) -> DataFrame:
                     arrays.append(pa.array(col, pa.list_(pa.int64())))
                 cols = [pa.array(ids[at : at + len(texts)], pa.int64()), pa.array(size.astype(np.int64))]
                 cols += [pa.array([_checksum(s, k) for s in own], pa.int64()) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*cols, *arrays], names=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"])
+                cols += [*arrays, batch.column("row").slice(at, len(texts))]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "h1", "h2", "bands", "sig", "row"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SIGNED)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", carried.cast("string").alias("row"))
+    return texts.mapInArrow(run, f"{_SIGNED}, row string")
 
 
 def _mismatches(a: str, b: str) -> Column:
@@ -206,7 +210,7 @@ def _unshared(full: DataFrame, nodes: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("unshared"))
 
 
-def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85, row: str | None = None) -> DataFrame:
     """doc_id, text to doc_id, n_shingles, component_id (smallest doc_id that
     links reach), kept (doc_id is component_id).
 
@@ -217,12 +221,16 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
     one doc_id are documents of their own; if rows of one doc_id and text
     repeat, each is kept or none.  A null doc_id is never a component's
     smallest unless all are null, and never kept.  An empty table gives an
-    empty result."""
-    signed = written(sign(docs, n).withColumn("rid", F.monotonically_increasing_id()), "signed")
+    empty result.
+
+    With the name of a text column as ``row``, that column comes back with each
+    row's verdict, and ``root``, a number of the row's component that doesn't
+    depend on doc_ids (null without words)."""
+    signed = written(sign(docs, n, row).withColumn("rid", F.monotonically_increasing_id()), "signed")
     classes = written(
         signed.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "classes"
     )
-    nodes = signed.join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
+    nodes = signed.drop("row").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
     nodes = written(nodes, "nodes")
 
     keyed = nodes.select("node", F.explode("bands").alias("key"))
@@ -287,10 +295,10 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 85) -> DataFrame
 
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(smallest, "root").select("h1", "h2", "component_id")
+    named = grouped.join(smallest, "root").select("h1", "h2", "component_id", "root")
     some = signed.where("n_shingles > 0").join(named, ["h1", "h2"])
-    none = signed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    names = ("doc_id", "n_shingles", "component_id")
+    none = signed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")).withColumn("root", F.lit(None).cast("long"))
+    names = ("doc_id", "n_shingles", "component_id", *(("row", "root") if row else ()))
     return some.select(*names).unionByName(none.select(*names)).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     )

@@ -264,3 +264,32 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert max(ids("mixing").count(i) for i in set(ids("mixing"))) == 2 and 2000 not in ids("mixing")
     assert sorted(ids("packing")) == sorted(ids("mixing"))
     assert len({r["sequence_id"] for r in seen["packing"]}) <= -(-sum(r["length"] for r in seen["packing"]) // 1024) + 1
+
+
+A = " ".join(f"word{i}" for i in range(60))
+B = " ".join(f"other{i}" for i in range(60))
+
+
+def test_the_pipeline_keeps_rows_not_ids(spark):
+    import corpus_pipeline
+
+    rows = [(3, "zz " + B), (7, B + " zz"), (7, A), (None, A + " end"), (9, A)]
+    more = [(20, "C " + A.replace("word", "third")), (20, "C " + A.replace("word", "third")), (None, "D " + B.replace("other", "fifth")),
+            (None, "E " + B.replace("other", "sixth")), (None, None), (None, None), (5, ""), (5, "")]
+    schema = "doc_id long, text string, source string, _key string"
+    docs = spark.createDataFrame([(*r, "s", "k") for r in rows + more], schema).drop("_key").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted([tuple(r)[:2] for r in got.collect()], key=repr)
+    want = [(3, "zz " + B), (7, A), *[more[0]], more[2], more[3], (None, None), (None, None), (5, ""), (5, "")]
+    assert kept == sorted(want, key=repr)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_the_pipeline_over_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    source.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

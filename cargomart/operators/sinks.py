@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cargomart.functions.measures import render_cell
+from cargomart.operators import versions
+from cargomart.operators.files import make_folder
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _VALUE = re.compile(r"^[A-Za-z0-9_\-:. ]*$")
@@ -62,9 +64,7 @@ def ensure_table(
     """
     _ident(name)
     if table_exists(spark, name):
-        have = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
-        if have != [(f.name, f.dataType) for f in schema.fields]:
-            raise ValueError(f"{name} exists with other columns: {have}")
+        check_table(spark, name, schema, partition_by)
         return
     names = [f.name for f in schema.fields]
     if list(partition_by) != names[len(names) - len(partition_by):]:
@@ -77,12 +77,26 @@ def ensure_table(
         ddl += " OPTIONS ('partitionOverwriteMode' 'dynamic')"
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if location:
+        make_folder(spark, location)  # versions of the table will lie beside it
         ddl += f" LOCATION {sql_text(location)}"
     if comment:
         ddl += f" COMMENT {sql_text(comment)}"
     spark.sql(ddl)
 
 
+def check_table(spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
+    """A5: an existing table must have these columns and partitions, and its
+    overwrites must be limited to the partitions they write."""
+    have = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    if have != [(f.name, f.dataType) for f in schema.fields]:
+        raise ValueError(f"{name} exists with other columns: {have}")
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if by != list(partition_by):
+        raise ValueError(f"{name} exists with partitions {by}, not {list(partition_by)}")
+    if by:
+        _require_dynamic(spark, name)
+
+
 def _temp_view(df: DataFrame) -> str:
     name = f"__cargomart_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
@@ -144,33 +158,32 @@ def overwrite_partition(df: DataFrame, table: str, spec: Mapping[str, str]) -> i
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace the whole (unpartitioned) table."""
-    spark = df.sparkSession
-    cols = spark.table(_ident(table)).columns
-    view = _temp_view(df.select(*cols))
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(table)
+    """Replace the whole (unpartitioned) table.  The new rows get a folder of
+    their own and the table's location is switched to it last, so a write that
+    fails or is killed leaves the table as it was."""
+    versions.replace_table(df, _ident(table))
 
 
 def snapshot_table(spark: SparkSession, src: str, dst: str) -> None:
-    """A10: drop the old snapshot and CTAS a new one with ``src``'s columns."""
-    cols = ", ".join(f"`{c}`" for c in spark.table(_ident(src)).columns)
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(dst)}")
-    spark.sql(f"CREATE TABLE {dst} USING parquet AS SELECT {cols} FROM {src}")
+    """A10: keep ``src`` as it is now under the name ``dst``; no row is copied,
+    and the snapshot before it stays until the new one has its name."""
+    versions.snapshot(spark, _ident(src), _ident(dst))
 
 
 def restore_table(spark: SparkSession, snapshot: str, dst: str) -> None:
-    """Roll ``dst`` back to ``snapshot`` (whole-table overwrite)."""
-    overwrite_table(spark.table(_ident(snapshot)), dst)
+    """Roll ``dst`` back to ``snapshot`` by switching its location."""
+    versions.restore(spark, _ident(snapshot), _ident(dst))
 
 
 def append_rows(df: DataFrame, table: str) -> None:
-    """Append, columns put in the table's order by name first."""
-    cols = df.sparkSession.table(_ident(table)).columns
-    df.select(*cols).write.insertInto(table, overwrite=False)
+    """Append, columns put in the table's order by name first.  A table
+    that has versions gets a new one: the folder it is on may be a snapshot's."""
+    spark = df.sparkSession
+    cols = spark.table(_ident(table)).columns
+    if versions.is_versioned(spark, table):
+        versions.replace_table(spark.table(table).unionByName(df.select(*cols)), table)
+    else:
+        df.select(*cols).write.insertInto(table, overwrite=False)
 
 
 # --------------------------------------------------------------------------- A13/A14

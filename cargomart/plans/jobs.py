@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargomart import schemas
-from cargomart.functions.predicates import slice_eq
+from cargomart.functions.predicates import is_present, slice_eq
 from cargomart.operators.gates import (
     GateError,
     audited,
@@ -31,7 +31,6 @@ from cargomart.operators.gates import (
 from cargomart.operators.aggregates import unloaded_days
 from cargomart.operators.sinks import (
     ensure_table,
-    overwrite_partition,
     overwrite_table,
     publish,
     restore_table,
@@ -40,6 +39,7 @@ from cargomart.operators.sinks import (
     write_framed_csv,
 )
 from cargomart.operators.filters import FilterSet
+from cargomart.operators.versions import folder_of, replace_partitions, stage_partitions
 from cargomart.params import RunParams, check_day, check_month, report_month_of
 from cargomart.plans.definitions import active_filter
 from cargomart.sources.catalog import refresh_partitions
@@ -100,6 +100,17 @@ def _step_counts(entries: list[tuple[str, str, DataFrame]]) -> dict[str, int]:
     return {r["label"]: r["row_cnt"] for r in run_report(entries).collect()}
 
 
+def _replace_gated(df: DataFrame, table: str, spec: dict[str, str]) -> int:
+    """K1 before the partition is replaced: the rows are staged and counted, and
+    none at all leave the partition as it was."""
+    staged = stage_partitions(df, table, [spec])
+    (n,) = staged.counts.values()
+    if n == 0:
+        raise GateError(f"{table} {folder_of(spec)}: no rows")
+    staged.commit()
+    return n
+
+
 def ingest_day(
     spark: SparkSession, p: RunParams, trans_dt: str | None = None, filters: FilterSet | None = None
 ) -> dict:
@@ -115,9 +126,7 @@ def ingest_day(
                                   label=f"{t.src_shipments} trans_dt={day}")
     events = spark.table(t.src_shipment_events)
     stg = stage_shipments(src, events, day, p.min_declared_value, p.run_stamp, filters)
-    stg_cnt = overwrite_partition(stg, t.stg_shipments, {"trans_dt": day})  # counted while writing
-    if stg_cnt == 0:
-        raise GateError(f"{t.stg_shipments} trans_dt={day}: no rows")
+    stg_cnt = _replace_gated(stg, t.stg_shipments, {"trans_dt": day})
     report = _step_counts([("ingest", "stg_shipments", spark.table(t.stg_shipments).where(slice_eq("trans_dt", day)))])
     return {"trans_dt": day, "src_cnt": src_cnt, "stg_cnt": stg_cnt, "report": report}
 
@@ -174,12 +183,10 @@ def summarize_day(
     stg_cnt = require_rows(stg, f"{t.stg_shipments} trans_dt={day}")
     dim_c, dim_r = spark.table(t.dim_carrier), spark.table(t.dim_route)
 
-    # Row counts are taken by Observations while the partitions are written.
-    err_cnt = overwrite_partition(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, {"trans_dt": day})
+    errors = dq_errors(stg, dim_c, dim_r, p.run_stamp)
+    err_cnt = replace_partitions(errors, t.shipment_dq_errors, [{"trans_dt": day}])[f"trans_dt={day}"]
     summ = summary_rows(stg, dim_c, dim_r, p.run_stamp, filters)
-    summary_cnt = overwrite_partition(summ, t.shipment_summary, {"report_month": month, "report_date": day})
-    if summary_cnt == 0:
-        raise GateError(f"{t.shipment_summary} report_date={day}: no rows")
+    summary_cnt = _replace_gated(summ, t.shipment_summary, {"report_month": month, "report_date": day})
     gate = rate_gate(err_cnt, stg_cnt, p.err_rate_threshold)
     errors = spark.table(t.shipment_dq_errors).where(slice_eq("trans_dt", day))
     done = spark.table(t.shipment_summary).where(slice_eq("report_month", month) & slice_eq("report_date", day))
@@ -231,17 +238,86 @@ def days_to_backfill(spark: SparkSession, p: RunParams) -> list[str]:
     return sorted(r[0] for r in gaps.collect())
 
 
+def gate_days(spark: SparkSession, p: RunParams, days: list[str]) -> DataFrame:
+    """K1 and K2 for many days in one pass over the source: trans_dt, row_cnt,
+    dup_cnt (duplicated shipment ids that are present) and gate: OK, NO_ROWS or
+    DUPLICATES.  Every given day has a row."""
+    src = spark.table(MartTables.of(p).src_shipments).where(F.col("trans_dt").isin(list(days)))
+    twice = (F.col("_n") > 1) & is_present("shipment_id")
+    per_day = (
+        src.groupBy("trans_dt", "shipment_id").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("trans_dt").agg(F.sum("_n").alias("row_cnt"), F.count(F.when(twice, F.lit(1))).alias("dup_cnt"))
+    )
+    asked = spark.createDataFrame([(d,) for d in days], "trans_dt string")
+    counted = asked.join(per_day, "trans_dt", "left").na.fill(0, ["row_cnt", "dup_cnt"])
+    gate = F.when(F.col("row_cnt") == 0, "NO_ROWS").when(F.col("dup_cnt") > 0, "DUPLICATES").otherwise("OK")
+    return counted.withColumn("gate", gate)
+
+
+def load_days(spark: SparkSession, p: RunParams, days: list[str]) -> list[dict]:
+    """P1 and P3 for many days in one pass each: gates of all days (K1, K2), one
+    staging write, one write of errors and one of summaries, each committed at
+    once.  A day that fails a gate keeps the partitions it had and doesn't keep
+    the others.  Returns one small record a day, in order of days: trans_dt,
+    src_cnt, dup_cnt, stg_cnt, error_cnt, summary_cnt and gate (OK, NO_ROWS,
+    DUPLICATES, NOTHING_STAGED or NO_SUMMARY)."""
+    t = MartTables.of(p)
+    days = sorted({check_day(d) for d in days})
+    if not days:
+        return []
+    for name in (t.src_shipments, t.src_shipment_events):
+        refresh_partitions(spark, name)
+    out = {
+        r["trans_dt"]: {"trans_dt": r["trans_dt"], "src_cnt": r["row_cnt"], "dup_cnt": r["dup_cnt"], "stg_cnt": 0,
+                        "error_cnt": 0, "summary_cnt": 0, "gate": r["gate"]}
+        for r in gate_days(spark, p, days).collect()
+    }
+
+    def passing() -> list[str]:
+        return [d for d in days if out[d]["gate"] == "OK"]
+
+    def refuse(counts: dict[str, int], field: str, gate: str) -> None:
+        for name, n in counts.items():
+            record = out[name.rsplit("=", 1)[-1]]
+            record[field] = n
+            if n == 0 and gate:
+                record["gate"] = gate
+
+    good = passing()
+    src = spark.table(t.src_shipments).where(F.col("trans_dt").isin(good))
+    events = spark.table(t.src_shipment_events).where(F.col("event_dt").isin(good))
+    stg = stage_shipments(src, events, None, p.min_declared_value, p.run_stamp)
+    staged = stage_partitions(stg, t.stg_shipments, [{"trans_dt": d} for d in good]) if good else None
+    if staged:
+        refuse(staged.counts, "stg_cnt", "NOTHING_STAGED")
+        staged.commit([{"trans_dt": d} for d in passing()])
+    good = passing()
+    if good:
+        stg = spark.table(t.stg_shipments).where(F.col("trans_dt").isin(good))
+        dim_c, dim_r = spark.table(t.dim_carrier), spark.table(t.dim_route)
+        errors = replace_partitions(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, [{"trans_dt": d} for d in good])
+        refuse(errors, "error_cnt", "")
+        spec = lambda d: {"report_month": report_month_of(d), "report_date": d}
+        summary = stage_partitions(summary_rows(stg, dim_c, dim_r, p.run_stamp), t.shipment_summary, [spec(d) for d in good])
+        refuse(summary.counts, "summary_cnt", "NO_SUMMARY")
+        summary.commit([spec(d) for d in passing()])
+    return [out[d] for d in days]
+
+
 def backfill(spark: SparkSession, p: RunParams, days: list[str] | None = None) -> list[dict]:
-    """Run ingest and summary for each missing day (each day is its own
-    partition-scoped job; reruns are idempotent).  A day that fails a gate
-    doesn't keep the others: all are tried, and then the failures are raised
-    with the outcomes of all days as ``outcomes``."""
+    """Ingest and summary of each missing day, all of them in one pass; reruns
+    are idempotent.  A day that fails a gate doesn't keep the others: the
+    failures are raised at the end with the outcomes of all days as ``outcomes``."""
     out, failed = [], []
-    for day in days if days is not None else days_to_backfill(spark, p):
-        try:
-            out.append({"trans_dt": day, "ingest": ingest_day(spark, p, day), "summary": summarize_day(spark, p, day)})
-        except GateError as e:
-            out.append({"trans_dt": day, "error": str(e)})
+    for r in load_days(spark, p, days if days is not None else days_to_backfill(spark, p)):
+        day = r["trans_dt"]
+        if r["gate"] == "OK":
+            ingest = {"trans_dt": day, "src_cnt": r["src_cnt"], "stg_cnt": r["stg_cnt"]}
+            summary = {"trans_dt": day, "stg_cnt": r["stg_cnt"], "summary_cnt": r["summary_cnt"], "error_cnt": r["error_cnt"],
+                       "error_rate": rate_gate(r["error_cnt"], r["stg_cnt"], p.err_rate_threshold)}
+            out.append({"trans_dt": day, "ingest": ingest, "summary": summary})
+        else:
+            out.append({"trans_dt": day, "error": f"{day}: {r['gate']}"})
             failed.append(day)
     if failed:
         error = GateError(f"backfill failed for {len(failed)} day(s): {', '.join(failed)}")

@@ -23,7 +23,7 @@ RUNTIME_CONF = {
     # probe has measured it (operators.joins.bounded_broadcast) or when AQE
     # has measured the materialised shuffle output at runtime.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     # Keep partition values (dates as 'YYYY-MM-DD') typed as STRING on path reads.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -170,3 +170,44 @@ def test_failed_dim_refresh_rolls_back(spark, mart, monkeypatch):
     assert calls == [t.dim_carrier, t.dim_route]
     assert sorted(r[0] for r in spark.table(t.dim_route).select("route_id").collect()) == before
     assert spark.table(t.dim_carrier).count() == 2
+
+
+def test_a_filter_that_keeps_nothing_leaves_the_day(spark, mart):
+    from dataclasses import replace
+    from decimal import Decimal
+
+    p, t, _ = mart
+    load_source(spark, t, fx.SOURCE_ROWS[:9])
+    jobs.refresh_dims(spark, p)
+    jobs.ingest_day(spark, p)
+    jobs.summarize_day(spark, p)
+    before = [spark.table(x).count() for x in (t.stg_shipments, t.shipment_summary)]
+    with pytest.raises(GateError, match="no rows"):
+        jobs.ingest_day(spark, replace(p, min_declared_value=Decimal("1000000.00")))
+    overwrite_table(spark.table(t.dim_carrier).where("false"), t.dim_carrier)
+    with pytest.raises(GateError, match="no rows"):
+        jobs.summarize_day(spark, p)
+    assert [spark.table(x).count() for x in (t.stg_shipments, t.shipment_summary)] == before and min(before) > 0
+
+
+def test_many_days_load_in_one_pass_as_day_by_day(spark, mart):
+    p, t, _ = mart
+    jobs.refresh_dims(spark, p)
+    rows = fx.SOURCE_ROWS[:9]
+    redated = lambda day, rows: [tuple(list(r[:-1]) + [day]) for r in rows]
+    load_source(spark, t, redated("2026-05-12", rows), "2026-05-12")
+    load_source(spark, t, redated("2026-05-13", rows + rows[:1]), "2026-05-13")  # a duplicate
+    load_source(spark, t, redated(fx.DAY, rows), fx.DAY)
+    load_source(spark, t, redated("2026-05-11", rows[1:3]), "2026-05-11")  # nothing that the filters keep
+    days = ["2026-05-11", "2026-05-12", "2026-05-13", fx.DAY, "2026-05-20"]
+    got = {r["trans_dt"]: r for r in jobs.load_days(spark, p, days)}
+    assert {d: r["gate"] for d, r in got.items()} == {
+        "2026-05-11": "NOTHING_STAGED", "2026-05-12": "OK", "2026-05-13": "DUPLICATES", fx.DAY: "OK", "2026-05-20": "NO_ROWS"}
+    assert got["2026-05-13"]["dup_cnt"] == 1 and got["2026-05-13"]["src_cnt"] == 10
+    shown = lambda: [sorted(map(str, spark.table(x).collect())) for x in (t.stg_shipments, t.shipment_dq_errors, t.shipment_summary)]
+    at_once = shown()
+    for day in ("2026-05-12", fx.DAY):
+        one, two = jobs.ingest_day(spark, p, day), jobs.summarize_day(spark, p, day)
+        assert (one["stg_cnt"], two["error_cnt"], two["summary_cnt"]) == tuple(got[day][k] for k in ("stg_cnt", "error_cnt", "summary_cnt"))
+    assert shown() == at_once
+    assert jobs.load_days(spark, p, []) == []

@@ -108,13 +108,43 @@ def counts(frames: dict[str, DataFrame]) -> dict[str, int]:
     return {r["k"]: int(r["n"]) for r in u.collect()}
 
 
+def content(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """K4, K8: one row with the number of rows and a checksum of their content
+    that doesn't depend on their order: the sum of the rows' 64-bit hashes, as a
+    decimal so that it can't overflow, over ``columns`` (all, in order of name).
+    Combined map-side: one row a partition is shuffled."""
+    names = sorted(df.columns if columns is None else columns)
+    # A null hashes as its seed does, so each value comes with whether it is null.
+    parts = [x for c in names for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    one, two = (F.xxhash64(F.lit(salt), *parts).cast("decimal(38,0)") for salt in (1, 2))
+    return df.agg(
+        F.count(F.lit(1)).alias("row_cnt"), F.coalesce(F.sum(one), F.lit(0).cast("decimal(38,0)")).alias("sum1"),
+        F.coalesce(F.sum(two), F.lit(0).cast("decimal(38,0)")).alias("sum2"),
+    )
+
+
+def compare_content(left: DataFrame, right: DataFrame) -> DataFrame:
+    """K4, K8: left_cnt, right_cnt, same_cnt and same_content of two DataFrames
+    with the same column names, in one row."""
+    if sorted(left.columns) != sorted(right.columns):
+        raise ValueError(f"columns differ: {left.columns} and {right.columns}")
+    a, b = content(left).withColumn("side", F.lit("l")), content(right).withColumn("side", F.lit("r"))
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    same = lambda c: of("l", c) == of("r", c)
+    return a.unionByName(b).agg(
+        of("l", "row_cnt").alias("left_cnt"), of("r", "row_cnt").alias("right_cnt"), same("row_cnt").alias("same_cnt"),
+        (same("row_cnt") & same("sum1") & same("sum2")).alias("same_content"),
+    )
+
+
 def snapshot_report(spark: SparkSession, src: str, dst: str) -> GateResult:
-    """K4: both counts exist (zero allowed); ours also requires them equal."""
-    c = counts({"src": spark.table(src), "dst": spark.table(dst)})
-    ok = c["src"] == c["dst"]
+    """K4: both counts exist (zero allowed); ours also requires equal content."""
+    r = compare_content(spark.table(src), spark.table(dst)).first()
+    c = {"src": r["left_cnt"], "dst": r["right_cnt"]}
     msg = f"snapshot {dst}: {c['dst']} rows, source {src}: {c['src']} rows"
+    ok = r["same_content"]
     if not ok:
-        raise GateError(msg)
+        raise GateError(msg if not r["same_cnt"] else f"{msg}, of other content")
     return GateResult("snapshot", ok, c["dst"], msg, c)
 
 

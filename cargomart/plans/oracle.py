@@ -351,8 +351,9 @@ _SLIM = "shipment_id, carrier_id, record_type, declared_value, trans_dt, substr(
 _NIL = "shipment_id, tracking_number, origin_facility_cd, destination_facility_cd, carrier_id, route_id, record_type, " \
        "shipment_status_code, service_level, booking_channel, customer_id, source_system_cd, pickup_dt, " \
        "expected_delivery_dt, delivery_dt, trans_dt"
-DAYS = ("1996-12-06", "1996-12-08")
-_DAY_LIST = ", ".join(f"'{x}'" for x in DAYS)
+# Days that the duplicate gate refuses.
+BAD_DAYS = "bad AS (SELECT DISTINCT trans_dt FROM src WHERE shipment_id <> '' GROUP BY trans_dt, shipment_id HAVING COUNT(*) > 1)"
+_GOOD = "trans_dt NOT IN (SELECT trans_dt FROM bad)"
 
 ORACLE |= {
     "partition_overwrite": _with(SRC) + f"""
@@ -374,17 +375,41 @@ ORACLE |= {
       UNION ALL SELECT 'duplicates', CAST(s.shipment_id AS VARCHAR) || '|' || s.trans_dt, CAST(COUNT(*) AS BIGINT)
         FROM src s WHERE shipment_id <> '' GROUP BY s.shipment_id, s.trans_dt HAVING COUNT(*) > 1
       UNION ALL SELECT 'error_rate', 'percent', (SELECT CAST(COUNT(*) AS BIGINT) FROM dq) * 100 // (SELECT COUNT(*) FROM stg)""",
-    "job_ingest": _with(*_BASE) + f" SELECT {_STG_COLS} FROM stg WHERE trans_dt IN ({_DAY_LIST})",
+    "job_ingest": _with(*_BASE, BAD_DAYS) + f" SELECT {_STG_COLS} FROM stg WHERE {_GOOD}",
     "job_refresh": _with(*_BASE) + """
       SELECT 'dim_carrier' AS dim, carrier_id AS id, status, eff_dt, exp_dt FROM dim_carrier
       UNION ALL SELECT 'dim_route', route_id, status, eff_dt, exp_dt FROM dim_route""",
-    "job_summary": _with(*_BASE, DQ, _summary_from("stg")) + f"""
+    "job_gates": _with(SRC) + """
+      , k AS (SELECT trans_dt, shipment_id, COUNT(*) AS n FROM src GROUP BY ALL)
+      SELECT trans_dt, CAST(SUM(n) AS BIGINT) AS row_cnt, CAST(SUM(CASE WHEN n > 1 AND shipment_id <> '' THEN 1 ELSE 0 END) AS BIGINT) AS dup_cnt,
+             CASE WHEN SUM(CASE WHEN n > 1 AND shipment_id <> '' THEN 1 ELSE 0 END) > 0 THEN 'DUPLICATES' ELSE 'OK' END AS gate
+      FROM k GROUP BY trans_dt
+      UNION ALL SELECT '2031-01-01', 0, 0, 'NO_ROWS'""",
+    "job_export_outcomes": _with(*_BASE, _summary_from("stg"), BAD_DAYS) + """
+      SELECT 'cargomart' AS job_name, '2026-05-10 02:00:00' AS run_dt, '1996-12' AS export_month,
+             CAST(COUNT(*) AS BIGINT) AS record_cnt, 'SUCCESS' AS status, 0 AS error_chars, '' AS error
+      FROM summary WHERE report_date LIKE '1996-12-%' AND report_date NOT IN (SELECT trans_dt FROM bad)
+      UNION ALL SELECT 'cargomart', '2026-05-10 02:00:00', '1890-01', 0, 'FAILED', NULL, 'nothing to export'
+      UNION ALL SELECT 'cargomart', '2026-05-10 02:00:00', '1996-12', 0, 'FAILED', 4000, '0 trailer line'""",
+    "snapshot_checks": _with(SRC) + """
+      , n AS (SELECT CAST(COUNT(*) AS BIGINT) AS c, CAST(SUM(CASE WHEN shipment_id = (SELECT MIN(shipment_id) FROM src WHERE shipment_id <> '')
+                     THEN 1 ELSE 0 END) AS BIGINT) AS f FROM src)
+      SELECT 'same' AS side, c AS left_cnt, c AS right_cnt, TRUE AS same_cnt, TRUE AS same_content FROM n
+      UNION ALL SELECT 'ordered', c, c, TRUE, TRUE FROM n
+      UNION ALL SELECT 'without_first', c, c - f, FALSE, FALSE FROM n
+      UNION ALL SELECT 'changed', c, c, TRUE, FALSE FROM n""",
+    "landing_rejects": _with(SRC) + """
+      SELECT 'good' AS reason, CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(weight_kg) AS DECIMAL(18,2)) AS weight FROM src
+      WHERE tracking_number IS NULL OR tracking_number NOT IN ('11', '12', '13')
+      UNION ALL SELECT CASE WHEN tracking_number = '11' THEN 'UNPARSABLE_VALUE' ELSE 'FIELD_COUNT' END, CAST(COUNT(*) AS BIGINT), NULL
+      FROM src WHERE tracking_number IN ('11', '12', '13') GROUP BY 1""",
+    "job_summary": _with(*_BASE, DQ, _summary_from("stg"), BAD_DAYS) + """
       SELECT report_date, 'summary' AS kind, carrier_id, route_id, service_level, total_count AS n, approval_rate AS shown
-      FROM summary WHERE report_date IN ({_DAY_LIST})
+      FROM summary WHERE report_date NOT IN (SELECT trans_dt FROM bad)
       UNION ALL SELECT trans_dt, error_code, carrier_id, route_id, shipment_id, 1, error_description
-      FROM dq WHERE trans_dt IN ({_DAY_LIST})""",
-    "job_export": _with(*_BASE, _summary_from("stg")) + f"""
-      , s AS (SELECT * FROM summary WHERE report_date IN ({_DAY_LIST}))
+      FROM dq WHERE trans_dt NOT IN (SELECT trans_dt FROM bad)""",
+    "job_export": _with(*_BASE, _summary_from("stg"), BAD_DAYS) + """
+      , s AS (SELECT * FROM summary WHERE report_date LIKE '1996-12-%' AND report_date NOT IN (SELECT trans_dt FROM bad))
       SELECT '""" + ",".join(_EXPORT) + """' AS line, 'SUCCESS' AS status, (SELECT CAST(COUNT(*) AS BIGINT) FROM s) AS record_cnt
       UNION ALL SELECT """ + " || ',' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _EXPORT) + """,
         'SUCCESS', (SELECT CAST(COUNT(*) AS BIGINT) FROM s) FROM s

@@ -16,17 +16,16 @@ from pyspark.sql import functions as F
 from cargomart import schemas
 from cargomart.operators import sinks
 from cargomart.operators.aggregates import duplicate_keys
-from cargomart.operators.gates import rate_gate, require_rows, snapshot_report
+from cargomart.operators.gates import GateError, audited, compare_content, rate_gate, require_rows, snapshot_report, validate_framed_csv
 from cargomart.params import RunParams
 from cargomart.plans import jobs
 from cargomart.plans.transforms import build_dim, dq_errors, stage_shipments
 from cargomart.session import checkpoint_dir
 from cargomart.sources import testdata as td
 from cargomart.sources.catalog import read_table, refresh_partitions
-from cargomart.sources.delimited import ensure_landing_table, write_delimited
+from cargomart.sources.delimited import ensure_landing_table, keep_rejects, read_checked, write_delimited
 
 MIN_VALUE = Decimal("10000.00")
-DAYS = ("1996-12-06", "1996-12-08")
 
 
 def _database(spark: SparkSession, query: str) -> str:
@@ -133,14 +132,25 @@ def _landed(spark: SparkSession, d: str, query: str) -> RunParams:
     return p
 
 
+def _all_days(spark: SparkSession, p: RunParams) -> list[str]:
+    """Every day of the landed source; names of days only reach the driver."""
+    return sorted(r[0] for r in spark.table(f"{p.landing_db}.src_shipments").select("trans_dt").distinct().collect())
+
+
 def q_job_ingest(spark, d):
-    """P1 for two days; the staged rows."""
+    """P1 over every day of the source in one pass; the staged rows of the days
+    that its gates let through."""
     p = _landed(spark, d, "job_ingest")
-    for day in DAYS:
-        jobs.ingest_day(spark, p, day)
+    jobs.load_days(spark, p, _all_days(spark, p))
     return read_table(spark, f"{p.uc_db}.stg_shipments").drop("load_timestamp")
 
 
+def q_job_gates(spark, d):
+    """K1 and K2 by day, refusals included (and a day that has no rows)."""
+    p = _landed(spark, d, "job_gates")
+    return jobs.gate_days(spark, p, [*_all_days(spark, p), "2031-01-01"])
+
+
 def q_job_refresh(spark, d):
     """P2, twice (the second run keeps snapshots); both dimensions."""
     p = _landed(spark, d, "job_refresh")
@@ -154,14 +164,12 @@ def q_job_refresh(spark, d):
 def _summarized(spark: SparkSession, d: str, query: str) -> RunParams:
     p = _landed(spark, d, query)
     jobs.refresh_dims(spark, p, td.LOAD_DT)
-    for day in DAYS:
-        jobs.ingest_day(spark, p, day)
-        jobs.summarize_day(spark, p, day)
+    jobs.load_days(spark, p, _all_days(spark, p))
     return p
 
 
 def q_job_summary(spark, d):
-    """P3 for two days; the summary's rows and the error rows."""
+    """P1 and P3 over every day; the summary's rows and the error rows."""
     p = _summarized(spark, d, "job_summary")
     done = read_table(spark, f"{p.uc_db}.shipment_summary").select(
         "report_date", F.lit("summary").alias("kind"), "carrier_id", "route_id", "service_level",
@@ -172,14 +180,92 @@ def q_job_summary(spark, d):
     return done.unionByName(errors)
 
 
+def _exports(spark: SparkSession, d: str, query: str) -> tuple[RunParams, str]:
+    p = _summarized(spark, d, query)
+    return p, f"{checkpoint_dir(spark).rstrip('/')}/{p.uc_db}-{spark.sparkContext.startTime}"
+
+
 def q_job_export(spark, d):
-    """P4 for the month of those days: the published file's lines, with the
-    audit table's record."""
-    p = _summarized(spark, d, "job_export")
-    dest = f"{checkpoint_dir(spark).rstrip('/')}/{p.uc_db}-{spark.sparkContext.startTime}.csv"
-    jobs.export_month(spark, p, dest, month="1996-12")
-    log = read_table(spark, f"{p.uc_db}.export_log").select("status", "record_cnt")
-    return spark.read.text(dest).withColumnRenamed("value", "line").join(F.broadcast(log.limit(1)), F.lit(True))
+    """P4 for one month: the published file's lines, with the audit record's
+    status and count."""
+    p, place = _exports(spark, d, "job_export")
+    jobs.export_month(spark, p, f"{place}.csv", month="1996-12")
+    log = read_table(spark, f"{p.uc_db}.export_log")
+    lines = spark.read.text(f"{place}.csv").withColumnRenamed("value", "line")
+    # The log has the one record of this run's database.
+    return lines.select("line", log.select("status").scalar().alias("status"), log.select("record_cnt").scalar().alias("record_cnt"))
+
+
+def q_job_export_outcomes(spark, d):
+    """The audit records of an export that succeeds, of a month
+    with nothing to export, and of one whose file isn't framed as it should be
+    and whose error text is longer than a record holds."""
+    p, place = _exports(spark, d, "job_export_outcomes")
+    jobs.export_month(spark, p, f"{place}-good.csv", month="1996-12")
+    log = f"{p.uc_db}.export_log"
+    try:
+        jobs.export_month(spark, p, f"{place}-none.csv", month="1890-01")
+    except GateError:
+        pass
+    broken = f"{place}-broken"
+    kept = read_table(spark, f"{p.uc_db}.shipment_summary").where("report_month = '1996-12'")
+    sinks.write_framed_csv(kept, broken, schemas.EXPORT_COLUMNS, jobs.EXPORT_ORDER)
+    lines = spark.read.text(broken).where(~F.col("value").startswith(sinks.TRAILER_PREFIX))
+    lines.write.text(f"{broken}-cut")
+    try:
+        with audited(spark, log, p.job_name, p.run_stamp, "1996-12", f"{broken}-cut"):
+            try:
+                validate_framed_csv(spark, f"{broken}-cut", schemas.EXPORT_COLUMNS)
+            except GateError as e:
+                raise GateError(f"{e} " + "x" * 5000) from None
+    except GateError:
+        pass
+    return read_table(spark, log).select(
+        "job_name", "run_dt", "export_month", "record_cnt", "status", F.length("error_message").alias("error_chars"),
+        F.regexp_extract("error_message", r"(nothing to export|0 trailer line)", 1).alias("error"),
+    ).withColumn("error_chars", F.when(F.col("error") == "nothing to export", F.lit(None)).otherwise(F.col("error_chars")))
+
+
+def q_snapshot_checks(spark, d):
+    """K4, K8: a dimension and its snapshot by count and content: alike, with a
+    changed value (equal counts), with a row less, and rows in another order."""
+    db = _database(spark, "snapshot_checks")
+    rows = td.src_shipments(spark, d)
+    sinks.ensure_table(spark, f"{db}.now", rows.schema)
+    sinks.overwrite_table(rows, f"{db}.now")
+    sinks.snapshot_table(spark, f"{db}.now", f"{db}.kept")
+    now, kept = spark.table(f"{db}.now"), spark.table(f"{db}.kept")
+    first = F.col("shipment_id") == kept.agg(F.min(F.when(F.col("shipment_id") != "", F.col("shipment_id")))).scalar()
+    sides = {
+        "same": kept, "ordered": kept.orderBy(F.desc("shipment_id")), "without_first": kept.where(~first),
+        "changed": kept.withColumn("tracking_number", F.when(first, F.lit("changed")).otherwise(F.col("tracking_number"))),
+    }
+    out = None
+    for name, other in sides.items():
+        r = compare_content(now, other).select(F.lit(name).alias("side"), "left_cnt", "right_cnt", "same_cnt", "same_content")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def q_landing_rejects(spark, d):
+    """A1, A2, K1: landing files some of whose lines have an amount that is none,
+    a field too few or a field too many; what is read, and what is set aside."""
+    db = _database(spark, "landing_rejects")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{db}-{spark.sparkContext.startTime}"
+    rows = td.src_shipments(spark, d)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in schemas.SRC_SHIPMENTS.names]
+    at = schemas.SRC_SHIPMENTS.names.index("weight_kg")
+    has = lambda number: F.col("tracking_number") == number
+    spoiled = [F.when(has("11"), F.lit("n/a")).otherwise(c) if i == at else c for i, c in enumerate(cells)]
+    line = F.concat_ws("\t", *spoiled)
+    line = F.when(has("12"), F.concat_ws("\t", *cells[:-1])).when(has("13"), F.concat(line, F.lit("\tmore"))).otherwise(line)
+    rows.select(line.alias("line")).write.text(path)
+    good, bad = read_checked(spark, path, schemas.SRC_SHIPMENTS, header=False)
+    kept = keep_rejects(bad, f"{db}.rejects", "src_shipments", td.RUN_STAMP)
+    counts = good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n"), F.sum("weight_kg").cast("decimal(18,2)").alias("weight"))
+    return counts.unionByName(
+        spark.table(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).withColumn("weight", F.lit(None).cast("decimal(18,2)"))
+    )
 
 
 TABLE_QUERIES = {
@@ -189,6 +275,10 @@ TABLE_QUERIES = {
     "landing_round_trip": q_landing_round_trip,
     "gate_reports": q_gate_reports,
     "job_ingest": q_job_ingest,
+    "job_gates": q_job_gates,
+    "job_export_outcomes": q_job_export_outcomes,
+    "snapshot_checks": q_snapshot_checks,
+    "landing_rejects": q_landing_rejects,
     "job_refresh": q_job_refresh,
     "job_summary": q_job_summary,
     "job_export": q_job_export,

@@ -13,9 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from cargomart.operators.sinks import sql_text
+from cargomart.operators.gates import GateError
+from cargomart.operators.sinks import append_rows, ensure_table, sql_text
+from cargomart.operators.versions import location as table_location
 
 # Quote disabled: a field starting with '"' is data, not the start of a quoted
 # field that would swallow the next separator.
@@ -69,6 +71,56 @@ def read_delimited(
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+#: Why a line is set aside.
+FIELDS, VALUE = "FIELD_COUNT", "UNPARSABLE_VALUE"
+_LINE = "__line"
+REJECTS = StructType().add("source", "string").add("file", "string").add("reason", "string").add("line", "string").add("load_timestamp", "string")
+
+
+def read_checked(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType, header: bool = True, sep: str = "\t"
+) -> tuple[DataFrame, DataFrame]:
+    """A1/A2 with nothing lost: the rows of lines that parse, and the other lines
+    (file, reason, line): a field too few or too many, or a value that isn't of
+    its column's type.  Every line is in exactly one of them, however few columns
+    a query takes; blank lines are in none, and neither are lines that repeat the
+    column names where files have a header."""
+    names, options = schema.names, READ_OPTIONS | {"sep": sep, "columnNameOfCorruptRecord": _LINE}
+    full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, StructField(_LINE, StringType())])
+    text = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path))
+    lines = text.where(F.trim("value") != "").withColumn("__file", F.input_file_name())
+    if header:
+        lines = lines.where(F.col("value") != sep.join(names))
+    # With options given the parser looks at every field, whatever is selected.
+    parsed = lines.select("value", "__file", F.from_csv("value", full, options).alias("p"))
+    fields = F.length("value") - F.length(F.replace(F.col("value"), F.lit(sep), F.lit(""))) + 1
+    reason = F.when(fields != len(names), F.lit(FIELDS)).otherwise(F.lit(VALUE))
+    rejected = F.col(f"p.{_LINE}").isNotNull()
+    good = parsed.where(~rejected).select(*[F.col(f"p.`{n}`").alias(n) for n in names])
+    bad = parsed.where(rejected).select(F.col("__file").alias("file"), reason.alias("reason"), F.col("value").alias("line"))
+    return good, bad
+
+
+def keep_rejects(bad: DataFrame, table: str, source: str, stamp: str) -> str:
+    """Appends rejected lines to a quarantine table, made if it is missing."""
+    spark = bad.sparkSession
+    ensure_table(spark, table, REJECTS)
+    append_rows(bad.withColumn("source", F.lit(source)).withColumn("load_timestamp", F.lit(stamp)), table)
+    return table
+
+
+def reject_gate(good: DataFrame, bad: DataFrame, threshold_pct: int, label: str = "") -> dict[str, int]:
+    """K1/K3 on a landing file: raises when more than ``threshold_pct`` percent of
+    its lines were set aside, or none is left; returns both counts, by reason."""
+    counts = {"good": good.count()} | {r["reason"]: r["count"] for r in bad.groupBy("reason").count().collect()}
+    rejected = sum(n for k, n in counts.items() if k != "good")
+    if counts["good"] == 0:
+        raise GateError(f"{label}: no rows")
+    if 100 * rejected > threshold_pct * (rejected + counts["good"]):
+        raise GateError(f"{label}: {rejected} of {rejected + counts['good']} lines rejected, more than {threshold_pct}%")
+    return counts
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -85,6 +137,17 @@ def write_delimited(
     w.csv(path)
 
 
+def _check_landing_table(spark: SparkSession, name: str, schema: StructType, location: str, partition_by: Sequence[str]) -> None:
+    """A5: a table of that name must be this landing table."""
+    have = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if have != [(f.name, f.dataType) for f in schema.fields] or by != list(partition_by):
+        raise ValueError(f"{name} exists with other columns or partitions: {have}, {by}")
+    there, plain = table_location(spark, name), lambda p: p.split(":", 1)[-1].rstrip("/").lstrip("/")
+    if plain(there) != plain(location):
+        raise ValueError(f"{name} exists over another folder: {there}")
+
+
 def ensure_landing_table(
     spark: SparkSession,
     name: str,
@@ -100,6 +163,7 @@ def ensure_landing_table(
     system become visible after ``sources.catalog.refresh_partitions``.
     """
     if spark.catalog.tableExists(name):
+        _check_landing_table(spark, name, schema, location, partition_by)
         return
     names = [f.name for f in schema.fields]
     if list(partition_by) != names[len(names) - len(partition_by):]:

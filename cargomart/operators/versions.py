@@ -31,6 +31,8 @@ _NAME = re.compile(r"^[A-Za-z_]\w*(\.[A-Za-z_]\w*)?$")
 _VALUE = re.compile(r"^[A-Za-z0-9_.\- ]+$")
 #: Partitions named by one ALTER TABLE.
 BATCH = 100
+#: Rows of one file, where the rows of a partition are known beforehand.
+FILE_ROWS = 2_000_000
 COMMIT, APPLIED = "_commit.json", "_applied"
 
 
@@ -156,9 +158,14 @@ class Staged:
         return {folder_of(s): self.counts[folder_of(s)] for s in chosen}
 
 
-def stage_partitions(df: DataFrame, table: str, specs: Sequence[Mapping[str, str]]) -> Staged:
+def stage_partitions(
+    df: DataFrame, table: str, specs: Sequence[Mapping[str, str]], at_most: Mapping[str, int] | None = None
+) -> Staged:
     """Writes the rows of the named partitions, in one job, beside the table; a
-    gate can look at their counts before anything of the table is replaced."""
+    gate can look at their counts before anything of the table is replaced.
+
+    ``at_most``: how many rows a partition may get (``k=v``), where that is known;
+    it says into how many files each goes.  Otherwise Spark sizes the files."""
     spark = df.sparkSession
     by, schema = _partition_columns(spark, table), spark.table(table).schema
     for spec in specs:
@@ -168,11 +175,18 @@ def stage_partitions(df: DataFrame, table: str, specs: Sequence[Mapping[str, str
             raise ValueError(f"unsafe partition value in {dict(spec)!r}")
     recover(spark, table)
     stage = f"{location(spark, table)}{_SUFFIX}/p-{uuid.uuid4().hex}"
-    named = spark.createDataFrame([tuple(s[c] for c in by) for s in specs], ", ".join(f"`{c}` string" for c in by))
+    files = {folder_of(s): -(-(at_most or {}).get(folder_of(s), 1) // FILE_ROWS) or 1 for s in specs}
+    named = spark.createDataFrame([(*(s[c] for c in by), files[folder_of(s)]) for s in specs], ", ".join(f"`{c}` string" for c in by) + ", `__files` long")
     # One row a partition that the caller names: as many as the catalog gets.
-    rows = conform(df, schema).join(F.broadcast(named), by, "left_semi").select(*schema.names)
+    rows = conform(df, schema).join(F.broadcast(named), by)
     # Files by partition; a partition far larger than the others is split.
-    rows.hint("rebalance", *by).write.mode("error").partitionBy(*by).parquet(stage)
+    if at_most is None:
+        rows = rows.hint("rebalance", *by)
+    else:
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(at_most.values()) // FILE_ROWS)
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]), F.col("__files"))
+        rows = rows.repartition(tasks, *by, salt)
+    rows.select(*schema.names).write.mode("error").partitionBy(*by).parquet(stage)
     types = StructType([f for f in schema.fields if f.name in by])
     counted = spark.read.schema(types).parquet(stage).groupBy(*by).count().collect() if list_folders(spark, stage) else []
     counts = {folder_of({c: r[c] for c in by}): r["count"] for r in counted}

@@ -41,7 +41,7 @@ from cargomart.operators.sinks import (
 from cargomart.operators.filters import FilterSet
 from cargomart.operators.versions import folder_of, replace_partitions, stage_partitions
 from cargomart.params import RunParams, check_day, check_month, report_month_of
-from cargomart.plans.definitions import active_filter
+from cargomart.plans.definitions import active_filter, dq_rules
 from cargomart.sources.catalog import refresh_partitions
 from cargomart.plans.transforms import build_dim, dq_errors, month_rows, stage_shipments, summary_rows
 
@@ -254,13 +254,21 @@ def gate_days(spark: SparkSession, p: RunParams, days: list[str]) -> DataFrame:
     return counted.withColumn("gate", gate)
 
 
-def load_days(spark: SparkSession, p: RunParams, days: list[str]) -> list[dict]:
-    """P1 and P3 for many days in one pass each: gates of all days (K1, K2), one
-    staging write, one write of errors and one of summaries, each committed at
-    once.  A day that fails a gate keeps the partitions it had and doesn't keep
-    the others.  Returns one small record a day, in order of days: trans_dt,
-    src_cnt, dup_cnt, stg_cnt, error_cnt, summary_cnt and gate (OK, NO_ROWS,
-    DUPLICATES, NOTHING_STAGED or NO_SUMMARY)."""
+def _refuse(out: dict[str, dict], counts: dict[str, int], field: str, gate: str) -> None:
+    """Notes the counts of staged partitions, and ``gate`` where there are none."""
+    for name, n in counts.items():
+        record = out[name.rsplit("=", 1)[-1]]
+        record[field] = n
+        if n == 0 and gate:
+            record["gate"] = gate
+
+
+def ingest_days(spark: SparkSession, p: RunParams, days: list[str]) -> list[dict]:
+    """P1 for many days: the gates of all of them (K1, K2) in one pass, and one
+    staging write that is committed at once.  A day that fails a gate keeps the
+    partition it had and doesn't keep the others.  Returns one small record a
+    day, in order of days: trans_dt, src_cnt, dup_cnt, stg_cnt and gate (OK,
+    NO_ROWS, DUPLICATES or NOTHING_STAGED)."""
     t = MartTables.of(p)
     days = sorted({check_day(d) for d in days})
     if not days:
@@ -268,42 +276,53 @@ def load_days(spark: SparkSession, p: RunParams, days: list[str]) -> list[dict]:
     for name in (t.src_shipments, t.src_shipment_events):
         refresh_partitions(spark, name)
     out = {
-        r["trans_dt"]: {"trans_dt": r["trans_dt"], "src_cnt": r["row_cnt"], "dup_cnt": r["dup_cnt"], "stg_cnt": 0,
-                        "error_cnt": 0, "summary_cnt": 0, "gate": r["gate"]}
+        r["trans_dt"]: {"trans_dt": r["trans_dt"], "src_cnt": r["row_cnt"], "dup_cnt": r["dup_cnt"], "stg_cnt": 0, "gate": r["gate"]}
         for r in gate_days(spark, p, days).collect()
-    }
-
-    def passing() -> list[str]:
-        return [d for d in days if out[d]["gate"] == "OK"]
-
-    def refuse(counts: dict[str, int], field: str, gate: str) -> None:
-        for name, n in counts.items():
-            record = out[name.rsplit("=", 1)[-1]]
-            record[field] = n
-            if n == 0 and gate:
-                record["gate"] = gate
-
-    good = passing()
-    src = spark.table(t.src_shipments).where(F.col("trans_dt").isin(good))
-    events = spark.table(t.src_shipment_events).where(F.col("event_dt").isin(good))
-    stg = stage_shipments(src, events, None, p.min_declared_value, p.run_stamp)
-    staged = stage_partitions(stg, t.stg_shipments, [{"trans_dt": d} for d in good]) if good else None
-    if staged:
-        refuse(staged.counts, "stg_cnt", "NOTHING_STAGED")
-        staged.commit([{"trans_dt": d} for d in passing()])
-    good = passing()
+    }
+    good = [d for d in days if out[d]["gate"] == "OK"]
     if good:
-        stg = spark.table(t.stg_shipments).where(F.col("trans_dt").isin(good))
+        src = spark.table(t.src_shipments).where(F.col("trans_dt").isin(good))
+        events = spark.table(t.src_shipment_events).where(F.col("event_dt").isin(good))
+        stg = stage_shipments(src, events, None, p.min_declared_value, p.run_stamp)
+        at_most = {f"trans_dt={d}": out[d]["src_cnt"] for d in good}
+        staged = stage_partitions(stg, t.stg_shipments, [{"trans_dt": d} for d in good], at_most)
+        _refuse(out, staged.counts, "stg_cnt", "NOTHING_STAGED")
+        staged.commit([{"trans_dt": d} for d in good if out[d]["gate"] == "OK"])
+    return [out[d] for d in days]
+
+
+def summarize_days(spark: SparkSession, p: RunParams, staged: dict[str, int]) -> list[dict]:
+    """P3 for many days, given with their staged rows: one write of errors and
+    one of summaries, each committed at once.  Returns one small record a day, in
+    order of days: trans_dt, stg_cnt, error_cnt, summary_cnt and gate (OK, or
+    NO_SUMMARY for a day that keeps the summary it had)."""
+    t = MartTables.of(p)
+    days = sorted(check_day(d) for d in staged)
+    out = {d: {"trans_dt": d, "stg_cnt": staged[d], "error_cnt": 0, "summary_cnt": 0, "gate": "OK"} for d in days}
+    if days:
+        stg = spark.table(t.stg_shipments).where(F.col("trans_dt").isin(days))
         dim_c, dim_r = spark.table(t.dim_carrier), spark.table(t.dim_route)
-        errors = replace_partitions(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, [{"trans_dt": d} for d in good])
-        refuse(errors, "error_cnt", "")
-        spec = lambda d: {"report_month": report_month_of(d), "report_date": d}
-        summary = stage_partitions(summary_rows(stg, dim_c, dim_r, p.run_stamp), t.shipment_summary, [spec(d) for d in good])
-        refuse(summary.counts, "summary_cnt", "NO_SUMMARY")
-        summary.commit([spec(d) for d in passing()])
+        rules = len(dq_rules())  # a row breaks each of them once at most
+        errors = stage_partitions(dq_errors(stg, dim_c, dim_r, p.run_stamp), t.shipment_dq_errors, [{"trans_dt": d} for d in days],
+                                  {f"trans_dt={d}": rules * staged[d] for d in days})
+        _refuse(out, errors.counts, "error_cnt", "")
+        errors.commit()
+        spec = {d: {"report_month": report_month_of(d), "report_date": d} for d in days}
+        summary = stage_partitions(summary_rows(stg, dim_c, dim_r, p.run_stamp), t.shipment_summary, list(spec.values()),
+                                   {folder_of(spec[d]): staged[d] for d in days})
+        _refuse(out, summary.counts, "summary_cnt", "NO_SUMMARY")
+        summary.commit([spec[d] for d in days if out[d]["gate"] == "OK"])
     return [out[d] for d in days]
 
 
+def load_days(spark: SparkSession, p: RunParams, days: list[str]) -> list[dict]:
+    """P1 and then P3 for many days; a day's record has the fields of both."""
+    out = {r["trans_dt"]: r | {"error_cnt": 0, "summary_cnt": 0} for r in ingest_days(spark, p, days)}
+    for r in summarize_days(spark, p, {d: r["stg_cnt"] for d, r in out.items() if r["gate"] == "OK"}):
+        out[r["trans_dt"]] |= r
+    return list(out.values())
+
+
 def backfill(spark: SparkSession, p: RunParams, days: list[str] | None = None) -> list[dict]:
     """Ingest and summary of each missing day, all of them in one pass; reruns
     are idempotent.  A day that fails a gate doesn't keep the others: the

@@ -141,7 +141,7 @@ def q_job_ingest(spark, d):
     """P1 over every day of the source in one pass; the staged rows of the days
     that its gates let through."""
     p = _landed(spark, d, "job_ingest")
-    jobs.load_days(spark, p, _all_days(spark, p))
+    jobs.ingest_days(spark, p, _all_days(spark, p))
     return read_table(spark, f"{p.uc_db}.stg_shipments").drop("load_timestamp")
 
 

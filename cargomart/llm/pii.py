@@ -117,44 +117,117 @@ def _linked(part: Column) -> Column:
     return part.rlike(BARE) | near | part.rlike(ROWS)
 
 
+#: Elements that a scan goes through before it hands them on, and code points
+#: of the pieces that a text is cut from.
+BLOCK, PIECE = 128, 4096
+_SPAN = "struct<start:int,order:int,end:int,kind:string,score:double,base:boolean>"
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(items: Column, first: Column, step, kind: str) -> Column:
+    """The states of a left-to-right pass: ``step(state, item)`` for each item,
+    of SQL type ``kind``.  An array that grows by one is copied each time, so the
+    pass goes block by block and its cost stays in proportion to the items."""
+    none = F.lit([]).cast(f"array<{kind}>")
+    last = lambda out, state: F.when(F.size(out) > 0, F.element_at(out, -1)).otherwise(state)
+
+    def through(state: Column, block: Column) -> Column:
+        return F.aggregate(block, none, lambda out, x: F.concat(out, F.array(_let(last(out, state), lambda s: step(s, x)))))
+
+    def add(acc: Column, block: Column) -> Column:
+        state = F.when(F.size(acc) > 0, F.element_at(F.element_at(acc, -1), -1)).otherwise(first)
+        return _let(state, lambda s: F.concat(acc, F.array(through(s, block))))
+
+    def whole(items: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(starts, lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(items) > 0, F.flatten(F.aggregate(blocks, F.lit([]).cast(f"array<array<{kind}>>"), add))).otherwise(none)
+
+    return _let(items, whole)
+
+
 def _proposed(rule: Rule, nth: int, text: Column) -> Column:
     """Spans of a rule's valid matches, in order: start and end (code points,
     end exclusive), order and name of the kind, score.  A context word next to
     one member of a list counts for all of them."""
-    parts = F.split(text, rule.pattern, -1)
+    # Texts without a match, which are the most by far, are one part.
+    spans = _let(F.split(text, rule.pattern, -1), lambda parts: F.when(F.size(parts) > 1, _placed(rule, nth, text, parts)))
+    return F.coalesce(F.when(_needed(rule, text), spans), F.lit([]).cast(f"array<{_SPAN}>"))
+
+
+def _placed(rule: Rule, nth: int, text: Column, parts: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     # The part after the last match has none.
     pairs = F.zip_with(parts, found, lambda p, m: F.struct(
         F.length(p).alias("gap"), m.alias("match"), (m.isNotNull() & _valid(rule, m)).alias("valid"), _linked(p).alias("linked"),
         F.right(p, F.lit(CONTEXT_CHARS)).rlike(rule.context).alias("before"), F.left(p, F.lit(CONTEXT_CHARS)).rlike(rule.context).alias("after"),
     ))
-    empty = F.lit([]).cast("array<struct<start:int,order:int,end:int,kind:string,score:double,base:boolean>>")
-
-    def closed(acc: Column, named: Column) -> Column:
-        """Spans, with those of the list that ends here."""
-        score = F.least(F.lit(rule.score) + F.when(named, F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0)), F.lit(1.0))
-        listed = F.transform(acc["list"], lambda x: x.withField("score", score))
-        return F.when(F.lit(rule.base) | (score >= MIN_SCORE), F.concat(acc["spans"], listed)).otherwise(acc["spans"])
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(
-            start.alias("start"), F.lit(nth).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"),
-            F.lit(rule.score).alias("score"), F.lit(rule.base).alias("base"),
-        )
-        named = acc["named"] | ((acc["at"] > 0) & x["after"])
+    kind = "struct<start:int,end:int,valid:boolean,goes_on:boolean,closes:boolean,named:boolean>"
+
+    def place(s: Column, x: Column) -> Column:
+        """Where a match stands, whether it goes on the list before it, whether
+        that list has a context word (its last one right after it), and whether
+        the match's own list has one so far."""
+        start = s["end"] + x["gap"]
+        closes = s["named"] | ((s["end"] > 0) & x["after"])
         goes_on = x["match"].isNotNull() & x["linked"]
-        listed = F.when(goes_on, acc["list"]).otherwise(empty)
         return F.struct(
-            end.alias("at"), F.when(goes_on, acc["spans"]).otherwise(closed(acc, named)).alias("spans"),
-            F.when(x["valid"], F.concat(listed, F.array(span))).otherwise(listed).alias("list"),
-            ((goes_on & named) | x["before"]).alias("named"),
+            start.alias("start"), (start + F.coalesce(F.length(x["match"]), F.lit(0))).alias("end"), x["valid"].alias("valid"),
+            goes_on.alias("goes_on"), closes.alias("closes"), ((goes_on & closes) | x["before"]).alias("named"),
         )
 
-    first = F.struct(F.lit(0).alias("at"), empty.alias("spans"), empty.alias("list"), F.lit(False).alias("named"))
-    spans = F.aggregate(pairs, first, step, lambda acc: acc["spans"])
-    return F.when(_needed(rule, text), spans).otherwise(empty)
+    no = F.lit(False)
+    begin = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), no.alias("valid"), no.alias("goes_on"), no.alias("closes"), no.alias("named"))
+    placed = _scan(pairs, begin, place, kind)
+
+    def ended(s: Column, x: Column) -> Column:
+        """From the end: what a list's last member's successor says of the list."""
+        named = s["next"]
+        return F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["valid"].alias("valid"), named.alias("named"),
+            F.when(x["goes_on"], named).otherwise(x["closes"]).alias("next"),
+        )
+
+    over = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), no.alias("valid"), no.alias("named"), no.alias("next"))
+    listed = _scan(F.reverse(placed), over, ended, "struct<start:int,end:int,valid:boolean,named:boolean,next:boolean>")
+    score = lambda x: F.least(F.lit(rule.score) + F.when(x["named"], F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0)), F.lit(1.0))
+    kept = F.filter(F.reverse(listed), lambda x: x["valid"] & (F.lit(rule.base) | (score(x) >= MIN_SCORE)))
+    return F.transform(kept, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(nth).alias("order"), x["end"].alias("end"), F.lit(rule.kind).alias("kind"),
+        score(x).alias("score"), F.lit(rule.base).alias("base"),
+    ))
+
+
+def _without_clashes(base: Column, more: Column) -> Column:
+    """Added spans that no base span of their kind overlaps.  Base spans of a
+    kind don't overlap, so the nearest on either side is the one to ask."""
+    return F.when(F.size(more) > 0, _clear(base, more)).otherwise(more)
+
+
+def _clear(base: Column, more: Column) -> Column:
+    order = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x.alias("x"))
+    both = F.transform(F.array_sort(F.transform(F.concat(base, more), order)), lambda y: y["x"])
+    kind = f"struct<x:{_SPAN},kind:string,edge:int,free:boolean>"
+
+    def ask(before: bool):
+        def step(s: Column, y: Column) -> Column:
+            x, so_far = (y["x"], y["free"]) if not before else (y, F.lit(True))
+            clear = (s["edge"] <= x["start"]) if before else (s["edge"] >= x["end"])
+            free = so_far & (x["base"] | s["edge"].isNull() | (s["kind"] != x["kind"]) | clear)
+            edge = x["end"] if before else x["start"]
+            same = F.when(s["kind"] == x["kind"], s["edge"])
+            return F.struct(x.alias("x"), x["kind"].alias("kind"), F.when(x["base"], edge).otherwise(same).alias("edge"), free.alias("free"))
+
+        return step
+
+    nothing = F.lit(None).cast(kind)
+    forth = _scan(both, nothing, ask(True), kind)
+    back = _scan(F.reverse(forth), nothing, ask(False), kind)
+    return F.transform(F.filter(back, lambda y: y["free"] & ~y["x"]["base"]), lambda y: y["x"])
 
 
 def _with_spans(docs: DataFrame, name: str) -> DataFrame:
@@ -165,8 +238,7 @@ def _with_spans(docs: DataFrame, name: str) -> DataFrame:
         raw = raw.withColumn(f"_spans{k}", _proposed(rule, KINDS.index(rule.kind) if rule.kind in KINDS else k, text))
     base = F.concat(*[F.col(f"_spans{k}") for k, r in enumerate(RULES) if r.base])
     more = F.concat(*[F.col(f"_spans{k}") for k, r in enumerate(RULES) if not r.base])
-    clash = lambda x: F.exists(base, lambda y: (y["kind"] == x["kind"]) & (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    return raw.withColumn(name, F.array_sort(F.concat(base, F.filter(more, lambda x: ~clash(x))))).drop(
+    return raw.withColumn(name, F.array_sort(F.concat(base, _without_clashes(base, more)))).drop(
         *[f"_spans{k}" for k in range(len(RULES))]
     )
 
@@ -194,21 +266,32 @@ def digest(found: DataFrame) -> DataFrame:
 def _regions(spans: Column) -> Column:
     """Spans in order, those that overlap merged into one.  Its kind is that of
     the first base span in it, or else of its longest."""
+    kind = "struct<start:int,end:int,kind:string,base:boolean,size:int>"
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
+    def step(last: Column, x: Column) -> Column:
         size = x["end"] - x["start"]
-        new = F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"), size.alias("size"))
-        wins = ~last["base"] & (x["base"] | (size > last["size"]))
+        joins = F.coalesce(x["start"] < last["end"], F.lit(False))
+        wins = ~joins | (~last["base"] & (x["base"] | (size > last["size"])))
         kept = lambda f, value: F.when(wins, value).otherwise(last[f]).alias(f)
-        both = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
+        return F.struct(
+            F.when(joins, last["start"]).otherwise(x["start"]).alias("start"),
+            F.when(joins, F.greatest(last["end"], x["end"])).otherwise(x["end"]).alias("end"),
             kept("kind", x["kind"]), kept("base", x["base"]), kept("size", size),
         )
-        joins = (F.size(acc) > 0) & (x["start"] < last["end"])
-        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(both))).otherwise(F.concat(acc, F.array(new)))
 
-    return F.aggregate(spans, F.lit([]).cast("array<struct<start:int,end:int,kind:string,base:boolean,size:int>>"), step)
+    grown = _scan(spans, F.lit(None).cast(kind), step, kind)
+    # A region is what it has grown to when the next one starts elsewhere.
+    return _let(grown, lambda g: F.filter(g, lambda x, i: F.coalesce(F.get(g, i + 1)["start"] != x["start"], F.lit(True))))
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """A part of the text that was cut into ``pieces`` of PIECE code points."""
+    a, b = (F.floor(x / PIECE).cast("int") for x in (start, end))
+    whole = F.array_join(F.slice(pieces, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+    head, tail = (F.coalesce(F.get(pieces, x), F.lit("")) for x in (a, b))
+    within = F.substring(head, start % PIECE + 1, end - start)
+    across = F.concat(F.substring(head, start % PIECE + 1, F.lit(PIECE)), whole, F.substring(tail, F.lit(1), end % PIECE))
+    return F.when(a == b, within).otherwise(across)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -218,11 +301,15 @@ def redact(docs: DataFrame) -> DataFrame:
     names, text, regions = docs.columns, F.col("text"), F.col("_regions")
     docs = _with_spans(docs, "_found").withColumn("_regions", _regions(F.col("_found")))
 
+    # A substring is found from its text's start, so long texts are cut first.
+    docs = docs.withColumn("_pieces", F.when(F.size(regions) > 0, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))))
+    pieces = F.col("_pieces")
+
     def put(x: Column, i: Column) -> Column:
         at = F.when(i > 0, F.get(regions, i - 1)["end"]).otherwise(F.lit(0))
-        return F.concat(F.substring(text, at + 1, x["start"] - at), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
+        return F.concat(_cut(pieces, at, x["start"]), F.lit("<"), F.upper(x["kind"]), F.lit(">"))
 
-    tail = F.substring(text, F.element_at(regions, -1)["end"] + 1, F.length(text))
+    tail = _cut(pieces, F.element_at(regions, -1)["end"], F.length(text))
     new = F.concat(F.array_join(F.transform(regions, put), ""), tail)
     docs = docs.withColumn("text", F.when(text.isNotNull() & (F.size(regions) > 0), new).otherwise(text))
     if "n_chars" in names:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cargomart.functions.measures import count_where, percent_string, sum_or_zero
 from cargomart.functions.predicates import all_of, is_present
+from cargomart.operators.joins import bounded_broadcast
 from cargomart.operators.windows import latest_per_key
 
 
@@ -31,6 +32,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], present: Sequence[str] =
     )
 
 
+def duplicate_keys_hashed(df: DataFrame, keys: Sequence[str], present: Sequence[str] = ()) -> DataFrame:
+    """D2 in two steps, for wide keys and few duplicates: the rows' 64-bit key
+    hashes are counted (8 bytes a key are shuffled), and only rows whose hash
+    occurs more than once are grouped by their full keys, so a collision of
+    hashes costs a row of work and no wrong result.  ``df`` is read twice."""
+    if present:
+        df = df.where(all_of(is_present(c) for c in present))
+    # A null hashes as its seed does: say which keys are null.
+    parts = [x for c in keys for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashed = df.select(*keys, F.xxhash64(*parts).alias("__h"))
+    twice = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__h")
+    rows = hashed.join(bounded_broadcast(twice), "__h", "left_semi")
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
+
+
 def duplicate_key_count(df: DataFrame, keys: Sequence[str], present: Sequence[str] = ()) -> DataFrame:
     """D3: one row ``dup_count`` = number of duplicated keys (not surplus rows)."""
     return duplicate_keys(df, keys, present).agg(F.count(F.lit(1)).alias("dup_count"))
@@ -82,6 +98,18 @@ def rollup_counts(summary: DataFrame, keys: Sequence[str], cols: Sequence[str])
     return out.select(*keys, *[F.col(c).cast(summary.schema[c].dataType).alias(c) for c in cols])
 
 
+def rollup_levels(summary: DataFrame, levels: Sequence[Sequence[str]], cols: Sequence[str]) -> DataFrame:
+    """D9 at several levels from one pass (GROUPING SETS): the columns of all
+    levels (null where a level hasn't got one), ``level_id`` and the sums.
+    ``level_id`` has a bit for each column, the first the highest, set where the
+    column is summed over, which tells such nulls from null values."""
+    keys = list(dict.fromkeys(c for level in levels for c in level))
+    sets = [[F.col(f"`{c}`") for c in level] for level in levels]
+    sums = [F.sum(c).cast(summary.schema[c].dataType).alias(c) for c in cols]
+    out = summary.groupingSets(sets, *[F.col(f"`{c}`") for c in keys]).agg(F.grouping_id().cast("int").alias("level_id"), *sums)
+    return out.select(*keys, "level_id", *cols)
+
+
 def error_counts(dq: DataFrame, by: Sequence[str] = ("trans_dt", "error_code")) -> DataFrame:
     """Rows per error code (the consumer query the DQ table exists for)."""
     return dq.groupBy(*by).agg(F.count(F.lit(1)).alias("error_cnt"))

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cargomart.session import materialize
+
 _LATEST = "__latest"
 
 
@@ -67,3 +69,30 @@ def latest_per_key_window(
         .where(F.col("__rn") == 1)
         .select(*keys, *take)
     )
+
+
+def number_rows(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str = "line_no", start: int = 1) -> DataFrame:
+    """adds each row's place in its group by ``order_by`` (ascending, nulls
+    first), counted from ``start``; no group has to fit into one task.
+
+    The rows are range-partitioned by group and order and written once; a group
+    then lies in neighbouring partitions, and a row's place is its place among
+    the group's rows of its partition plus the rows of the partitions before,
+    which one small table (a row for each group and partition) says.  Rows that
+    are alike in all of these columns take their places in any order."""
+    group_by = list(group_by)
+    keys = [F.asc_nulls_first(c) for c in [*group_by, *order_by]]
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = materialize(ordered.withColumn("__at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    sizes = rows.groupBy(*group_by, "__part").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group_by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        *[F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(group_by)], F.col("__part").alias("__p"), "__first",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+    )
+    same = F.col("__part") == F.col("__p")
+    for i, c in enumerate(group_by):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
+    place = F.col("__before") + F.col("__at") - F.col("__first") + start
+    return rows.join(sizes, same).withColumn(name, place).select(*df.columns, name)

@@ -344,6 +344,13 @@ ORACLE: dict[str, str] = {
 # Equivalent forms share their oracle.
 ORACLE["latest_event_per_key_window"] = ORACLE["latest_event_per_key"]
 ORACLE["orphans_carrier_left_join"] = ORACLE["orphans_carrier"]
+ORACLE["duplicate_keys_hashed"] = ORACLE["duplicate_keys"]
+ORACLE["summary_levels"] = _with(*_BASE, _summary_from("stg")) + """
+  SELECT report_month, carrier_id, service_level, CAST(GROUPING_ID(report_month, carrier_id, service_level) AS INT) AS level_id,
+         CAST(SUM(total_count) AS BIGINT) AS total_count, CAST(SUM(approved_count) AS BIGINT) AS approved_count,
+         CAST(SUM(total_amount) AS DECIMAL(18,2)) AS total_amount
+  FROM summary
+  GROUP BY GROUPING SETS ((report_month, carrier_id, service_level), (report_month, carrier_id), (report_month), ())"""
 
 # ---- tables, files, gates and jobs (cargomart.plans.table_queries)
 

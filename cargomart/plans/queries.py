@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargomart import schemas
@@ -22,6 +22,8 @@ from cargomart.operators.aggregates import (
     dedupe,
     duplicate_key_count,
     duplicate_keys,
+    duplicate_keys_hashed,
+    rollup_levels,
     error_counts,
     missing_days,
     rollup_counts,
@@ -29,8 +31,8 @@ from cargomart.operators.aggregates import (
 from cargomart.operators.joins import enrich_latest, orphan_rows, orphan_rows_left_join
 from cargomart.operators.gates import run_report
 from cargomart.operators.rules import violation_count
-from cargomart.operators.sinks import frame_lines
-from cargomart.operators.windows import latest_per_key, latest_per_key_window
+from cargomart.operators.sinks import HEADER_TAG, TRAILER_PREFIX, TRAILER_TAG, frame_lines
+from cargomart.operators.windows import latest_per_key, latest_per_key_window, number_rows
 from cargomart.plans.definitions import (
     SUMMARY_MEASURE_COLS, active_filter, dq_rules, ingest_filters, summary_filters, with_dim_flags,
 )
@@ -227,16 +229,25 @@ def q_error_rate_by_day(spark, d):
 
 
 def q_framed_export_lines(spark, d):
-    """Every month's framed export (header, rows, trailer) as lines."""
-    lines = frame_lines(
-        summary(spark, d).select(*schemas.EXPORT_COLUMNS), schemas.EXPORT_COLUMNS,
-        order_by=EXPORT_ORDER, group_by=["report_month"],
-    )
-    # the place of each line in its month's file (one file is one group).
-    order = Window.partitionBy("report_month").orderBy("line_tag", *[F.asc_nulls_first(c) for c in EXPORT_ORDER])
-    return lines.select(
-        F.col("report_month").alias("export_month"), "line_tag", "line", F.row_number().over(order).alias("line_no")
-    )
+    """Every month's framed export (header, rows, trailer) as lines
+    with their places in the month's file.  The summary is computed once."""
+    rows = number_rows(summary(spark, d).select(*schemas.EXPORT_COLUMNS), ["report_month"], EXPORT_ORDER, start=2)
+    lines = frame_lines(rows, schemas.EXPORT_COLUMNS, order_by=["line_no"], group_by=["report_month"])
+    n = F.substr("line", F.lit(len(TRAILER_PREFIX) + 1)).try_cast("long")
+    place = F.when(F.col("line_tag") == HEADER_TAG, 1).when(F.col("line_tag") == TRAILER_TAG, n + 2).otherwise(F.col("line_no"))
+    return lines.select(F.col("report_month").alias("export_month"), "line_tag", "line", place.cast("int").alias("line_no"))
+
+
+def q_summary_levels(spark, d):
+    """The summary by month, carrier and service level, and at three coarser
+    levels, all from one pass."""
+    levels = [["report_month", "carrier_id", "service_level"], ["report_month", "carrier_id"], ["report_month"], []]
+    return rollup_levels(summary(spark, d), levels, ["total_count", "approved_count", "total_amount"])
+
+
+def q_duplicate_keys_hashed(spark, d):
+    """D2 by candidates: full keys are grouped only where their hashes repeat."""
+    return duplicate_keys_hashed(src(spark, d), ["shipment_id", "trans_dt"], present=["shipment_id"])
 
 
 def q_missing_days(spark, d):
@@ -318,6 +329,8 @@ QUERIES: dict[str, Query] = {
     "orphans_route": q_orphans_route,
     "rule_violations": q_rule_violations,
     "error_counts": q_error_counts,
+    "summary_levels": q_summary_levels,
+    "duplicate_keys_hashed": q_duplicate_keys_hashed,
     "daily_summary": q_daily_summary,
     "monthly_summary": q_monthly_summary,
     "month_slice": q_month_slice,

@@ -15,7 +15,7 @@ from cargomart.session import checkpoint_dir
 #: Rows of an Arrow batch handed to Python at once; texts are handled in
 #: slices of SLICE_CHARS, so a batch of very long texts stays bounded too.
 ARROW_ROWS = 512
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 
 
 _SHIPPED: set[str] = set()

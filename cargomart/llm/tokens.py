@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Chunks of one generation (about 160 bytes each); two are held at most.
-GENERATION = 400_000
+GENERATION = 200_000
 #: Longer chunks are encoded but not remembered.
 KEEP_CHARS = 48
 

@@ -1,7 +1,7 @@
 """Main text of web pages: a linear-chain conditional random field over the
 leaf blocks of the document tree.
 
-A block is the text between two tags that aren't inline.  Its features are its
+A block is the text between two tags that end blocks.  Its features are its
 ancestors' tags, words in their class and id, and the look of its text; the
 chain's labels say whether it belongs to the article.  The field is trained on
 labelled pages: layouts whose regions are known are filled with text from a
@@ -28,20 +28,20 @@ from .crf import Chain, fit
 SAMPLE_PAGES, LAYOUTS = 120, 500
 
 #: What HTML says of its elements.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr "
-    # Formulas.
-    "annotation math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
-    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
-)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style noscript template iframe svg datalist".split())
+#: Scripts, styles and what isn't part of the page; all other text is for the field to judge.
+HIDDEN = frozenset("head title script style template datalist".split())
 #: What may stand in a head; any other element or text ends one that is open.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 #: A start tag of these ends an open paragraph.
 BLOCKS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
+#: These end a block; any other element, known or not, stands in a line of text.
+BREAKS = BLOCKS | frozenset(
+    "body br button caption center col colgroup dd dialog dir dt frameset head hgroup html iframe legend li noframes noscript optgroup option search "
+    "select summary tbody td textarea tfoot th thead tr".split()
+)
 #: A start tag ends an open element of its own kind, up to the container.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -63,7 +63,7 @@ HINTS = {
 }
 TAGS = (
     "article aside blockquote body button dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header legend li main "
-    "menu nav ol option p pre section select table td textarea th ul"
+    "iframe menu nav noscript ol option p pre section select table td textarea th ul"
 ).split()
 
 _WORD = re.compile(r"[a-z]+")
@@ -88,7 +88,7 @@ class _Blocks(HTMLParser):
 
     def flush(self) -> None:
         if text := " ".join("".join(self.parts).split()):
-            parent = next((t for t, _ in reversed(self.stack) if t not in INLINE), "")
+            parent = next((t for t, _ in reversed(self.stack) if t in BREAKS), "")
             self.blocks.append((text, frozenset(self.open) | {f"in:{parent}"}, self.linked))
         self.parts, self.linked = [], 0
 
@@ -118,7 +118,7 @@ class _Blocks(HTMLParser):
             self._pop()
 
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
+        if tag in BREAKS:
             self.flush()
         if tag == "body" and self.of_tag.get("head"):
             self._close({"head"}, set())
@@ -130,7 +130,7 @@ class _Blocks(HTMLParser):
             self._close(*SIBLINGS[tag])
         if tag in VOID:
             return
-        marks = {f"tag:{tag}"} if tag not in INLINE else set()
+        marks = {f"tag:{tag}"} if tag in BREAKS else set()
         for name, value in attrs:
             if name in ("class", "id", "role") and value and tag not in ("html", "body"):
                 for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
@@ -142,7 +142,7 @@ class _Blocks(HTMLParser):
             self.open[m] = self.open.get(m, 0) + 1
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag in BREAKS:
             self.flush()
         if self.of_tag.get(tag):
             while self.stack[-1][0] != tag:
@@ -220,6 +220,7 @@ class _Layout:
 
     def __init__(self, texts: list[str], rng: random.Random):
         self.texts, self.rng = texts, rng
+        self.odd = random.Random(12)  # for what few pages have
         self.words = [w for t in texts[:200] for w in t.split()[:40]]
 
     def prose(self, low: int = 1, high: int = 90) -> str:
@@ -321,6 +322,11 @@ class _Layout:
         if r.random() < 0.3:
             r.shuffle(before)
         html = "".join(self.aside(k) for k in before) + self.content() + "".join(self.aside(k) for k in after)
+        if self.odd.random() < 0.2:
+            # What stands in for scripts or an embedded page, anywhere between two blocks.
+            tag, text = self.odd.choice(("noscript", "iframe")), " ".join(self.odd.choices(self.words, k=self.odd.randint(3, 14)))
+            at = self.odd.choice([0, *(m.end() for m in re.finditer("</(?:p|div|ul|h1)>", html))])
+            html = html[:at] + f"<{tag}>{self.put(text, 0)}</{tag}>" + html[at:]
         kept, labels = [], []
         for text, marks, linked in blocks(f"<html><body>{html}</body></html>"):
             labels.append(int(text[text.index("\ue000") + 1]))
@@ -352,7 +358,8 @@ def main_text(html: str, model: Chain) -> str:
 def extract(pages: DataFrame, model: Chain) -> DataFrame:
     """page_id, url, html (null: empty) to page_id, url, text (empty if none)
     and n_chars.  Pages are handled one by one, so repeated rows give repeated
-    results; no shuffle."""
+    results, a null page_id or url stays null, and an empty table stays empty;
+    other columns are not looked at; no shuffle."""
     tune(pages.sparkSession)
 
     def run(batches):

@@ -4,8 +4,9 @@ A template is wording with markup: ``[[ ... ]]`` is optional (and may hold
 markup itself), ``{n}`` stands for any n words at most.  Each template is
 compiled to an automaton over words; a text is accepted where all mandatory
 wording follows word for word, with optional and replaceable regions in
-between.  A text that ends within a license counts from ``||`` on, by the words
-that it has; wording that goes on otherwise doesn't count.  Case, punctuation and line breaks don't matter, as only words count.
+between.  A text that ends within a license, at ``||`` or later, isn't accepted;
+``partial`` names the license that it begins.  Case, punctuation and line breaks
+don't matter, as only words count.
 
 Texts are turned into numbers of the templates' words on arrays; automata run
 only from places where a template's first words stand.
@@ -33,11 +34,16 @@ _AS_IS = (
     "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
     "other dealings in the software"
 )
-_GPL = (
-    "[[{12} is free software you can redistribute it and or modify it under the terms of the]] gnu general public license as published by the "
+_NOTICE = (
+    "[[{12} is free software you can redistribute it and or modify it under the terms of the]] {gpl} as published by the "
     "free software foundation either version {v} of the license or at your option any later version {12} distributed in the hope that it will "
-    "be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
-    "general public license for more details"
+    "be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the "
+    "{gpl} for more details"
+)
+_GPL = _NOTICE.replace("{gpl}", "gnu general public license")
+#: What follows a title in the GNU licenses themselves.
+_VERBATIM = (
+    "copyright {16} everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"
 )
 
 #: Wording of public licenses (whole short licenses, whole notices of long
@@ -56,8 +62,34 @@ TEMPLATES = {
         "a copy of the license at {8} unless required by applicable law or agreed to in writing software distributed under the license is "
         "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
         "language governing permissions and limitations under the license",
-        "licensed under the apache license version 2 0 [[the license]] you may not use {4} except in compliance with the license",
         "licensed under [[the terms of]] the apache [[software]] license version 2 [[0]]",
+        "apache license version 2 0 january 2004 [[http www apache org licenses]] terms and conditions for use reproduction and distribution",
+    ),
+    "zlib": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages "
+        "arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following restrictions [[1]] the origin of this software must not "
+        "be misrepresented you must not claim that you wrote the original software if you use this software in a product an [[acknowledgment]] "
+        "[[acknowledgement]] in the product documentation would be appreciated but is not required [[2]] altered source versions must be plainly "
+        "marked as such and must not be misrepresented as being the original software [[3]] this notice may not be removed or altered from any "
+        "source distribution",
+    ),
+    "lgpl": (
+        _NOTICE.replace("{gpl}", "gnu lesser general public license").replace("{v}", "{3}"),
+        _NOTICE.replace("{gpl}", "gnu library general public license").replace("{v}", "{3}"),
+        "gnu lesser general public license version [[2 1 february 1999]] [[3 29 june 2007]] " + _VERBATIM,
+        "licensed under [[the terms of]] the [[gnu]] lesser general public license",
+    ),
+    "agpl-3": (
+        _NOTICE.replace("{gpl}", "gnu affero general public license").replace("{v}", "3"),
+        "gnu affero general public license version 3 19 november 2007 " + _VERBATIM,
+        "licensed under [[the terms of]] the [[gnu]] affero general public license [[version 3]]",
+    ),
+    "cc0": (
+        "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of [[his or her]] [[their]] "
+        "rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law",
+        "has waived all copyright and related or neighboring rights to",
+        "licensed under [[the]] [[creative commons]] cc0 [[1 0]] [[universal]]",
     ),
     "cc-by-nc": (
         "licensed under [[a]] [[the]] creative commons attribution non commercial {3} license",
@@ -73,12 +105,12 @@ TEMPLATES = {
     "gpl-3": (
         _GPL.replace("{v}", "3"),
         "licensed under [[the terms of]] the [[gnu]] general public license [[as published by the free software foundation {1}]] version 3",
-        "gnu general public license as published by the free software foundation either version 3 of the license",
+        "gnu general public license version 3 29 june 2007 " + _VERBATIM,
     ),
     "gpl-2": (
         _GPL.replace("{v}", "2"),
         "licensed under [[the terms of]] the [[gnu]] general public license [[as published by the free software foundation {1}]] version 2",
-        "gnu general public license as published by the free software foundation either version 2 of the license",
+        "gnu general public license version 2 june 1991 " + _VERBATIM,
     ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
@@ -106,7 +138,7 @@ TEMPLATES = {
     "mpl-2": (
         "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this "
         "file you can obtain one at {8}",
-        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "mozilla public license version 2 0 [[1 definitions]]",
     ),
     "unlicense": (
         "this is free and unencumbered software released into the public domain || anyone is free to copy modify publish use compile sell or "
@@ -125,7 +157,8 @@ _TOKEN = re.compile(r"\[\[|\]\]|\|\||\{[0-9]+\}|[^\s\[\]{}|]+")
 class Automaton:
     """States 0 to ``accept``; ``step[state]`` maps a word to next states,
     ``any`` has the states that any word leaves as well, ``free`` those that
-    are entered without a word.  A text may end in a state from ``cut`` on."""
+    are entered without a word.  A text that ends in a state from ``cut`` on
+    is a partial match."""
 
     label: str
     mandatory: int = 0
@@ -163,8 +196,13 @@ class Automaton:
         return out
 
     def match(self, seen: list[int], number: dict[str, int]) -> int:
-        """Words of the longest match at the start of ``seen``, or 0; ``seen``
-        ends with the text, unless it is longer than any match."""
+        """Words of the longest match at the start of ``seen``, or 0."""
+        return self.run(seen, number)[0]
+
+    def run(self, seen: list[int], number: dict[str, int]) -> tuple[int, bool]:
+        """Words of the longest match, and whether there is none but ``seen``
+        ends in a partial one; it ends with the text, unless it is longer than
+        any match."""
         states, best = self.closure({0}), 0
         for k, w in enumerate(seen, 1):
             after = {t for s in states for v, t in self.step[s].items() if number[v] == w}
@@ -174,9 +212,7 @@ class Automaton:
                 best = k
             if not states:
                 break
-        if self.cut is not None and any(s >= self.cut for s in states):
-            best = len(seen)
-        return best
+        return best, not best and self.cut is not None and any(s >= self.cut for s in states)
 
 
 def compile_template(label: str, template: str) -> Automaton:
@@ -229,7 +265,7 @@ def _compiled():
 
 
 def _scan(texts: list[str]) -> list[tuple]:
-    """Of each text: words, base places, first, last, base labels, labels, score."""
+    """Of each text: words, base places, first, last, base labels, labels, score, partial labels."""
     number, hashes, order, base, starts = _compiled()
     w = words(texts, ALNUM)
     at = np.minimum(np.searchsorted(hashes, w.hash), len(hashes) - 1)
@@ -247,6 +283,7 @@ def _scan(texts: list[str]) -> list[tuple]:
         for i in np.flatnonzero(hit):
             places[text[i]].append((int(i - w.bounds[text[i]]), label, len(phrase)))
     labels = [{label: n for _, label, n in p} for p in places]
+    partial = [set() for _ in texts]
     # Pairs of a start's first words; -2 ends a text, -1 is any other word.
     size = len(number) + 2
     pair = seen * size + joined[where + 1] + 2
@@ -255,30 +292,36 @@ def _scan(texts: list[str]) -> list[tuple]:
         v, u, t = int(seen[i]), int(joined[where[i] + 1]), text[i]
         for a in {id(a): a for a in (*starts.get((v, u), ()), *starts.get((v, -1), ()))}.values():
             # No match is longer than its automaton has states.
-            if n := a.match(seen[i : min(i + a.accept + 1, w.bounds[t + 1])].tolist(), number):
+            n, begun = a.run(seen[i : min(i + a.accept + 1, w.bounds[t + 1])].tolist(), number)
+            if n:
                 labels[t][a.label] = max(labels[t].get(a.label, 0), min(n, a.mandatory))
+            elif begun:
+                partial[t].add(a.label)
     out = []
     for i, p in enumerate(places):
         first, last = (min(p)[0], max(p)[0]) if p else (None, None)
         longest = max(labels[i].values(), default=0)
         out.append((
             int(w.bounds[i + 1] - w.bounds[i]), len(p), first, last, ",".join(sorted({x[1] for x in p})),
-            ",".join(sorted(labels[i])), longest / (longest + 2) if longest else 0.0,
+            ",".join(sorted(labels[i])), longest / (longest + 2) if longest else 0.0, ",".join(sorted(partial[i] - labels[i].keys())),
         ))
     return out
 
 
-SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+SCHEMA = (
+    "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, partial string"
+)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, text (null: empty) to the base phrases' places and labels, and
     all labels.  ``score`` is 0 without a label and nears 1 with the length of
-    the longest mandatory wording that matched.  No label: an empty string; no
-    place: null first and last word.  Rows are handled one by one, so repeated
+    the longest mandatory wording that matched.  ``partial`` names licenses
+    that a text begins and breaks off; they are no labels and don't score.  No
+    label: an empty string; no place: null first and last word.  Rows are handled one by one, so repeated
     rows give repeated results; no shuffle."""
     tune(docs.sparkSession)
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string())
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches):

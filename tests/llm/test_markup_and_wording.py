@@ -1,0 +1,96 @@
+"""Markup that doesn't end a block, text for the field to judge, notices and license titles, and noisy-or and Viterbi against plain versions."""
+
+from itertools import product
+
+import numpy as np
+import pytest
+from cargomart.llm import crf, html_extract, licenses, toxicity
+
+
+@pytest.mark.parametrize(
+    "html,texts",
+    [
+        ("<p>foo<img src=x>bar</p>", ["foobar"]),
+        ("<p>a <input> b<my-mark>c</my-mark></p>", ["a bc"]),
+        ("<p>foo<script>var x = 1;</script>bar</p>", ["foobar"]),
+        ("<p>x<svg viewBox=1><title>t</title><text>12</text></svg>y</p>", ["x12y"]),
+        ("<p>one</p><noscript>off</noscript><p>two</p>", ["one", "off", "two"]),
+        ("<head><noscript>off</noscript></head><body><p>one", ["one"]),
+        ("<p>one<br>two<p>three<div>four", ["one", "two", "three", "four"]),
+        ("<template><p>no</p></template><form><datalist><option>no</datalist></form>", []),
+        ("", []),
+    ],
+)
+def test_blocks_end_only_where_html_ends_them(html, texts):
+    assert [b[0] for b in html_extract.blocks(html)] == texts
+
+
+def test_text_beside_scripts_is_no_article(spark):
+    names = "page_id long, url string, html string, extra string"
+    words = "the river runs slowly past the old mill and its wheel turns all day while people walk along the bank."
+    page = lambda k: f"<html><body><article><h1>Mill {k}</h1>" + f"<p>{words}</p>" * 4 + "</article><noscript>Please turn on scripts now</noscript></body></html>"
+    pages = spark.createDataFrame([(k, None, page(k), "x") for k in range(5)] + [(None, "u", None, None)], names)
+    model = html_extract.train(pages)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, model).collect()}
+    assert got == {None: ""} | {k: f"Mill {k} " + " ".join([words] * 4) for k in range(5)}
+    assert html_extract.extract(pages.limit(0), model).count() == 0
+
+
+def test_best_labels_are_those_of_all_labellings():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 8):
+        chain = crf.Chain(rng.normal(size=(6, 2)), rng.normal(size=(2, 2)), rng.normal(size=2), rng.normal(size=2))
+        rows = [sorted(set(rng.integers(0, 6, 3).tolist())) for _ in range(n)]
+
+        def value(y):
+            each = sum(chain.emit[r, k].sum() for r, k in zip(rows, y))  # noqa: B023
+            return each + chain.first[y[0]] + chain.last[y[-1]] + sum(chain.move[a, b] for a, b in zip(y, y[1:]))  # noqa: B023
+
+        assert tuple(chain.decode(rows)) == max(product((0, 1), repeat=n), key=value)
+
+
+def test_noisy_or_is_that_of_the_sentences(spark):
+    texts = ["bad day. good day! bad bad end", "good", "", "bad"]
+    hashes = {w: toxicity.features([w])[1][0, 0] for w in ("bad", "good")}
+    order = np.argsort([hashes["bad"], hashes["good"]])
+    model = toxicity.Model(np.array([hashes["bad"], hashes["good"]], np.uint64)[order], np.array([2.0, -1.0])[order], -1.5)
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    p = lambda z: 1 / (1 + np.exp(-z))
+    # Each word's features are itself and its first 3 to 6 bytes; only the word's own hash is known here.
+    assert [r["score"] for r in got] == pytest.approx(
+        [1 - (1 - p(0.5)) * (1 - p(-2.5)) * (1 - p(2.5)), p(-2.5), 0.0, p(0.5)]
+    )
+    assert [[(s["start"], s["end"]) for s in r["offending"]] for r in got] == [[(0, 7), (19, 30)], [], [], [(0, 3)]]
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and limitations under the License."""
+
+
+def test_an_altered_notice_scores_no_more_than_the_license_named():
+    of = lambda t: licenses._scan([t])[0][-3:-1]
+    named, whole = of("Licensed under the Apache License, Version 2.0"), of(APACHE)
+    altered = of(APACHE.replace("this file except", "this file for war except").replace("AS IS", "as it may be"))
+    assert whole[0] == named[0] == altered[0] == "apache-2" and whole[1] > named[1] == altered[1]
+
+
+@pytest.mark.parametrize(
+    "text,label",
+    [
+        ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007. Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is "
+         "permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.", "gpl-3"),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+         "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is "
+         "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+         "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.", "lgpl"),
+        ("Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+         "apache-2"),
+        ("Someone has waived all copyright and related or neighboring rights to this work.", "cc0"),
+        ("GNU General Public License as published by the Free Software Foundation; either version 3 of the License", ""),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License", ""),
+    ],
+)
+def test_titles_and_notices(text, label):
+    assert licenses._scan([text])[0][-3] == label

@@ -189,11 +189,18 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
     got = sample.select("doc_id", "toxic", "text").mapInArrow(place, "toxic int, sentences int, pairs binary").toArrow()
     y = np.array(got.column("toxic").to_pylist(), dtype=float)
     sentences_of = np.array(got.column("sentences").to_pylist())
-    pairs = [np.frombuffer(b, np.int64) for b in got.column("pairs").to_pylist()]
-    first = np.repeat(np.concatenate([[0], np.cumsum(sentences_of)])[:-1], [len(p) for p in pairs])
-    pairs = np.concatenate(pairs)
+    held = got.column("pairs").cast(pa.large_binary()).combine_chunks()
+    del got
+    # The driver holds the sample's features once, and what the fit works on.
+    bounds = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1] // 8
+    pairs = np.frombuffer(held.buffers()[2] or b"", np.int64)[bounds[0] : bounds[-1]]
+    s = pairs >> 32
+    s += np.repeat(np.concatenate([[0], np.cumsum(sentences_of)])[:-1], np.diff(bounds))
+    x = pairs & 0xFFFFFFFF
+    del pairs, held
+    pa.default_memory_pool().release_unused()
     importance = np.where(y == 1, there[1] / size[1], there[0] / size[0])
-    model.weights, model.bias = fit(y, importance, sentences_of, pairs & 0xFFFFFFFF, (pairs >> 32) + first, len(vocabulary))
+    model.weights, model.bias = fit(y, importance, sentences_of, x, s, len(vocabulary))
     return model
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DecimalType, StringType, StructType
 
 from cargomart.operators.windows import latest_per_key
+from cargomart.session import materialize
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
@@ -128,6 +129,9 @@ def star_join(
 
     Only ``columns`` of each dimension are carried; dimension keys are dropped
     (the fact's key column stays).  Inner by default: unmatched facts drop.
+    Before facts are shuffled to a filtered dimension that is too large to
+    broadcast, Spark drops most of those without a match by a Bloom filter of
+    the dimension's keys (``session.RUNTIME_CONF``; a few MB at most).
     """
     out = fact
     for i, d in enumerate(dims):
@@ -148,6 +152,26 @@ def orphan_rows(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return fact.join(keys, fact[fact_key] == keys["__ok"], "left_anti")
 
 
+def orphan_rows_by_keys(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+    max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
+    """C3/C4 against a dimension that is too large to broadcast.
+
+    The facts themselves are not shuffled to it: their distinct keys are (they
+    combine map-side, so a hot key is one row an input partition), and the keys
+    that the dimension lacks are written.  These are few as a rule; a probe
+    proves it before they are broadcast to the facts, and beyond the bound Spark
+    shuffles both sides.  Same rows as ``orphan_rows``: a NULL fact key is an
+    orphan, repeated facts stay, repeated dimension keys don't multiply them.
+    """
+    own = fact.select(F.col(fact_key).alias("__fk")).distinct()
+    keys = dim.select(F.col(dim_key).alias("__ok"))
+    lost = materialize(own.join(keys, own["__fk"] == keys["__ok"], "left_anti"))
+    lost = bounded_broadcast(lost, max_rows, max_bytes)
+    return fact.join(lost, fact[fact_key].eqNullSafe(lost["__fk"]), "left_semi")
+
+
 def orphan_rows_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """C3/C4 in the reference's literal form: left join, keep rows whose
     dimension side is NULL.  Same rows as ``orphan_rows``; kept to compare the

@@ -344,6 +344,8 @@ ORACLE: dict[str, str] = {
 # Equivalent forms share their oracle.
 ORACLE["latest_event_per_key_window"] = ORACLE["latest_event_per_key"]
 ORACLE["orphans_carrier_left_join"] = ORACLE["orphans_carrier"]
+ORACLE["orphans_carrier_by_keys"] = ORACLE["orphans_carrier"]
+ORACLE["enrich_latest_bucketed"] = ORACLE["enrich_latest"]
 ORACLE["duplicate_keys_hashed"] = ORACLE["duplicate_keys"]
 ORACLE["summary_levels"] = _with(*_BASE, _summary_from("stg")) + """
   SELECT report_month, carrier_id, service_level, CAST(GROUPING_ID(report_month, carrier_id, service_level) AS INT) AS level_id,

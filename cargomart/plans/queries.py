@@ -28,7 +28,7 @@ from cargomart.operators.aggregates import (
     missing_days,
     rollup_counts,
 )
-from cargomart.operators.joins import enrich_latest, orphan_rows, orphan_rows_left_join
+from cargomart.operators.joins import enrich_latest, orphan_rows, orphan_rows_by_keys, orphan_rows_left_join
 from cargomart.operators.gates import run_report
 from cargomart.operators.rules import violation_count
 from cargomart.operators.sinks import HEADER_TAG, TRAILER_PREFIX, TRAILER_TAG, frame_lines
@@ -172,6 +172,11 @@ def q_orphans_route(spark, d):
     return orphan_rows(staging(spark, d), dim_route(spark, d), "route_id", "route_id").select(*_ORPHAN_COLS)
 
 
+def q_orphans_carrier_by_keys(spark, d):
+    """C3 without a shuffle of the staged rows, for a dimension of any size; must equal ``orphans_carrier``."""
+    return orphan_rows_by_keys(staging(spark, d), dim_carrier(spark, d), "carrier_id", "carrier_id").select(*_ORPHAN_COLS)
+
+
 def q_rule_violations(spark, d):
     """G2 one-pass (B10, B11, H1-H3): one row per (staging row, failed rule)."""
     return _drop_stamp(dq(spark, d, one_pass=True))
@@ -326,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "combined_active_count": q_combined_active_count,
     "orphans_carrier": q_orphans_carrier,
     "orphans_carrier_left_join": q_orphans_carrier_left_join,
+    "orphans_carrier_by_keys": q_orphans_carrier_by_keys,
     "orphans_route": q_orphans_route,
     "rule_violations": q_rule_violations,
     "error_counts": q_error_counts,

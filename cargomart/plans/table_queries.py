@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from cargomart import schemas
 from cargomart.operators import sinks
 from cargomart.operators.aggregates import duplicate_keys
+from cargomart.operators.buckets import bucket_count, write_bucketed
 from cargomart.operators.gates import GateError, audited, compare_content, rate_gate, require_rows, snapshot_report, validate_framed_csv
+from cargomart.operators.joins import enrich_latest
 from cargomart.params import RunParams
 from cargomart.plans import jobs
-from cargomart.plans.transforms import build_dim, dq_errors, stage_shipments
+from cargomart.plans.transforms import EVENT_TAKE, build_dim, dq_errors, stage_shipments
 from cargomart.session import checkpoint_dir
 from cargomart.sources import testdata as td
 from cargomart.sources.catalog import read_table, refresh_partitions
@@ -268,7 +270,20 @@ def q_landing_rejects(spark, d):
     )
 
 
+def q_enrich_latest_bucketed(spark, d):
+    """C1 on tables bucketed by their key: no shuffle joins or groups them; must equal ``enrich_latest``."""
+    db = _database(spark, "enrich_latest_bucketed")
+    orders = td.table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").cast("string").alias("__key")
+    )
+    events = td.src_shipment_events(spark, d).select("shipment_id", "event_id", *EVENT_TAKE)
+    n = bucket_count(orders, events)
+    left, right = write_bucketed(orders, f"{db}.orders", ["__key"], n), write_bucketed(events, f"{db}.events", ["shipment_id"], n)
+    return enrich_latest(left, right, [("__key", "shipment_id")], ["event_ts"], EVENT_TAKE, ["event_id"]).drop("__key")
+
+
 TABLE_QUERIES = {
+    "enrich_latest_bucketed": q_enrich_latest_bucketed,
     "partition_overwrite": q_partition_overwrite,
     "partition_overwrite_two_level": q_partition_overwrite_two_level,
     "snapshot_restore": q_snapshot_restore,

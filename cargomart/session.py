@@ -24,6 +24,10 @@ RUNTIME_CONF = {
     # has measured the materialised shuffle output at runtime.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
+    # Facts that a filtered dimension lacks are dropped before their shuffle, by
+    # a Bloom filter of its keys (bounded by maxNumBits); worth it on large scans.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
     # Keep partition values (dates as 'YYYY-MM-DD') typed as STRING on path reads.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

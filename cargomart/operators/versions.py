@@ -184,8 +184,9 @@ def stage_partitions(
         rows = rows.hint("rebalance", *by)
     else:
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(at_most.values()) // FILE_ROWS)
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]), F.col("__files"))
-        rows = rows.repartition(tasks, *by, salt)
+        # Rows are hashed whole only if a partition goes into several files.
+        salt = [F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]), F.col("__files"))] if max(files.values(), default=1) > 1 else []
+        rows = rows.repartition(tasks, *by, *salt)
     rows.select(*schema.names).write.mode("error").partitionBy(*by).parquet(stage)
     types = StructType([f for f in schema.fields if f.name in by])
     counted = spark.read.schema(types).parquet(stage).groupBy(*by).count().collect() if list_folders(spark, stage) else []

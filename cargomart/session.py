@@ -28,6 +28,9 @@ RUNTIME_CONF = {
     # a Bloom filter of its keys (bounded by maxNumBits); worth it on large scans.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    # Folders of a table with thousands of partitions are listed by a few tasks,
+    # not by one each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "48",
     # Keep partition values (dates as 'YYYY-MM-DD') typed as STRING on path reads.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -157,3 +157,30 @@ def test_no_task_writes_a_whole_partition(spark, monkeypatch, query):
     per_file = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
     assert sum(per_file) == got.select("shipment_id").distinct().count() == 20_000
     assert len(per_file) > 3 and max(per_file) < 10_000
+
+
+def test_folders_of_partitions_are_listed_by_few_tasks(spark, tmp_dir):
+    spark.range(0, 60, numPartitions=1).select("id", F.col("id").cast("string").alias("day")).write.partitionBy("day").parquet(tmp_dir + "/t")
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "")
+    try:
+        got = spark.read.schema("id long, day string").parquet(tmp_dir + "/t").count()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert got == 60 and max(s.numTasks for s in stages if s) <= 48
+
+
+def test_rows_of_small_partitions_are_not_hashed_whole(spark, db, monkeypatch):
+    from cargomart.operators import sinks, versions
+
+    dealt = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *by, real=kind.repartition: dealt.append(by) or real(self, n, *by))
+    df = spark.range(6).select("id", F.when(F.col("id") < 4, "a").otherwise("b").alias("day"))
+    sinks.ensure_table(spark, f"{db}.t", df.schema, ["day"])
+    for rows_a_file, salted in ((2_000_000, 1), (2, 2)):
+        monkeypatch.setattr(versions, "FILE_ROWS", rows_a_file)
+        staged = versions.stage_partitions(df, f"{db}.t", [{"day": "a"}, {"day": "b"}], {"day=a": 4, "day=b": 2})
+        assert staged.counts == {"day=a": 4, "day=b": 2} and len(dealt.pop()) == salted

@@ -14,12 +14,14 @@ The most frequent phrases of a level (HEAD at most, each of NAME_BYTES at most)
 are broadcast with their numbers.  Frequent phrases beyond them are found
 through a broadcast bit table of fixed size: what it lets through is numbered
 within the task and counted in full, so counts are exact at any size, and a
-false hit only costs work.
+false hit only costs work.  Such numbers are pairs of numbers in arrays, not
+texts, and are forgotten with the counts handed on when there are too many.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from itertools import repeat
@@ -35,14 +37,15 @@ from .common import tune, written
 #: Cells of a tile's side, and how many pairs of a chunk make its tile a dense one.
 SIDE = 256
 DENSE = SIDE * SIDE // 16
-#: Dense tiles of a language and level that a task holds at most (half a MB each).
+#: Dense tiles that a task holds at most (half a MB each).
 MAX_DENSE = 64
 #: Numbered phrases of a level that are broadcast, and their longest names: 16 MB at most.
 HEAD = 1 << 18
 NAME_BYTES = 64
 #: Places of the bit table for the others (16 MB); a power of two.
 PLACES = 1 << 27
-#: A task's sparse counts, or word counts, before they are handed on, so many rows at once.
+#: A task's sparse counts, or word counts, before they are handed on, so many rows at once;
+#: half as many numbers of its own.
 HELD, ROWS = 1_000_000, 250_000
 #: Groups of a language's phrases that are ranked apart at first.
 GROUPS = 64
@@ -60,6 +63,8 @@ for _c in range(0x41, 0x5B):
 _MAP[0x09] = 0x20
 _MAP = bytes(_MAP)
 _CUT = re.compile(b"[ \xff]")
+#: The second number of a pair.
+LOW = 0xFFFFFFFF
 
 COUNTS = "lang string, phrase string, f long"
 
@@ -98,8 +103,9 @@ def _by_lang(batch: pa.RecordBatch) -> dict[str, list[bytes]]:
 
 
 def _rows(lang: str, names, counts) -> pa.RecordBatch:
+    names = names if isinstance(names, pa.Array) else pa.array(names, pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.repeat(lang, len(names)), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+        [pa.repeat(lang, len(names)), names.cast(pa.string()), pa.array(counts, pa.int64())],
         names=["lang", "phrase", "f"],
     )
 
@@ -116,11 +122,10 @@ def _words(batches):
 
     for batch in batches:
         for lang, texts in _by_lang(batch).items():
-            counts = held.setdefault(lang, Counter())
             for tokens, _ in _chunks(texts):
-                counts.update(tokens)
-        if sum(map(len, held.values())) > HELD:
-            yield from flush()
+                held.setdefault(lang, Counter()).update(tokens)
+                if sum(map(len, held.values())) > HELD:
+                    yield from flush()
     yield from flush()
 
 
@@ -132,14 +137,16 @@ class Tiles:
         self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
         self.n_sparse = 0
 
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+    def add(self, a: np.ndarray, b: np.ndarray, room: int | None = None) -> None:
+        """``room``: dense tiles that may be held, MAX_DENSE if not given."""
+        room = MAX_DENSE if room is None else room
         tile = (a // SIDE) << 32 | (b // SIDE)
         found, where, size = np.unique(tile, return_inverse=True, return_counts=True)
         # Most pairs first, while there is room for dense tiles.
         for k in np.argsort(-size, kind="stable"):
             if size[k] < DENSE:
                 break
-            if len(self.dense) < MAX_DENSE:
+            if len(self.dense) < room:
                 self.dense.setdefault(int(found[k]), np.zeros(SIDE * SIDE, np.int64))
         dense = np.array([int(t) in self.dense for t in found], bool)[where] if self.dense else np.zeros(len(a), bool)
         if dense.any():
@@ -155,9 +162,11 @@ class Tiles:
             self.sparse.append((codes, n))
             self.n_sparse += len(codes)
             if len(self.sparse) > 16:
-                self._merge()
+                self.merge()
 
-    def _merge(self) -> None:
+    def merge(self) -> None:
+        if len(self.sparse) < 2:
+            return
         codes = np.concatenate([c for c, _ in self.sparse])
         counts = np.concatenate([n for _, n in self.sparse])
         order = np.argsort(codes, kind="stable")
@@ -166,17 +175,24 @@ class Tiles:
         self.sparse = [(codes[first], np.add.reduceat(counts, first))]
         self.n_sparse = len(first)
 
+    def parts(self):
+        """Pairs and their counts, a part at a time; nothing is held afterwards."""
+        self.merge()
+        sparse, dense = self.sparse, self.dense
+        self.__init__()
+        while sparse:
+            codes, n = sparse.pop()
+            for at in range(0, len(n), ROWS):
+                part = codes[at : at + ROWS]
+                yield part >> 32, part & LOW, n[at : at + ROWS]
+        while dense:
+            tile, counts = dense.popitem()
+            at = np.flatnonzero(counts)
+            yield (tile >> 32) * SIDE + at // SIDE, (tile & LOW) * SIDE + at % SIDE, counts[at]
+
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pairs and their counts; nothing is held afterwards."""
-        parts = []
-        if self.sparse:
-            self._merge()
-            codes, n = self.sparse[0]
-            parts.append((codes >> 32, codes & 0xFFFFFFFF, n))
-        for tile, counts in self.dense.items():
-            at = np.flatnonzero(counts)
-            parts.append(((tile >> 32) * SIDE + at // SIDE, (tile & 0xFFFFFFFF) * SIDE + at % SIDE, counts[at]))
-        self.__init__()
+        parts = list(self.parts())
         return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
 
 
@@ -187,42 +203,89 @@ def _place(name: bytes, start: int) -> int:
     return start
 
 
+def _found(codes: np.ndarray, numbers: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Numbers of pairs by sorted pairs, -1 for others; the last pair is none."""
+    where = np.searchsorted(codes, wanted)
+    return np.where(codes[where] == wanted, numbers[where], -1)
+
+
+_NONE = np.array([np.iinfo(np.int64).max]), np.array([-1])
+
+
 class _Level:
-    """Numbers of one language's frequent phrases of one length in a worker.
-    ``before``: the level of phrases one word shorter, for all but words."""
-
-    def __init__(self, lang: str, names: list[bytes], bits: np.ndarray | None, before: _Level | None):
-        self.names, self.head = list(names), len(names)
-        self.lasts = [x.rsplit(b" ", 1)[-1] for x in names] if before else self.names
-        self.ids = dict(zip(self.names, range(self.head)))
-        self.start, self.bits = zlib.crc32(lang.encode()) & (PLACES - 1), bits
-        #: Pairs of numbers that all tasks know alike, and what they are here.
-        codes = np.array([(before.ids.get(x.rsplit(b" ", 1)[0], -1) << 32) | before.ids.get(x.split(b" ", 1)[1], -1) for x in names]
-                         if before else [], np.int64)
-        there = np.flatnonzero((codes >= 0) & ((codes & 0xFFFFFFFF) != 0xFFFFFFFF))
-        order = there[np.argsort(codes[there])]
-        self.codes, self.numbers_of = np.append(codes[order], np.iinfo(np.int64).max), np.append(order, -1)
-        self.known: dict[int, int] = {}
-        self.places = self.crcs = np.zeros(0, np.int64)
-
-    def number(self, name: bytes) -> int:
-        """A phrase's number, or -1 if it can't be frequent."""
-        got = self.ids.get(name, -1)
-        if got < 0 and self.bits is not None and name != END:
-            place = _place(name, self.start)
-            if self.bits[place >> 6] >> np.uint64(place & 63) & np.uint64(1):
-                got = self.ids[name] = len(self.names)
-                self.names.append(name)
-                if self.lasts is not self.names:
-                    self.lasts.append(name.rsplit(b" ", 1)[-1])
-        return got
+    """Numbers of one language's frequent phrases of one length in a worker:
+    those that all tasks know alike, then those of its own, which ``reset``
+    forgets.  ``before``: the level of phrases one word shorter, for all but words."""
+
+    def __init__(self, lang: str, names, bits: np.ndarray | None, before: _Level | None):
+        self.names = names if isinstance(names, pa.Array) else pa.array(names, pa.binary())
+        self.head, self.bits, self.before = len(self.names), bits, before
+        self.start = zlib.crc32(lang.encode()) & (PLACES - 1)
+        #: Own numbers: words, or pairs of numbers; all pairs met so far, sorted, and what they are.
+        self.words: list[bytes] = []
+        self.own, self.met = np.zeros(0, np.int64), _NONE
+        #: Places in the bit table and last words' checksums, of all numbers and of own ones.
+        self.hashes = None
+        self.own_hashes = [np.zeros(0, np.uint32)] * 2
+        texts = self.names.to_pylist()
+        if before is None:
+            self.ends, self.ids = self.names, dict(zip(texts, range(self.head)))
+            return
+        self.ends = pa.array([x.rsplit(b" ", 1)[-1] for x in texts], pa.binary())
+        halves = [x.rsplit(b" ", 1)[0] for x in texts], [x.split(b" ", 1)[1] for x in texts]
+        a, b = (
+            pc.fill_null(pc.index_in(pa.array(x, pa.binary()), value_set=before.names), -1).to_numpy().astype(np.int64) for x in halves
+        )
+        codes, there = a << 32 | b, (a >= 0) & (b >= 0)
+        order = np.flatnonzero(there)[np.argsort(codes[there])]
+        self.codes, self.numbers_of = np.append(codes[order], _NONE[0]), np.append(order, -1)
+        # By name: phrases a half of which isn't among those that all tasks know.
+        self.odd = {texts[i]: i for i in np.flatnonzero(~there).tolist()}
+        self.odd_places = np.unique(np.array([_place(x, self.start) for x in self.odd], np.int64))
+
+    def extra(self) -> int:
+        """Own numbers, and pairs met."""
+        return len(self.words) + len(self.met[0]) - 1
+
+    def reset(self) -> None:
+        """Forgets all own numbers."""
+        for word in self.words:
+            del self.ids[word]
+        self.words, self.own, self.met = [], np.zeros(0, np.int64), _NONE
+        if self.hashes is not None:
+            self.hashes = [x[: self.head].copy() for x in self.hashes]
+        self.own_hashes = [np.zeros(0, np.uint32)] * 2
+
+    def _marked(self, places: np.ndarray) -> np.ndarray:
+        """Whether the bit table lets them through."""
+        if self.bits is None:
+            return np.zeros(len(places), bool)
+        return (self.bits[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+    def _odd_ones(self, places: np.ndarray) -> np.ndarray:
+        return np.isin(places, self.odd_places) if self.odd else np.zeros(len(places), bool)
+
+    def _hash(self, places, crcs) -> None:
+        self.own_hashes = [np.append(x, np.asarray(y, np.uint32)) for x, y in zip(self.own_hashes, (places, crcs))]
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
         """Of words, -1 for others."""
         out = np.fromiter(map(self.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
         if self.bits is not None:
-            for i in np.flatnonzero(out < 0).tolist():
-                out[i] = self.number(tokens[i])
+            missed = np.flatnonzero(out < 0)
+            crcs = np.fromiter((zlib.crc32(tokens[i]) for i in missed.tolist()), np.int64, len(missed))
+            places = (self.start * 31 + crcs) & (PLACES - 1)
+            new = []
+            for k in np.flatnonzero(self._marked(places)).tolist():
+                word = tokens[missed[k]]
+                if word == END:
+                    continue
+                if word not in self.ids:
+                    self.ids[word] = self.head + len(self.words)
+                    self.words.append(word)
+                    new.append(k)
+                out[missed[k]] = self.ids[word]
+            self._hash(places[new], crcs[new])
         return out
 
     def pairs(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,43 +293,76 @@ class _Level:
         at = np.flatnonzero((own[:-1] >= 0) & (own[1:] >= 0))
         return at, own[at], own[at + 1]
 
+    def _texts(self, numbers: np.ndarray, known: pa.Array, others) -> pa.Array:
+        """``known`` of numbers that all tasks know, ``others`` of the own ones, counted from 0."""
+        mine = numbers >= self.head
+        if not mine.any():
+            return known.take(pa.array(numbers))
+        first = known.take(pa.array(numbers[~mine]))
+        both = pa.concat_arrays([first, others(numbers[mine] - self.head)])
+        where = np.empty(len(numbers), np.int64)
+        where[~mine], where[mine] = np.arange(len(first)), np.arange(len(first), len(numbers))
+        return both.take(pa.array(where))
+
+    def _own_words(self, at: np.ndarray) -> pa.Array:
+        return pa.array([self.words[i] for i in at.tolist()], pa.binary())
+
+    def texts(self, numbers: np.ndarray) -> pa.Array:
+        """The phrases of numbers."""
+        if self.before is None:
+            return self._texts(numbers, self.names, self._own_words)
+        return self._texts(numbers, self.names, lambda at: self.before.joined(self.own[at] >> 32, self.own[at] & LOW))
+
+    def lasts(self, numbers: np.ndarray) -> pa.Array:
+        """Their last words."""
+        if self.before is None:
+            return self.texts(numbers)
+        return self._texts(numbers, self.ends, lambda at: self.before.lasts(self.own[at] & LOW))
+
     def joined(self, a: np.ndarray, b: np.ndarray) -> pa.Array:
         """The phrases of numbers at neighbouring places."""
-        first, last = pa.array(self.names, pa.binary()), pa.array(self.lasts, pa.binary())
-        return pc.binary_join_element_wise(first.take(pa.array(a)), last.take(pa.array(b)), b" ")
-
-    def _hashed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Places in the bit table of the phrases of two numbers."""
-        if len(self.places) < len(self.names):
-            more = range(len(self.places), len(self.names))
-            self.places = np.append(self.places, [_place(self.names[i], self.start) for i in more])
-            self.crcs = np.append(self.crcs, [zlib.crc32(self.lasts[i]) for i in more])
-        return (self.places[a] * 31 + self.crcs[b]) & (PLACES - 1)
+        return pc.binary_join_element_wise(self.texts(a), self.lasts(b), b" ")
+
+    def _hashed(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the bit table of the phrases of two numbers, and their last words' checksums."""
+        if self.hashes is None:
+            self.hashes = [np.array([_place(x, self.start) for x in self.names.to_pylist()], np.uint32),
+                           np.array([zlib.crc32(x) for x in self.ends.to_pylist()], np.uint32)]
+        done = len(self.hashes[0]) - self.head
+        if done < len(self.own_hashes[0]):
+            self.hashes = [np.append(x, y[done:]) for x, y in zip(self.hashes, self.own_hashes)]
+        crcs = self.hashes[1][b].astype(np.int64)
+        return (self.hashes[0][a].astype(np.int64) * 31 + crcs) & (PLACES - 1), crcs
+
+    def _meet(self, codes: np.ndarray, places: np.ndarray, crcs: np.ndarray) -> None:
+        """Numbers pairs that were not met before."""
+        numbers = np.full(len(codes), -1, np.int64)
+        odd = np.flatnonzero(self._odd_ones(places))
+        if len(odd):
+            names = self.before.joined(codes[odd] >> 32, codes[odd] & LOW).to_pylist()
+            numbers[odd] = [self.odd.get(x, -1) for x in names]
+        new = np.flatnonzero((numbers < 0) & self._marked(places))
+        numbers[new] = np.arange(len(new)) + self.head + len(self.own)
+        self.own = np.append(self.own, codes[new])
+        self._hash(places[new], crcs[new])
+        all_codes, all_numbers = np.append(codes, self.met[0]), np.append(numbers, self.met[1])
+        order = np.argsort(all_codes, kind="stable")
+        self.met = all_codes[order], all_numbers[order]
 
     def next(self, own: np.ndarray, after: _Level) -> np.ndarray:
         """Numbers in the level after this one, by place."""
         at, a, b = self.pairs(own)
         codes = a << 32 | b
-        where = np.searchsorted(after.codes, codes)
-        got = np.where(after.codes[where] == codes, after.numbers_of[where], -1)
-        # By name: what only this worker numbers, or the bit table lets through.
-        rest = (a >= self.head) | (b >= self.head)
-        if after.bits is not None and len(codes):
-            place = self._hashed(a, b)
-            rest |= (after.bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-        rest = np.flatnonzero(rest & (got < 0))
-        if len(rest):
-            found, back = np.unique(codes[rest], return_inverse=True)
-            if len(after.known) > 4 * HELD:
-                after.known.clear()
-            numbers = []
-            for code in found.tolist():
-                n = after.known.get(code)
-                if n is None:
-                    x, y = code >> 32, code & 0xFFFFFFFF
-                    n = after.known[code] = after.number(self.names[x] + b" " + self.lasts[y])
-                numbers.append(n)
-            got[rest] = np.array(numbers, np.int64)[back]
+        got = _found(after.codes, after.numbers_of, codes)
+        rest = np.flatnonzero(got < 0)
+        if len(rest) and (after.bits is not None or after.odd):
+            places, crcs = self._hashed(a[rest], b[rest])
+            maybe = np.flatnonzero(after._marked(places) | after._odd_ones(places))
+            rest, (found, first) = rest[maybe], np.unique(codes[rest[maybe]], return_index=True)
+            new = after.met[0][np.searchsorted(after.met[0], found)] != found
+            if new.any():
+                after._meet(found[new], places[maybe][first[new]], crcs[maybe][first[new]])
+            got[rest] = _found(*after.met, codes[rest])
         out = np.full(max(0, len(own) - 1), -1, np.int64)
         out[at] = got
         return out
@@ -275,28 +371,35 @@ class _Level:
 _KEPT: dict[str, object] = {}
 
 
-def _levels(shared) -> dict[str, list[_Level]]:
-    """The worker's levels by language for what was broadcast last; what earlier
-    tasks numbered stays, up to HELD names."""
-    if shared.value is not _KEPT.get("for") or sum(len(x.names) - x.head for own in _KEPT["levels"].values() for x in own) > HELD:
-        _KEPT.update({"for": shared.value, "levels": {}})
+def _levels(shared, name: str) -> dict[str, list[_Level]]:
+    """The worker's levels by language for what was broadcast under a name;
+    those of another name go before its value comes."""
+    if _KEPT.get("name") != name:
+        _KEPT.clear()
+        _KEPT.update({"name": name, "levels": {}})
     return _KEPT["levels"]
 
 
 def _pairs(shared):
     """Counts of phrases one word longer than those of the last shared level."""
+    name = uuid.uuid4().hex
 
     def run(batches):
-        levels = _levels(shared)
+        levels = _levels(shared, name)
         tiles: dict[str, Tiles] = {}
 
         def flush():
             for lang, t in tiles.items():
-                a, b, n = t.take()
-                last = levels[lang][-1]
-                for at in range(0, len(n), ROWS):
-                    part = slice(at, at + ROWS)
-                    yield _rows(lang, last.joined(a[part], b[part]), n[part])
+                for a, b, n in t.parts():
+                    yield _rows(lang, levels[lang][-1].joined(a, b), n)
+            tiles.clear()
+
+        def full():
+            if sum(t.n_sparse for t in tiles.values()) <= HELD:
+                return False
+            for t in tiles.values():
+                t.merge()
+            return sum(t.n_sparse for t in tiles.values()) > HELD // 2
 
         for batch in batches:
             for lang, texts in _by_lang(batch).items():
@@ -304,28 +407,32 @@ def _pairs(shared):
                     levels[lang] = []
                     for names, bits in shared.value:
                         levels[lang].append(_Level(lang, names.get(lang, []), bits, levels[lang][-1] if levels[lang] else None))
-                own, counts = levels[lang], tiles.setdefault(lang, Tiles())
-                before = np.zeros(0, np.int64)
+                own, before = levels[lang], []
                 for tokens, goes_on in _chunks(texts):
-                    words = own[0].numbers(tokens)
                     if goes_on:
-                        words = np.concatenate([before, words])
+                        tokens = before + tokens
                     # As many words as a phrase of the last level has: a phrase
                     # that is counted here ends in this chunk.
-                    before = words[-len(own) :]
+                    before = tokens[-len(own) :]
+                    words = own[0].numbers(tokens)
                     for level, after in zip(own, own[1:]):
                         words = level.next(words, after)
                     _, a, b = own[-1].pairs(words)
                     if len(a):
-                        counts.add(a, b)
-            if sum(t.n_sparse for t in tiles.values()) > HELD:
-                yield from flush()
+                        dense = sum(len(t.dense) for x, t in tiles.items() if x != lang)
+                        tiles.setdefault(lang, Tiles()).add(a, b, MAX_DENSE - dense)
+                    many = sum(x.extra() for all_of in levels.values() for x in all_of) > HELD // 2
+                    if many or full():
+                        yield from flush()
+                    if many:
+                        for x in (x for all_of in levels.values() for x in all_of):
+                            x.reset()
         yield from flush()
 
     return run
 
 
-def _head(counts: DataFrame, head: int) -> tuple[dict[str, list[bytes]], np.ndarray | None]:
+def _head(counts: DataFrame, head: int) -> tuple[dict[str, pa.Array], np.ndarray | None]:
     """The most frequent phrases of each language in order of their numbers,
     ``head`` at most in all, and the bit table of the others (None: no others)."""
     short = F.octet_length("phrase") <= NAME_BYTES
@@ -341,7 +448,7 @@ def _head(counts: DataFrame, head: int) -> tuple[dict[str, list[bytes]], np.ndar
     names: dict[str, list] = {}
     for lang, phrase, f in zip(*(table.column(c).to_pylist() for c in ("lang", "phrase", "f"))):
         names.setdefault(lang, []).append((-f, phrase.encode()))
-    ranked = {lang: [name for _, name in sorted(x)] for lang, x in names.items()}
+    ranked = {lang: pa.array([name for _, name in sorted(x)], pa.binary()) for lang, x in names.items()}
     if total == sum(sizes.values()):
         return ranked, None
     cut = lambda x: x.bitwiseAND(F.lit(PLACES - 1))

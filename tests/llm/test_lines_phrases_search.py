@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -179,6 +180,28 @@ def test_chunks_of_long_texts_lose_and_repeat_no_phrase(monkeypatch, bits):
         assert known == {k: v for k, v in want.items() if len(k.split(b" ")) == n}
 
 
+def test_a_task_keeps_few_numbers_of_its_own(monkeypatch):
+    """Many phrases that the bit table alone lets through: what a worker holds
+    doesn't grow with its rows, and each phrase is counted."""
+    monkeypatch.setattr(collocations, "HELD", 4000)
+    monkeypatch.setattr(collocations, "CHUNK", 10_000)
+    levels = [({}, np.full(collocations.PLACES // 64, ~np.uint64(0)))] * 2
+
+    def texts(n):
+        for k in range(n):
+            text = " ".join(f"w{k}x{i}" for i in range(4000)).encode()
+            yield pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], names=["lang", "text"])
+
+    peaks = []
+    for n in (4, 40):
+        tracemalloc.start()
+        found = sum(b.num_rows for b in collocations._pairs(type("Shared", (), {"value": list(levels)}))(texts(n)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found == n * 3998
+    assert peaks[1] < 1.5 * peaks[0]
+
+
 def test_tiles_count_as_a_dictionary_does(monkeypatch):
     monkeypatch.setattr(collocations, "DENSE", 4)
     monkeypatch.setattr(collocations, "MAX_DENSE", 3)

@@ -7,6 +7,7 @@ rows read back.  They run jobs while they are built.
 
 from __future__ import annotations
 
+import math
 import re
 from decimal import Decimal
 
@@ -22,12 +23,14 @@ from cargomart.operators.joins import enrich_latest
 from cargomart.params import RunParams
 from cargomart.plans import jobs
 from cargomart.plans.transforms import EVENT_TAKE, build_dim, dq_errors, stage_shipments
-from cargomart.session import checkpoint_dir
+from cargomart.session import checkpoint_dir, scanned_bytes, shuffles_removed
 from cargomart.sources import testdata as td
 from cargomart.sources.catalog import read_table, refresh_partitions
 from cargomart.sources.delimited import ensure_landing_table, keep_rejects, read_checked, write_delimited
 
 MIN_VALUE = Decimal("10000.00")
+#: Bytes of tables that are joined and written at once, and how many slices they are cut into at most.
+SLICE_BYTES, MAX_SLICES = 256 << 20, 4
 
 
 def _database(spark: SparkSession, query: str) -> str:
@@ -94,14 +97,24 @@ def q_snapshot_restore(spark, d):
     return state("changed", changed).unionByName(state("restored", dim))
 
 
+def _with_year(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("ship_year", F.substring("trans_dt", 1, 4))
+
+
 def q_landing_round_trip(spark, d):
     """The source role as delimited files by year, declared as a landing
     table, its folders registered, and read back; blanks come back as nulls."""
     db = _database(spark, "landing_round_trip")
     path = f"{checkpoint_dir(spark).rstrip('/')}/{db}-{spark.sparkContext.startTime}"
-    rows = td.src_shipments(spark, d).withColumn("ship_year", F.substring("trans_dt", 1, 4))
-    # A year's rows are as many as the input makes them: they are split between tasks.
-    write_delimited(rows.hint("rebalance", "ship_year"), path, partition_by=["ship_year"])
+    # Orders go through the join in slices, each slice's shuffle is removed when it
+    # is written, and the tasks that join rows write them (a year's rows are split
+    # between tasks), compressed: as plain text they are seven times their tables.
+    rows = _with_year(td.src_shipments(spark, d))
+    n = min(MAX_SLICES, max(1, math.ceil(scanned_bytes(rows) / SLICE_BYTES)))
+    with shuffles_removed(spark):
+        for k in range(n):
+            part = rows if n == 1 else _with_year(td.src_shipments(spark, d, part=(k, n)))
+            write_delimited(part, path, partition_by=["ship_year"], mode="append" if k else "overwrite", compression="gzip")
     ensure_landing_table(spark, f"{db}.landing", rows.schema, path, ["ship_year"])
     refresh_partitions(spark, f"{db}.landing")
     return read_table(spark, f"{db}.landing").drop("ship_year")

@@ -7,6 +7,7 @@ and the benchmark.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -73,6 +74,25 @@ def materialize(df):
     return spark.read.parquet(path)
 
 
+def scanned_bytes(df) -> int:
+    """Bytes of the tables that ``df`` reads, as Spark knows them from listing their files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Within, a query's shuffle files go when it ends, not when the driver
+    happens to collect its garbage: for several large writes after each other."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

@@ -128,10 +128,14 @@ def write_delimited(
     sep: str = "\t",
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    compression: str | None = None,
 ) -> None:
-    """Write ``df`` in the landing format (header line, empty = NULL)."""
+    """Write ``df`` in the landing format (header line, empty = NULL), as plain
+    text, or by a codec that readers know by the files' names (``gzip``)."""
     w = _plain_cells(df, sep, partition_by).write.mode(mode).options(**WRITE_OPTIONS).option("sep", sep)
     w = w.option("header", "true" if header else "false")
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

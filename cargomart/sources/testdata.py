@@ -155,15 +155,21 @@ _ROUTE_MAP = {
 
 
 def src_shipments(
-    spark: SparkSession, sf_dir: str, trans_dt: str | None = None, days: tuple[str, str] | None = None
+    spark: SparkSession, sf_dir: str, trans_dt: str | None = None, days: tuple[str, str] | None = None,
+    part: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """All shipments, those of one day, or those from a day to before another."""
+    """All shipments, those of one day, or those from a day to before another.
+    ``part``: only those whose order falls into slice k of n."""
     li = lines_between(spark, sf_dir, days)
     if trans_dt is not None:
         li = li.where(_day_range("l_shipdate", trans_dt))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
+    if part is not None:
+        k, n = part
+        within = lambda key: F.pmod(F.xxhash64(key.cast("long")), F.lit(n)) == k
+        li, orders = li.where(within(li["l_orderkey"])), orders.where(within(orders["o_orderkey"]))
     cust = bounded_broadcast(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     )

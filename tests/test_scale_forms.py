@@ -1,6 +1,7 @@
 """Forms for data that no task, key or catalog repair can take whole."""
 
 import random
+import time
 import uuid
 
 import pytest
@@ -184,3 +185,59 @@ def test_rows_of_small_partitions_are_not_hashed_whole(spark, db, monkeypatch):
         monkeypatch.setattr(versions, "FILE_ROWS", rows_a_file)
         staged = versions.stage_partitions(df, f"{db}.t", [{"day": "a"}, {"day": "b"}], {"day=a": 4, "day=b": 2})
         assert staged.counts == {"day=a": 4, "day=b": 2} and len(dealt.pop()) == salted
+
+
+def _order_tables(spark, d):
+    orders = spark.range(1, 401, numPartitions=4)
+    tables = {
+        "customer": spark.range(1, 21).selectExpr("id AS c_custkey", "CAST(id % 5 AS INT) AS c_nationkey", "'BUILDING' AS c_mktsegment"),
+        # Orders that come twice, and one without a key.
+        "orders": orders.selectExpr("IF(id = 7, NULL, IF(id < 5, 1L, id)) AS o_orderkey", "id % 20 + 1 AS o_custkey", "'F' AS o_orderstatus",
+                                    "TIMESTAMP_NTZ'1994-01-01 00:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": orders.selectExpr("id", "explode(sequence(1, 5)) AS l_linenumber").selectExpr(
+            "IF(id = 9, NULL, id) AS l_orderkey", "id * 7 AS l_partkey", "id % 9 AS l_suppkey", "l_linenumber", "DOUBLE(l_linenumber) AS l_quantity",
+            "DOUBLE(id) + 0.25 AS l_extendedprice", "DOUBLE(0.01) AS l_discount", "DOUBLE(0.02) AS l_tax", "'N' AS l_returnflag", "'F' AS l_linestatus",
+            "IF(id = 11, NULL, TIMESTAMP_NTZ'1994-01-01 00:00:00' + MAKE_INTERVAL(CAST(id % 3 AS INT))) AS l_shipdate"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{d}/{name}.parquet")
+    return str(d)
+
+
+def test_landing_files_are_written_in_slices_that_leave_no_shuffle(spark, tmp_path, monkeypatch):
+    """Compressed files, no shuffle files that outlive their slice, and every row as often as it comes."""
+    from cargomart.plans import table_queries
+
+    monkeypatch.setattr(table_queries, "SLICE_BYTES", 5000, raising=False)
+    d = _order_tables(spark, tmp_path)
+    left, write = [], table_queries.write_delimited
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {x for x in (files.apply(i).getName() for i in range(files.size())) if x.startswith("shuffle_")}
+
+    def watched(*args, **options):
+        before = shuffles()
+        write(*args, **options)
+        for _ in range(50):  # they go within moments
+            if not shuffles() - before:
+                break
+            time.sleep(0.1)
+        left.append(shuffles() - before)
+
+    monkeypatch.setattr(table_queries, "write_delimited", watched)
+    got = table_queries.q_landing_round_trip(spark, d)
+    assert len(left) > 1 and not any(left)
+    assert all(f.endswith(".csv.gz") for f in got.inputFiles())
+    blank = [F.when(F.col(c) != "", F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in got.dtypes]
+    rows = lambda df: sorted(map(repr, df.collect()))
+    whole = td.src_shipments(spark, d).select(*blank)
+    assert rows(got) == rows(whole) and len(rows(got)) > 1900
+
+
+def test_slices_of_shipments_hold_every_row_once(spark, tmp_path):
+    d = _order_tables(spark, tmp_path)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    parts = [rows(td.src_shipments(spark, d, part=(k, 3))) for k in range(3)]
+    assert all(parts) and sorted(sum(parts, [])) == rows(td.src_shipments(spark, d))
